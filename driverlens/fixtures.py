@@ -65,3 +65,210 @@ def initial_states(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(INITIAL_WORKERS).alias("workers"),
         F.lit(None).cast("bigint").alias("last_us"),
     )
+
+
+# --- log text (FIXTURES.md B3) ---------------------------------------------------------
+
+_PREFIX = "date_format(timestampadd(MICROSECOND, ts_us, timestamp_ntz'1970-01-01'), 'yy/MM/dd HH:mm:ss')"
+_ENTRY_KIND = (
+    "case when event_id % 50 = 0 then 'cut' when event_id % 53 = 0 then 'no_id' "
+    "when event_id % 59 = 0 then 'bad_ts' when event_id % 61 = 0 then 'idle' else 'good' end"
+)
+_SINGLE = (
+    "concat(prefix, ' INFO ProgressReporter: Streaming query made progress: {', "
+    "if(kind = 'no_id', '', concat('\"id\":\"q-', user_id, '\",')), "
+    "'\"runId\":\"r-', user_id, '\",\"name\":\"ingest\",\"timestamp\":\"', stamp, '\",\"batchId\":', event_id, ',', "
+    "if(event_type = 'error', '', concat('\"batchDuration\":', cents, ',')), "
+    "'\"durationMs\":{\"addBatch\":7},\"stateOperators\":[],\"sources\":[{\"description\":\"files\",\"metrics\":{\"k\":\"', k, "
+    "'\"}}],\"sink\":{\"numOutputRows\":', k, '}}')"
+)
+_PRETTY = (
+    "concat(prefix, ' INFO MicroBatchExecution: Streaming query made progress: {\\n', "
+    "if(kind = 'no_id', '', concat('  \"id\" : \"q-', user_id, '\",\\n')), "
+    "'  \"runId\" : \"r-', user_id, '\",\\n  \"name\" : \"ingest\",\\n  \"timestamp\" : \"', stamp, '\",\\n  \"batchId\" : ', event_id, ',\\n', "
+    "if(event_type = 'error', '', concat('  \"batchDuration\" : ', cents, ',\\n')), "
+    "'  \"sources\" : [ {\\n    \"metrics\" : {\\n      \"k\" : \"', k, '\"\\n    }\\n  } ]\\n}\\n\\tat org.example.Progress.report(Progress.scala:7)')"
+)
+_CUT = "concat(prefix, ' INFO ProgressReporter: Streaming query made progress: {\"id\":\"q-', user_id, '\",\"timestamp\":\"2024-')"
+_IDLE = "concat(prefix, ' INFO MicroBatchExecution: Streaming query has been idle and waiting for new data more than 10000 ms.')"
+_UNRELATED = "concat(prefix, ' WARN TaskSetManager: Lost task ', event_id, '.0\\n\\tat org.example.Task.run(Task.scala:9)')"
+PREAMBLE = "\tat org.example.Earlier.end(Earlier.scala:3)"
+
+
+def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One log entry per event: ``cluster_id, path, entry_no, text``, plus the event's columns."""
+    rows = (
+        events(spark, sf_dir)
+        .withColumn("prefix", F.expr(_PREFIX))
+        .withColumn("kind", F.expr(_ENTRY_KIND))
+        .withColumn("stamp", F.when(F.col("kind") == "bad_ts", "yesterday").otherwise(iso_utc(F.col("ts_us"))))
+    )
+    text = (
+        F.when(F.col("kind") == "cut", F.expr(_CUT))
+        .when(F.col("kind") == "idle", F.expr(_IDLE))
+        .when(F.col("event_id") % 2 == 0, F.expr(_SINGLE))
+        .otherwise(F.expr(_PRETTY))
+    )
+    day = F.substring(iso_utc(F.col("ts_us")), 1, 10)
+    return rows.select(
+        "event_id",
+        "user_id",
+        "prefix",
+        cluster_of(F.col("user_id")).alias("cluster_id"),
+        _file_key(day).alias("path"),
+        F.col("event_id").alias("entry_no"),
+        text.alias("text"),
+    )
+
+
+def _file_key(day: Column) -> Column:
+    """Hourly names, but for two kinds of cluster: no hour at all, and an impossible hour."""
+    folder = F.concat(F.lit("logs/"), cluster_of(F.col("user_id")), F.lit("/"))
+    return (
+        F.when(F.col("user_id") % 10 == 3, F.concat(folder, F.lit("driver-"), day, F.lit(".log")))
+        .when(F.col("user_id") % 10 == 4, F.concat(folder, F.lit("log4j-"), day, F.lit("-25.log.gz")))
+        .otherwise(F.concat(folder, F.lit("log4j-"), day, F.lit("-00.log.gz")))
+    )
+
+
+def log_texts(spark: SparkSession, sf_dir: str, preamble: bool = True) -> DataFrame:
+    """A small log file per event: a headerless tail, the entry, an unrelated multi-line entry."""
+    start = [F.lit(PREAMBLE + "\n")] if preamble else []
+    rows = log_entries(spark, sf_dir)
+    return rows.select(
+        "event_id",
+        F.concat(F.lit("logs/"), "cluster_id", F.lit("/"), F.col("event_id").cast("string"), F.lit(".log.gz")).alias("path"),
+        F.concat(*start, "text", F.lit("\n"), F.expr(_UNRELATED), F.lit("\n")).alias("text"),
+    )
+
+
+def log_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files as bytes: gzip, plain, with broken UTF-8, and gzip cut in half."""
+
+    def encode(batches):
+        import gzip
+
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = zip(batch["event_id"].to_pylist(), batch["path"].to_pylist(), batch["text"].to_pylist())
+            out = []
+            for event, path, text in rows:
+                raw = text.encode()
+                packed = gzip.compress(raw, mtime=0)
+                out.append((event, path, (packed, raw, b"\xff\xfe" + raw, packed[: len(packed) // 2])[event % 4]))
+            event, path, content = zip(*out)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(event, pa.int64()), pa.array(path, pa.string()), pa.array(content, pa.binary())],
+                names=["event_id", "path", "content"],
+            )
+
+    return log_texts(spark, sf_dir).mapInArrow(encode, "event_id BIGINT, path STRING, content BINARY")
+
+
+# --- files, manifest, notifications (FIXTURES.md B4) -----------------------------------
+
+
+def log_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct files: ``cluster_id, user_id, day, key``."""
+    day = F.substring(iso_utc(F.col("ts_us")), 1, 10)
+    rows = events(spark, sf_dir).select("user_id", day.alias("day")).distinct()
+    return rows.select(cluster_of(F.col("user_id")).alias("cluster_id"), "user_id", "day", _file_key(F.col("day")).alias("key"))
+
+
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the store holds: some notified files are missing."""
+    number = F.substring("day", 9, 2).cast("int")
+    return (
+        log_files(spark, sf_dir)
+        .filter((F.col("user_id") + number) % 13 != 0)
+        .select("key", (F.col("user_id") * 100 + number).alias("length"))
+    )
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per cluster; for every eighth user one file more than there is."""
+    files = log_files(spark, sf_dir).groupBy("user_id").agg(F.count("*").alias("days"))
+    return files.select(
+        cluster_of(F.col("user_id")).alias("cluster_id"),
+        F.lit(INITIAL_WORKERS).cast("bigint").alias("initial_workers"),
+        (F.col("days") + F.when(F.col("user_id") % 8 == 5, 1).otherwise(0)).alias("num_log_files"),
+    )
+
+
+def manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON manifests of at most 100 clusters each, some entries faulty."""
+    entry = F.expr(
+        "case when user_id % 19 = 7 then '\"not a mapping\"' else concat('{\"cluster_id\":\"', "
+        "case when user_id % 9 = 0 then '' when user_id % 17 = 3 then 'cluster-twice' else concat('cluster-', user_id) end, "
+        "'\",\"initial_workers\":', case when user_id % 11 = 5 then '-1' when user_id % 13 = 6 then '\"4\"' else '4' end, "
+        "',\"num_log_files\":', if(user_id % 15 = 8, 0, user_id % 30 + 1), '}') end"
+    )
+    users = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct()
+    listed = users.groupBy(F.floor(F.col("user_id") / 100).alias("doc")).agg(
+        F.array_sort(F.collect_list(F.struct("user_id", entry.alias("entry")))).alias("items")
+    )
+    return listed.select(
+        F.concat(F.lit("manifest-"), F.col("doc").cast("string")).alias("doc_id"),
+        F.concat(F.lit('{"clusters": ['), F.array_join("items.entry", ", "), F.lit("]}")).alias("text"),
+    )
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queue messages ``message_id, body``: one per file, some twice, some broken."""
+    number = F.substring("day", 9, 2).cast("int")
+    files = log_files(spark, sf_dir).withColumn("body", F.expr(
+        "concat('{\"bucket\":\"driver-logs\",\"key\":\"', key, '\",\"cluster_id\":\"', cluster_id, '\",\"extra\":1}')"
+    )).withColumn("name", F.concat("cluster_id", F.lit("-"), "day"))
+    once = files.select(F.concat(F.lit("m-"), "name").alias("message_id"), "body")
+    again = files.filter((F.col("user_id") + number) % 11 == 0).select(F.concat(F.lit("again-"), "name").alias("message_id"), "body")
+    broken = events(spark, sf_dir).filter((F.col("event_id") % 100).between(1, 4)).select(
+        F.concat(F.lit("b-"), F.col("event_id").cast("string")).alias("message_id"),
+        F.expr(
+            "case event_id % 100 when 1 then concat('{\"bucket\":\"driver-logs\",\"key\":\"k\",\"cluster_id\":\"ghost-', user_id, '\"}') "
+            "when 2 then concat('{\"bucket\":\"driver-logs\",\"key\":\"\",\"cluster_id\":\"cluster-', user_id, '\"}') "
+            "when 3 then '[]' else 'not json' end"
+        ).alias("body"),
+    )
+    return once.unionByName(again).unionByName(broken)
+
+
+# --- raw rules (FIXTURES.md B5) --------------------------------------------------------
+
+
+def raw_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw rule per event in the rule set of its user, with every kind of fault."""
+    def text(value: str, kind: str) -> list[Column]:
+        return [F.expr(value), F.expr(kind)]
+
+    fields = {
+        "name": text("if(event_id % 17 = 0, null, concat('r', event_id % 200))", "if(event_id % 17 = 0, null, 'str')"),
+        "metric": text("if(event_id % 31 = 0, '', 'batchDuration')", "'str'"),
+        "aggregation": text("if(event_id % 5 = 0, 'median', 'avg')", "'str'"),
+        "operator": text("if(event_id % 7 = 0, 'gte', 'gt')", "'str'"),
+        "threshold": text("element_at(array('5e9', 'five', '2.5', 'True'), cast(event_id % 4 as int) + 1)",
+                          "element_at(array('str', 'str', 'float', 'bool'), cast(event_id % 4 as int) + 1)"),
+        "window_minutes": text("if(event_id % 6 = 0, '0', '15')", "if(event_id % 12 = 0, 'int', 'str')"),
+        "min_batches": text("case when event_id % 9 = 0 then '1.5' when event_id % 8 = 0 then '0' else '3.0' end", "'float'"),
+        "target_workers": text("if(event_id % 10 = 0, '-1', cast(k as string))", "'int'"),
+        "cooldown_minutes": text("if(event_id % 23 = 0, null, '20.0')", "if(event_id % 23 = 0, null, 'str')"),
+    }
+    columns = [c for name, (value, kind) in fields.items() for c in (value.alias(name), kind.alias(f"{name}_type"))]
+    return events(spark, sf_dir).select(
+        F.concat(F.lit("rules-"), F.col("user_id").cast("string")).alias("ruleset"),
+        F.col("event_id").cast("int").alias("rule_ord"),
+        *columns,
+    )
+
+
+def rules_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A YAML rules document per event."""
+    return events(spark, sf_dir).select(
+        F.concat(F.lit("rules-"), F.col("event_id").cast("string")).alias("doc_id"),
+        F.expr(
+            "concat('rules:\\n  - name: up-', user_id, '\\n    metric: batchDuration\\n    aggregation: avg\\n    operator: gt\\n"
+            "    threshold: 5e9\\n    window_minutes: ', k + 1, '\\n    min_batches: 3.0\\n    target_workers: \"8\"\\n    cooldown_minutes: 20\\n"
+            "  - name: down-', user_id, '\\n    metric: source.k\\n    aggregation: max\\n    operator: lt\\n"
+            "    threshold: ', cents, '\\n    window_minutes: 30\\n    min_batches: 5\\n    target_workers: 2\\n    cooldown_minutes: 60\\n')"
+        ).alias("text"),
+    )

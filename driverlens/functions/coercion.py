@@ -6,29 +6,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted spellings.
-DECIMAL_NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+DECIMAL_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 DIGITS = r"^-?\d+$"
 ISO_TIMESTAMP = (
-    r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:[T ](\d{2})(:\d{2})?(:\d{2})?(\.\d{1,6})?([Zz]|[+-]\d{2}:\d{2}(?::\d{2})?)?)?$"
+    r"^\d{4}-\d{2}-\d{2}"
+    r"([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:\d{2}(:\d{2})?)?)?$"
 )
+HAS_OFFSET = r"(Z|.{11,}[+-]\d{2}:\d{2}(:\d{2})?)$"
+BLANKS = " \t\n\r\x0b\x0c"
 
 
 def stripped(text: Column) -> Column:
     """Trim every kind of blank, not the space character alone."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
-def ascii_number(text: Column) -> Column:
-    """Decimal text to a finite double, else NULL."""
-    clean = stripped(text)
-    number = F.when(clean.rlike(DECIMAL_NUMBER), clean.try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+def decimal_or_infinite(text: Column) -> Column:
+    """Decimal text to a double; the cast trims blanks, the pattern keeps ``0x1`` and ``1d`` out."""
+    return F.when(text.rlike(DECIMAL_NUMBER), text.try_cast("double"))
+
+
+def is_finite(number: Column) -> Column:
+    return F.abs(number) < F.lit(float("inf"))
 
 
-def json_number(json_type: Column, text: Column) -> Column:
-    """A JSON scalar to a finite double: numbers and numeric strings, never booleans."""
-    return F.when(json_type.isin("number", "string"), ascii_number(text))
+def ascii_number(text: Column) -> Column:
+    """Decimal text to a finite double, else NULL."""
+    number = decimal_or_infinite(text)
+    return F.when(is_finite(number), number)
 
 
 def batch_number(json_type: Column, text: Column) -> Column:
@@ -43,13 +48,11 @@ def batch_number(json_type: Column, text: Column) -> Column:
 
 def utc_timestamp(text: Column) -> Column:
     """ISO-8601 text to a timestamp; no offset means UTC, anything else is NULL."""
-    clean = stripped(text)
-
-    def part(group: int, default: str) -> Column:
-        found = F.regexp_extract(clean, ISO_TIMESTAMP, group)
-        return F.when(found == "", F.lit(default)).otherwise(found)
-
-    full = F.concat(
-        part(1, ""), F.lit("T"), part(2, "00"), part(3, ":00"), part(4, ":00"), part(5, ""), F.upper(part(6, "Z"))
-    )
-    return F.when(clean.rlike(ISO_TIMESTAMP), full.try_cast("timestamp"))
+    clean = F.upper(stripped(text))
+    has_seconds = (F.substring(clean, 14, 1) == ":") & (F.substring(clean, 17, 1) == ":")
+    filled = F.regexp_replace(clean, r"^(.{10})$", "$1T00")
+    filled = F.regexp_replace(filled, r"^(.{10}[T ]\d{2})(?=[Z+-]|$)", "$1:00")
+    filled = F.regexp_replace(filled, r"^(.{10}[T ]\d{2}:\d{2})(?=[Z+-]|$)", "$1:00")
+    full = F.when(has_seconds, clean).otherwise(filled)
+    zoned = F.when(clean.rlike(HAS_OFFSET), full).otherwise(F.concat(full, F.lit("Z")))
+    return F.when(clean.rlike(ISO_TIMESTAMP), zoned.try_cast("timestamp"))

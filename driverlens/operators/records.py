@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from driverlens.functions.coercion import ascii_number, batch_number, utc_timestamp
+from driverlens.functions.coercion import ascii_number, batch_number, decimal_or_infinite, is_finite, utc_timestamp
 from driverlens.operators.entries import PROGRESS_MARKER, progress_entries
 
 # Fields that identify a record rather than measure it.
@@ -52,87 +52,99 @@ def json_type(value: Column) -> Column:
     )
 
 
-def source_fields(document: Column) -> Column:
-    """``sources[0].metrics`` as a map of text; empty if missing or of another shape."""
-    inner = F.from_json(F.get_json_object(document["sources"], "$[0].metrics"), "map<string,string>", JSON_OPTIONS)
-    return F.coalesce(last_wins(inner), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
-
-
 def _numbers(fields: Column) -> Column:
-    return F.map_filter(F.transform_values(fields, lambda _, v: ascii_number(v)), lambda _, v: v.isNotNull())
+    return F.map_filter(F.transform_values(fields, lambda _, v: decimal_or_infinite(v)), lambda _, v: is_finite(v))
 
 
-def all_metrics(document: Column) -> Column:
+def all_metrics(document: Column, source: Column) -> Column:
     """Every numeric field by name, source metrics under ``source.<name>``."""
-    source = F.transform_keys(_numbers(source_fields(document)), lambda k, _: F.concat(F.lit(SOURCE_PREFIX), k))
+    source = F.transform_keys(_numbers(source), lambda k, _: F.concat(F.lit(SOURCE_PREFIX), k))
     top = _numbers(F.map_filter(document, lambda k, _: ~k.isin(*IDENTITY_FIELDS)))
-    return F.map_concat(F.map_filter(top, lambda k, _: ~F.map_contains_key(source, k)), source)
+    merged = F.map_concat(F.map_filter(top, lambda k, _: ~F.map_contains_key(source, k)), source)
+    return F.coalesce(merged, top)
 
 
-def chosen_metrics(document: Column, names: Sequence[str]) -> Column:
+def chosen_metrics(document: Column, source: Column, names: Sequence[str]) -> Column:
     """The same for known names only: plain lookups, no walk over all fields."""
-    source = source_fields(document)
     pairs = []
     for name in names:
-        top = F.lit(None).cast("string") if name in IDENTITY_FIELDS else document[name]
-        number = ascii_number(top)
+        number = F.lit(None).cast("double") if name in IDENTITY_FIELDS else ascii_number(document[name])
         if name.startswith(SOURCE_PREFIX):
             number = F.coalesce(ascii_number(source[name[len(SOURCE_PREFIX):]]), number)
         pairs += [F.lit(name), number]
-    return F.create_map(*pairs)
+    return F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,double>")
 
 
-def classified(entries: DataFrame, metrics: Sequence[str] | None = None) -> DataFrame:
-    """Every entry with ``status``, ``reason`` and, for records, the typed fields."""
-    keep = [c for c in entries.columns if c != "text"]
-    decoded = (
+def _decoded(entries: DataFrame) -> DataFrame:
+    """``payload``, its fields ``document`` and those of its first source ``source``.
+
+    Each decoding is a column of its own: Catalyst then keeps it to one evaluation per row.
+    ``source`` is NULL if there is none or it has another shape.
+    """
+    source_text = F.get_json_object(F.col("document")["sources"], "$[0].metrics")
+    return (
         entries.withColumn("payload", payload(F.col("text")))
-        .withColumn("document", last_wins(F.from_json("payload", "map<string,string>", JSON_OPTIONS)))
+        .withColumn("document", F.from_json("payload", "map<string,string>", JSON_OPTIONS))
         .withColumn("typed", F.from_json("payload", "struct<id:variant,batchId:variant>", JSON_OPTIONS))
+        .withColumn("document", last_wins(F.col("document")))
+        .withColumn("source", F.from_json(source_text, "map<string,string>", JSON_OPTIONS))
+        .withColumn("source", last_wins(F.col("source")))
+        .withColumns({"id_type": json_type(F.col("typed.id")), "batch_type": json_type(F.col("typed.batchId"))})
     )
-    document = F.col("document")
-    id_type, batch_type = json_type(F.col("typed.id")), json_type(F.col("typed.batchId"))
-    fields = decoded.select(
+
+
+def classified(entries: DataFrame, metrics: Sequence[str] | None = None) -> DataFrame:
+    """Every entry with ``status``, ``reason`` and, for records, the typed fields."""
+    keep = [c for c in entries.columns if c != "text"]
+    document, source = F.col("document"), F.col("source")
+    fields = _decoded(entries).select(
         *keep,
         "payload",
         "document",
-        F.when(id_type == "string", document["id"]).alias("id"),
-        batch_number(batch_type, document["batchId"]).alias("batch_id"),
+        "source",
+        F.when(F.col("id_type") == "string", document["id"]).alias("id"),
+        batch_number(F.col("batch_type"), document["batchId"]).alias("batch_id"),
         utc_timestamp(document["timestamp"]).alias("ts"),
         document["timestamp"].alias("ts_raw"),
     )
-    reason = (
-        F.when(F.col("payload").isNull(), F.lit(None).cast("string"))
-        .when(document.isNull(), "payload is not a JSON object")
-        .when(F.coalesce(F.length("id"), F.lit(0)) == 0, "id is not a non-empty string")
-        .when(F.col("batch_id").isNull(), "batchId is not a whole number")
-        .when(F.col("ts").isNull(), "timestamp is not ISO-8601")
-    )
     status = (
         F.when(F.col("payload").isNull(), OTHER)
         .when(document.isNull(), MALFORMED)
-        .when(F.col("reason").isNotNull(), INCOMPLETE)
+        .when((F.coalesce(F.length("id"), F.lit(0)) == 0) | F.col("batch_id").isNull() | F.col("ts").isNull(), INCOMPLETE)
         .otherwise(RECORD)
     )
-    values = all_metrics(document) if metrics is None else chosen_metrics(document, metrics)
-    return (
-        fields.withColumn("reason", reason)
-        .withColumn("status", status)
-        .select(
-            *keep, "status", "reason", "id", "batch_id", F.unix_micros("ts").alias("ts_us"), "ts_raw",
-            F.when(F.col("status") == RECORD, values).alias("metrics"),
-        )
+    reason = (
+        F.when(F.col("status") == MALFORMED, "payload is not a JSON object")
+        .when(F.col("status") != INCOMPLETE, F.lit(None).cast("string"))
+        .when(F.coalesce(F.length("id"), F.lit(0)) == 0, "id is not a non-empty string")
+        .when(F.col("batch_id").isNull(), "batchId is not a whole number")
+        .otherwise("timestamp is not ISO-8601")
+    )
+    values = all_metrics(document, source) if metrics is None else chosen_metrics(document, source, metrics)
+    return fields.withColumn("status", status).select(
+        *keep, "status", reason.alias("reason"), "id", "batch_id", F.unix_micros("ts").alias("ts_us"), "ts_raw",
+        F.when(F.col("status") == RECORD, values).alias("metrics"),
     )
 
 
+def _kept(rows: DataFrame, condition: Column, columns: list[str]) -> DataFrame:
+    """A filter as a generator: each row yields itself or nothing.
+
+    A plain filter on ``status`` would be pushed below the projections that compute it, and
+    every payload decoded again for each mention of it.
+    """
+    return rows.select(F.inline(F.when(condition, F.array(F.struct(*columns)))))
+
+
 def progress_records(entries: DataFrame, metrics: Sequence[str] | None = None) -> DataFrame:
     rows = classified(progress_entries(entries), metrics)
-    return rows.filter(F.col("status") == RECORD).drop("status", "reason")
+    return _kept(rows, F.col("status") == RECORD, [c for c in rows.columns if c not in ("status", "reason")])
 
 
 def rejected_records(entries: DataFrame) -> DataFrame:
-    rows = classified(progress_entries(entries))
-    return rows.filter(F.col("status") != RECORD).drop("id", "batch_id", "ts_us", "ts_raw", "metrics")
+    rows = classified(progress_entries(entries), metrics=[])
+    typed = ("id", "batch_id", "ts_us", "ts_raw", "metrics")
+    return _kept(rows, F.col("status") != RECORD, [c for c in rows.columns if c not in typed])
 
 
 def metrics_long(records: DataFrame) -> DataFrame:
@@ -144,7 +156,7 @@ def metrics_long(records: DataFrame) -> DataFrame:
 def parse_stats(entries: DataFrame) -> DataFrame:
     """Counters per file, in one map-side combined pass."""
     is_status = lambda s: F.count_if(F.col("status") == s)
-    return classified(entries).groupBy("path").agg(
+    return classified(entries, metrics=[]).groupBy("path").agg(
         F.count("*").alias("entries"),
         F.count_if(F.col("status") != OTHER).alias("progress_entries"),
         is_status(RECORD).alias("records"),

@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from driverlens.operators.filesets import complete_clusters, file_first_ts, file_order
 from driverlens.operators.gates import decisions, point_outcomes, walk_ticks
 from driverlens.operators.recordset import dedup_records
+from driverlens.operators.records import progress_records
 from driverlens.operators.rules import Rule
 from driverlens.operators.windows import evaluate, matched_ticks, ticks
 from driverlens.session import materialize
+from driverlens.sources.control import read_manifest, read_rules
+from driverlens.sources.decision_table import put_decisions, read_decisions
+from driverlens.sources.logs import cluster_of_path, read_log_files, scan_entries
 
 
 @dataclass(frozen=True)
@@ -43,3 +49,29 @@ def decision_points(records: DataFrame, initial: DataFrame, rules: list[Rule]) -
     """One row per record at which a rule matched, blocked ones included."""
     walk = walk_records(records, initial, rules)
     return point_outcomes(walk.walked, records, walk.ticks, rules)
+
+
+def decide_from_logs(
+    spark: SparkSession, logs: str, manifest_path: str, rules_path: str, table: str | None = None, write_seq: int = 0
+) -> DataFrame:
+    """The whole run: log folder, manifest and rules in, decisions out (and stored)."""
+    rules = read_rules(spark, rules_path)
+    manifest = read_manifest(spark, manifest_path)
+    files = read_log_files(spark, logs)
+    # The listing never opens a file: ``content`` is pruned. A file counts as arrived even if
+    # no progress entry is in it. Contents are decoded where they are read and never joined.
+    listing = files.select(cluster_of_path(F.col("path")).alias("cluster_id"), F.col("path").alias("key"))
+    complete = complete_clusters(listing, manifest).select("cluster_id", "initial_workers")
+    entries = scan_entries(files, progress_only=True).withColumn("cluster_id", cluster_of_path(F.col("path")))
+    parsed = progress_records(entries, sorted({r.metric for r in rules}))
+    records = materialize(parsed.join(complete.select("cluster_id"), "cluster_id", "left_semi"), "records")
+    first_times = file_first_ts(records).withColumnRenamed("path", "key")
+    order = file_order(listing, first_times).select("cluster_id", F.col("key").alias("path"), "file_ord")
+    initial = complete.select(
+        "cluster_id", F.col("initial_workers").alias("workers"), F.lit(None).cast("bigint").alias("last_us")
+    )
+    made = decide(records.join(order, ["cluster_id", "path"]).drop("path"), initial, rules)
+    if table is None:
+        return made
+    put_decisions(made, table, write_seq)
+    return read_decisions(spark, table)
