@@ -125,11 +125,12 @@ def walk_ticks(
 
     # At most (all ticks / threshold) clusters are hot, so this list is small by construction.
     counts = ticks.groupBy("cluster_id").agg(F.count("*").alias("ticks"))
-    hot = materialize(counts.filter(F.col("ticks") > hot_cluster_ticks).select("cluster_id"), "hot")
+    hot = counts.filter(F.col("ticks") > hot_cluster_ticks).select("cluster_id")
     if hot.isEmpty():
         whole = _sorted_slices(ticks.withColumn("slice", F.lit(0).cast("bigint")), start, ["cluster_id"])
         return _traced(whole, walker)
 
+    hot = materialize(hot, "hot")
     time_slice = F.floor(minute_of(F.col("ts_us")) / slice_minutes)
     flagged = ticks.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "cluster_id", "left")
     sliced = flagged.withColumn("slice", F.when(F.col("is_hot"), time_slice).otherwise(F.lit(0)).cast("bigint")).drop("is_hot")

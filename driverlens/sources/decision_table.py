@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driverlens.operators.recordset import ranked
+
 DECISION_KEY = ["cluster_id", "decision_ts"]
 DECISION_COLUMNS = [*DECISION_KEY, "rule_name", "from_workers", "to_workers"]
 TABLE_SCHEMA = (
@@ -52,6 +54,20 @@ def get_decision(decisions: DataFrame, cluster_id: str, decision_ts: str) -> Dat
     return decisions.filter((F.col("cluster_id") == cluster_id) & (F.col("decision_ts") == decision_ts))
 
 
+def lookup_decisions(decisions: DataFrame, keys: DataFrame) -> DataFrame:
+    """Point lookups in bulk: ``keys`` holds ``cluster_id, decision_ts``."""
+    return decisions.join(keys.select(*DECISION_KEY), DECISION_KEY)
+
+
+def listed(decisions: DataFrame) -> DataFrame:
+    """Every cluster's listing at once: ``position`` of a decision by ``decision_ts`` as text.
+
+    The day's ten characters bucket the rows: a busy cluster is not sorted in one task.
+    """
+    day = F.substring("decision_ts", 1, 10)
+    return ranked(decisions, ["cluster_id"], day, [F.col("decision_ts")], "position")
+
+
 def cluster_decisions(decisions: DataFrame, cluster_id: str) -> DataFrame:
     """A cluster's decisions by ``decision_ts`` as text, the order of the table's sort key."""
     return decisions.filter(F.col("cluster_id") == cluster_id).orderBy("decision_ts")
