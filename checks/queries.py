@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -495,9 +496,9 @@ def stream_state_size(spark, sf_dir):
     walk = _incremental(spark, sf_dir)
     sizes = None
     for epoch in range(CHUNKS + 1):
-        for name in ("pending", "lookback", "seen"):
-            rows = walk.state(spark, name, epoch).agg(F.count("*").alias("records"))
-            rows = rows.select(F.lit(epoch).alias("epoch"), F.lit(name).alias("state"), "records")
+        kept = {"pending": walk.pending(spark, epoch)} | {n: walk.state(spark, n, epoch) for n in ("lookback", "seen")}
+        for name, rows in kept.items():
+            rows = rows.agg(F.count("*").alias("records")).select(F.lit(epoch).alias("epoch"), F.lit(name).alias("state"), "records")
             sizes = rows if sizes is None else sizes.unionByName(rows)
     return sizes
 
@@ -506,13 +507,13 @@ def stream_state_size(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """The records each micro-batch found new; together every record once."""
     walk = _incremental(spark, sf_dir)
-    paths = [f"{walk.state_dir}/epoch={epoch}/new" for epoch in range(CHUNKS)]
-    return spark.read.schema(RECORD_SCHEMA).parquet(*paths).select("cluster_id", "id", "batch_id", "ts_us")
+    arrived = [walk.state(spark, "arrived", epoch).filter("is_new") for epoch in range(CHUNKS)]
+    return reduce(DataFrame.unionByName, arrived).select("cluster_id", "id", "batch_id", "ts_us")
 
 
 @query
 def walk_stats(spark, sf_dir):
-    stats = _incremental(spark, sf_dir).stats(spark, CHUNKS + 1)
+    stats = _incremental(spark, sf_dir).stats(spark, CHUNKS)
     return stats.select("cluster_id", "records_seen", "unique_records", "evaluation_points", "late_records")
 
 

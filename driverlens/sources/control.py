@@ -40,7 +40,8 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 def _rule_items(text: str) -> list:
     import yaml
 
-    document = yaml.safe_load(text)
+    # The C loader reads the same documents, where the library was built with it.
+    document = yaml.load(text, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))
     if not isinstance(document, dict) or not isinstance(document.get("rules"), list):
         raise ValueError("the rules document must be a mapping with a 'rules' list")
     return document["rules"]

@@ -19,6 +19,9 @@ from driverlens.sources.decision_table import put_decisions
 from driverlens.streaming.incremental import RECORD_SCHEMA
 
 ARRIVAL_SCHEMA = RECORD_SCHEMA + ", key STRING"
+FILE_SCHEMA = "cluster_id STRING, key STRING"
+DONE_SCHEMA = "cluster_id STRING"
+BUCKETS = 16
 
 
 @dataclass(frozen=True)
@@ -38,25 +41,37 @@ class CompleteThenWalk:
             .start()
         )
 
-    def _all(self, spark: SparkSession, name: str, schema: str, epochs: range) -> DataFrame:
-        paths = [f"{self.state_dir}/epoch={e}/{name}" for e in epochs]
-        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    def _table(self, spark: SparkSession, name: str, schema: str, epochs: int) -> DataFrame:
+        """What the first ``epochs`` micro-batches wrote; the number prunes the folders read."""
+        if epochs == 0:
+            return spark.createDataFrame([], schema)
+        rows = spark.read.schema(schema + ", epoch INT").parquet(f"{self.state_dir}/{name}")
+        return rows.filter(F.col("epoch") < epochs).drop("epoch")
+
+    def _store(self, df: DataFrame, name: str, epoch: int, *partitions: str) -> None:
+        df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.state_dir}/{name}/epoch={epoch}")
 
     def process(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        here = f"{self.state_dir}/epoch={epoch}"
-        done = self._all(spark, "done", "cluster_id STRING", range(epoch))
+        done = self._table(spark, "done", DONE_SCHEMA, epoch)
         known = batch.join(self.manifest.select("cluster_id"), "cluster_id", "left_semi")
-        open_rows = known.join(done, "cluster_id", "left_anti")
-        open_rows.write.mode("overwrite").parquet(f"{here}/arrivals")
+        # Bucketed by cluster, so that a walk reads the buckets of its clusters only.
+        bucket = F.pmod(F.xxhash64("cluster_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
+        open_rows = known.join(done, "cluster_id", "left_anti").select("*", bucket)
+        self._store(open_rows, "arrivals", epoch, "bucket")
 
-        arrivals = self._all(spark, "arrivals", ARRIVAL_SCHEMA, range(epoch + 1))
-        complete = complete_clusters(arrivals.select("cluster_id", "key"), self.manifest)
-        ready = complete.select("cluster_id").join(done, "cluster_id", "left_anti")
-        ready.write.mode("overwrite").parquet(f"{here}/done")
-        ready = spark.read.schema("cluster_id STRING").parquet(f"{here}/done")
+        here = spark.read.schema(FILE_SCHEMA).parquet(f"{self.state_dir}/arrivals/epoch={epoch}")
+        self._store(here.distinct(), "files", epoch)
+        complete = complete_clusters(self._table(spark, "files", FILE_SCHEMA, epoch + 1), self.manifest)
+        self._store(complete.select("cluster_id").join(done, "cluster_id", "left_anti"), "done", epoch)
+        ready = spark.read.schema(DONE_SCHEMA).parquet(f"{self.state_dir}/done/epoch={epoch}")
 
-        records = arrivals.filter(F.col("id").isNotNull()).drop("key").join(ready, "cluster_id", "left_semi")
+        buckets = [r.bucket for r in ready.select(bucket).distinct().collect()]  # at most BUCKETS
+        if not buckets:
+            return
+        arrivals = self._table(spark, "arrivals", ARRIVAL_SCHEMA + ", bucket INT", epoch + 1)
+        mine = arrivals.filter(F.col("bucket").isin(buckets) & F.col("id").isNotNull()).drop("key", "bucket")
+        records = mine.join(ready, "cluster_id", "left_semi")
         initial = self.manifest.join(ready, "cluster_id", "left_semi").select(
             "cluster_id", F.col("initial_workers").alias("workers"), F.lit(None).cast("bigint").alias("last_us")
         )

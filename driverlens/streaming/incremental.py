@@ -8,8 +8,8 @@ Each micro-batch runs the same operators as the batch plan on what can be decide
 * evaluated records stay as look-back for the widest rule window, keys of seen records two
   hours longer.
 
-State is four tables per micro-batch in ``state_dir``, partitioned by nothing but Spark's
-own hash partitioning: no task ever holds a whole cluster. Every write goes to a folder named
+State is a few tables per micro-batch in ``state_dir``, spread by Spark's own hash
+partitioning: no task ever holds a whole cluster. Every write goes to a folder named
 by the micro-batch number and replaces what a failed try left there; the stream's checkpoint
 repeats a micro-batch until it succeeds, so the outcome is the same after any loss.
 """
@@ -22,12 +22,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driverlens.functions.timegrid import MINUTE_US
-from driverlens.operators.gates import decisions, walk_ticks
-from driverlens.operators.recordset import RECORD_KEY, dedup_records
+from driverlens.operators.recordset import RECORD_KEY
 from driverlens.operators.rules import Rule
-from driverlens.operators.windows import evaluate, matched_ticks
-from driverlens.plans.decide import store_ticks
-from driverlens.sources.decision_table import put_decisions
+from driverlens.plans.decide import walk_records
+from driverlens.sources.decision_table import TABLE_SCHEMA, put_decisions
 
 DEDUP_MARGIN_US = 120 * MINUTE_US  # fixed value: two hours beyond the look-back
 
@@ -35,15 +33,14 @@ RECORD_SCHEMA = (
     "cluster_id STRING, id STRING, batch_id BIGINT, ts_us BIGINT, ts_raw STRING, "
     "metrics MAP<STRING,DOUBLE>, file_ord INT, entry_no BIGINT"
 )
+PAYLOAD = ["ts_us", "ts_raw", "metrics", "file_ord", "entry_no"]
+RECORD_COLUMNS = RECORD_KEY + PAYLOAD
 STATE_SCHEMAS = {
-    "pending": RECORD_SCHEMA,
+    "arrived": RECORD_SCHEMA + ", copies BIGINT, is_new BOOLEAN, is_late BOOLEAN",
+    "pool": RECORD_SCHEMA + ", frontier_us BIGINT, is_ready BOOLEAN",
     "lookback": RECORD_SCHEMA,
     "seen": "cluster_id STRING, id STRING, batch_id BIGINT, ts_us BIGINT",
-    "clusters": "cluster_id STRING, workers BIGINT, last_us BIGINT",
-    "counts": (
-        "cluster_id STRING, records_seen BIGINT, unique_records BIGINT, evaluation_points BIGINT, "
-        "late_records BIGINT, held_records BIGINT"
-    ),
+    "clusters": "cluster_id STRING, workers BIGINT, last_us BIGINT, walked_us BIGINT",
 }
 
 
@@ -74,119 +71,96 @@ class IncrementalWalk:
     def process(self, batch: DataFrame, epoch: int) -> None:
         """One micro-batch. Records of clusters the manifest does not list are dropped."""
         spark = batch.sparkSession
-        known = batch.join(self.manifest.select("cluster_id"), "cluster_id", "left_semi").persist()
-        try:
-            seen = self.state(spark, "seen", epoch - 1)
-            new = dedup_records(known).join(seen.select(*RECORD_KEY), RECORD_KEY, "left_anti")
-            self._store(new, "new", epoch)
-            new = self._stored(spark, "new", RECORD_SCHEMA, epoch)
-            self._advance(spark, epoch, new, known.groupBy("cluster_id").agg(F.count("*").alias("arrived")))
-        finally:
-            known.unpersist()
+        known = batch.join(self.manifest.select("cluster_id"), "cluster_id", "left_semi")
+        copies = known.groupBy(*RECORD_KEY).agg(
+            F.count("*").alias("copies"), F.min_by(F.struct(*PAYLOAD), F.struct("file_ord", "entry_no")).alias("r")
+        )
+        seen = self.state(spark, "seen", epoch - 1).select(*RECORD_KEY, F.lit(True).alias("was_seen"))
+        walked_to = self.state(spark, "clusters", epoch - 1).select("cluster_id", "walked_us")
+        is_new = F.col("was_seen").isNull()
+        self._store(
+            copies.join(seen, RECORD_KEY, "left").join(walked_to, "cluster_id", "left").select(
+                *RECORD_KEY, "r.*", "copies", is_new.alias("is_new"),
+                F.coalesce(is_new & (F.col("r.ts_us") < F.col("walked_us")), F.lit(False)).alias("is_late"),
+            ),
+            "arrived", epoch,
+        )
+        new = self.state(spark, "arrived", epoch).filter("is_new").select(*RECORD_COLUMNS)
+        frontier = new.groupBy("cluster_id").agg(F.min("ts_us").alias("frontier_us"))
+        pool = self.pending(spark, epoch - 1).unionByName(new).join(frontier, "cluster_id", "left")
+        is_ready = F.coalesce(F.col("ts_us") < F.col("frontier_us"), F.lit(False))
+        self._advance(spark, epoch, pool.withColumn("is_ready", is_ready), new)
 
     def finish(self, spark: SparkSession, epoch: int) -> None:
         """End of input: everything that still waits is final."""
-        self._advance(spark, epoch, None, None)
+        pool = self.pending(spark, epoch - 1)
+        no_frontier = F.lit(None).cast("bigint")
+        none_new = spark.createDataFrame([], RECORD_SCHEMA)
+        self._advance(spark, epoch, pool.withColumns({"frontier_us": no_frontier, "is_ready": F.lit(True)}), none_new)
 
-    def _advance(self, spark: SparkSession, epoch: int, new: DataFrame | None, arrived: DataFrame | None) -> None:
-        before = epoch - 1
-        pending, lookback = self.state(spark, "pending", before), self.state(spark, "lookback", before)
-        seen, clusters = self.state(spark, "seen", before), self.state(spark, "clusters", before)
-        window_us = max((r.window_minutes for r in self.rules), default=0) * MINUTE_US
+    def pending(self, spark: SparkSession, epoch: int) -> DataFrame:
+        """Records that wait for a later micro-batch to confirm them."""
+        return self.state(spark, "pool", epoch).filter(~F.col("is_ready")).select(*RECORD_COLUMNS)
 
-        if new is None:
-            pool = pending.withColumns({"frontier_us": F.lit(None).cast("bigint"), "is_ready": F.lit(True)})
-            frontier = None
-        else:
-            frontier = new.groupBy("cluster_id").agg(F.min("ts_us").alias("frontier_us"))
-            pool = pending.unionByName(new).join(frontier, "cluster_id", "left")
-            pool = pool.withColumn("is_ready", F.coalesce(F.col("ts_us") < F.col("frontier_us"), F.lit(False)))
+    def _advance(self, spark: SparkSession, epoch: int, pool: DataFrame, new: DataFrame) -> None:
         self._store(pool, "pool", epoch)
-        pool = self._stored(spark, "pool", RECORD_SCHEMA + ", frontier_us BIGINT, is_ready BOOLEAN", epoch)
-        ready = pool.filter("is_ready").drop("frontier_us", "is_ready")
+        pool = self.state(spark, "pool", epoch)
+        lookback, clusters = self.state(spark, "lookback", epoch - 1), self.state(spark, "clusters", epoch - 1)
+        ready = pool.filter("is_ready").select(*RECORD_COLUMNS)
+        flushed = pool.filter("is_ready").groupBy("cluster_id").agg(F.max("frontier_us").alias("frontier_us"))
 
         # Walk the final records, with the look-back of the clusters that have any.
-        flushed = pool.filter("is_ready").groupBy("cluster_id").agg(
-            F.max("frontier_us").alias("frontier_us"), F.count("*").alias("points")
-        )
         context = lookback.join(flushed.select("cluster_id"), "cluster_id", "left_semi")
-        tick_table = store_ticks(
-            ready.withColumn("is_point", F.lit(True)).unionByName(context.withColumn("is_point", F.lit(False))), self.rules
-        )
-        initial = (
-            self.manifest.join(clusters, "cluster_id", "left")
-            .select("cluster_id", F.coalesce("workers", F.col("initial_workers").cast("bigint")).alias("workers"), "last_us")
-        )
-        walked = walk_ticks(matched_ticks(evaluate(tick_table, self.rules), self.rules), initial, self.rules)
-        self._store(decisions(walked, tick_table, self.rules), "decisions", epoch)
-        made = self._stored(
-            spark, "decisions",
-            "cluster_id STRING, decision_ts STRING, rule_name STRING, from_workers BIGINT, to_workers BIGINT, "
-            "ts_us BIGINT, batch_id BIGINT",
-            epoch,
-        )
-        put_decisions(made, self.table, epoch)
+        points = ready.withColumn("is_point", F.lit(True)).unionByName(context.withColumn("is_point", F.lit(False)))
+        workers = F.coalesce("workers", F.col("initial_workers").cast("bigint")).alias("workers")
+        entered = self.manifest.join(clusters, "cluster_id", "left").select("cluster_id", workers, "last_us", "walked_us")
+        run = walk_records(points, entered, self.rules)
+        put_decisions(run.decisions, self.table, epoch)
 
         # The next state. Only clusters that were walked are pruned.
-        latest = made.groupBy("cluster_id").agg(F.max_by(F.struct("to_workers", "ts_us"), "ts_us").alias("d"))
+        made = spark.read.schema(TABLE_SCHEMA).parquet(f"{self.table}/write_seq={epoch}")
+        latest = made.groupBy("cluster_id").agg(F.max_by(F.struct("to_workers", "walk_ts_us"), "walk_ts_us").alias("d"))
         self._store(
-            initial.join(latest, "cluster_id", "left").select(
+            entered.join(latest, "cluster_id", "left").join(flushed, "cluster_id", "left").select(
                 "cluster_id",
                 F.coalesce("d.to_workers", "workers").alias("workers"),
-                F.coalesce("d.ts_us", "last_us").alias("last_us"),
+                F.coalesce("d.walk_ts_us", "last_us").alias("last_us"),
+                F.coalesce("frontier_us", "walked_us").alias("walked_us"),
             ),
             "clusters", epoch,
         )
-        waiting = pool.filter(~F.col("is_ready")).drop("frontier_us", "is_ready")
-        keys = seen if new is None else seen.unionByName(new.select("cluster_id", "id", "batch_id", "ts_us"))
-        self._store(waiting, "pending", epoch)
+        window_us = max((r.window_minutes for r in self.rules), default=0) * MINUTE_US
+        keys = self.state(spark, "seen", epoch - 1).unionByName(new.select(*RECORD_KEY, "ts_us"))
         self._store(_younger(lookback.unionByName(ready), flushed, window_us), "lookback", epoch)
         self._store(_younger(keys, flushed, window_us + DEDUP_MARGIN_US), "seen", epoch)
-        self._store(self._counts(pool, lookback, initial, new, arrived), "counts", epoch)
-
-    def _counts(self, pool, lookback, initial, new, arrived) -> DataFrame:
-        points = pool.groupBy("cluster_id").agg(
-            F.count("*").alias("in_pool"), F.count_if("is_ready").alias("evaluation_points")
-        )
-        kept = lookback.groupBy("cluster_id").agg(F.count("*").alias("kept"))
-        rows = initial.select("cluster_id").join(points, "cluster_id", "left").join(kept, "cluster_id", "left")
-        late = F.lit(0)
-        if new is None:
-            rows = rows.withColumns({"arrived": F.lit(0), "fresh": F.lit(0), "late": late})
-        else:
-            # A record older than its cluster's latest walked one was logged later than allowed.
-            edge = lookback.groupBy("cluster_id").agg(F.max("ts_us").alias("edge_us"))
-            fresh = (
-                new.join(edge, "cluster_id", "left")
-                .groupBy("cluster_id")
-                .agg(F.count("*").alias("fresh"), F.count_if(F.col("ts_us") < F.col("edge_us")).alias("late"))
-            )
-            rows = rows.join(arrived, "cluster_id", "left").join(fresh, "cluster_id", "left")
-        number = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
-        return rows.select(
-            "cluster_id",
-            number("arrived").alias("records_seen"),
-            number("fresh").alias("unique_records"),
-            number("evaluation_points").alias("evaluation_points"),
-            number("late").alias("late_records"),
-            (number("in_pool") + number("kept")).alias("held_records"),
-        )
 
     def _store(self, df: DataFrame, name: str, epoch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.state_dir}/epoch={epoch}/{name}")
 
-    def _stored(self, spark: SparkSession, name: str, schema: str, epoch: int) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{self.state_dir}/epoch={epoch}/{name}")
-
     def stats(self, spark: SparkSession, epochs: int) -> DataFrame:
-        """Per cluster: records seen, unique, evaluated, late, and the most held at once."""
-        counts = spark.read.schema(STATE_SCHEMAS["counts"]).parquet(
-            *[f"{self.state_dir}/epoch={e}/counts" for e in range(epochs)]
+        """Per cluster, after ``epochs`` micro-batches and the finish: records seen, unique,
+        evaluated and late, and the most held at once."""
+
+        def all_of(name: str, count: int) -> DataFrame:
+            paths = [f"{self.state_dir}/epoch={e}/{name}" for e in range(count)]
+            rows = spark.read.schema(STATE_SCHEMAS[name]).option("basePath", self.state_dir).parquet(*paths)
+            return rows.withColumn("epoch", F.regexp_extract("_metadata.file_path", r"epoch=(\d+)", 1).cast("int"))
+
+        arrived = all_of("arrived", epochs).groupBy("cluster_id").agg(
+            F.sum("copies").alias("records_seen"),
+            F.count_if("is_new").alias("unique_records"),
+            F.count_if("is_late").alias("late_records"),
+        )
+        pools = all_of("pool", epochs + 1).select("cluster_id", "epoch", "is_ready")
+        # What a micro-batch holds: its pool, and the look-back the one before left.
+        kept = all_of("lookback", epochs).select("cluster_id", (F.col("epoch") + 1).alias("epoch"), F.lit(False).alias("is_ready"))
+        held = pools.unionByName(kept).groupBy("cluster_id", "epoch").agg(
+            F.count("*").alias("held"), F.count_if("is_ready").alias("points")
         )
-        return counts.groupBy("cluster_id").agg(
-            *[F.sum(c).alias(c) for c in ("records_seen", "unique_records", "evaluation_points", "late_records")],
-            F.max("held_records").alias("peak_held_records"),
+        walked = held.groupBy("cluster_id").agg(
+            F.sum("points").alias("evaluation_points"), F.max("held").alias("peak_held_records")
         )
+        return arrived.join(walked, "cluster_id")
 
 
 def _younger(rows: DataFrame, flushed: DataFrame, keep_us: int) -> DataFrame:

@@ -1,0 +1,39 @@
+"""The semantics once more, in plain Python over small lists, to check the plans against."""
+
+from __future__ import annotations
+
+MINUTE_US = 60_000_000
+
+
+def rule_verdict(rule, records, at):
+    inside = [r for r in records if at - rule.window_minutes * MINUTE_US < r["ts_us"] <= at]
+    carrying = [r["metrics"][rule.metric] for r in inside if rule.metric in r["metrics"]]
+    if len(carrying) < rule.min_batches:
+        return False, len(inside), len(carrying), None
+    value = {"avg": lambda v: sum(v) / len(v), "max": max, "min": min, "last": lambda v: v[-1]}[rule.aggregation](carrying)
+    holds = value > rule.threshold if rule.operator == "gt" else value < rule.threshold
+    return holds, len(inside), len(carrying), value
+
+
+def walk(records, rules, workers):
+    """``records``: dicts of one cluster. Returns one row per matched record."""
+    unique = {}
+    for r in records:
+        unique.setdefault((r["id"], r["batch_id"]), r)
+    ordered = sorted(unique.values(), key=lambda r: (r["ts_us"], r["batch_id"], r["id"]))
+    last, out = None, []
+    for r in ordered:
+        at = r["ts_us"]
+        matched = next((x for x in rules if rule_verdict(x, ordered, at)[0]), None)
+        if matched is None:
+            continue
+        if matched.target_workers == workers:
+            outcome = "blocked_idempotence"
+        elif last is not None and at < last + matched.cooldown_minutes * MINUTE_US:
+            outcome = "blocked_cooldown"
+        else:
+            outcome = "decision"
+        out.append((r["batch_id"], matched.name, workers, last, outcome))
+        if outcome == "decision":
+            workers, last = matched.target_workers, at
+    return out
