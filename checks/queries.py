@@ -355,19 +355,20 @@ def _evaluated(spark, sf_dir, rules) -> DataFrame:
     """Rule verdicts per record: those of the record's tick."""
     records = X.progress_from_events(spark, sf_dir)
     verdicts = WI.evaluate(store_ticks(records, rules), rules)
+    verdicts = verdicts.withColumn("verdict", F.col("verdicts")[0])
     return records.select("cluster_id", "ts_us", "batch_id").join(verdicts, ["cluster_id", "ts_us"])
 
 
 def _window(spark, sf_dir, aggregation: str, metric: str = "batchDuration") -> DataFrame:
     rule = RU.Rule("w", metric, aggregation, "gt", 0, 4320, 3, 1, 0)
-    return _evaluated(spark, sf_dir, [rule]).select("cluster_id", "batch_id", F.col("rule_1.aggregate").alias(f"{aggregation}_value"))
+    return _evaluated(spark, sf_dir, [rule]).select("cluster_id", "batch_id", F.col("verdict.aggregate").alias(f"{aggregation}_value"))
 
 
 @query
 def window_counts(spark, sf_dir):
     rule = RU.Rule("w", "batchDuration", "max", "gt", 0, 4320, 1, 1, 0)
     rows = _evaluated(spark, sf_dir, [rule])
-    return rows.select("cluster_id", "batch_id", "rule_1.records_in_window", "rule_1.records_with_metric")
+    return rows.select("cluster_id", "batch_id", "verdict.records_in_window", "verdict.records_with_metric")
 
 
 @query
@@ -393,7 +394,7 @@ def window_last(spark, sf_dir):
 @query
 def rule_evaluations(spark, sf_dir):
     records = X.progress_from_events(spark, sf_dir)
-    return WI.rule_evaluations(WI.evaluate(store_ticks(records, X.RULES), X.RULES), X.RULES)
+    return WI.rule_evaluations(WI.evaluate(store_ticks(records, X.RULES), X.RULES))
 
 
 # --- matching and gates ----------------------------------------------------------------
@@ -402,7 +403,7 @@ def rule_evaluations(spark, sf_dir):
 @query
 def matched_rule(spark, sf_dir):
     records = X.progress_from_events(spark, sf_dir)
-    matched = WI.matched_ticks(WI.evaluate(store_ticks(records, X.RULES), X.RULES), X.RULES)
+    matched = WI.matched_ticks(WI.evaluate(store_ticks(records, X.RULES), X.RULES))
     points = records.select("cluster_id", "ts_us", "batch_id").join(matched, ["cluster_id", "ts_us"])
     above = F.array_join(WI.rules_not_holding_above(X.RULES), ",").alias("rules_not_holding_above")
     return points.select("cluster_id", "batch_id", "rule_ord", above, "aggregate")

@@ -110,8 +110,8 @@ def ticks(records: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def evaluate(tick_table: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Per evaluation tick and rule ``i`` (1-based): a struct ``rule_i`` of
-    ``holds, records_in_window, records_with_metric, aggregate``.
+    """Per evaluation tick an array ``verdicts``, one per rule in file order:
+    ``rule_ord, rule_name, holds, records_in_window, records_with_metric, aggregate``.
 
     ``tick_table`` is read twice, so hand in a stored table (see ``plans.store_ticks``).
     """
@@ -172,7 +172,8 @@ def evaluate(tick_table: DataFrame, rules: list[Rule]) -> DataFrame:
         .agg(F.max("points").alias("points"), *totals)
         .filter(F.col("points") > 0)
     )
-    return met.select(*TICK_KEY, *[_rule_column(r, parts).alias(f"rule_{i}") for i, r in enumerate(rules, 1)])
+    verdicts = F.array(*[_verdict(i, r, parts) for i, r in enumerate(rules, 1)])
+    return met.select(*TICK_KEY, verdicts.alias("verdicts"))
 
 
 def _needed(rules: list[Rule], width: int, parts: list[Part]) -> list[Part]:
@@ -180,13 +181,15 @@ def _needed(rules: list[Rule], width: int, parts: list[Part]) -> list[Part]:
     return list(wanted)
 
 
-def _rule_column(rule: Rule, parts: list[Part]) -> Column:
+def _verdict(rule_ord: int, rule: Rule, parts: list[Part]) -> Column:
     mine = {role: F.col(f"w{rule.window_minutes}_{p.name}") for role, p in _rule_parts(rule, parts).items()}
     with_metric = F.coalesce(mine["count"], F.lit(0).cast("bigint"))
     value = F.try_divide(mine["value"], with_metric) if rule.aggregation == "avg" else mine["value"]
     aggregate = F.when(with_metric >= rule.min_batches, value)
     holds = aggregate > F.lit(rule.threshold) if rule.operator == "gt" else aggregate < F.lit(rule.threshold)
     return F.struct(
+        F.lit(rule_ord).alias("rule_ord"),
+        F.lit(rule.name).alias("rule_name"),
         F.coalesce(holds, F.lit(False)).alias("holds"),
         mine["records"].alias("records_in_window"),
         with_metric.alias("records_with_metric"),
@@ -194,25 +197,15 @@ def _rule_column(rule: Rule, parts: list[Part]) -> Column:
     )
 
 
-def rule_evaluations(evaluated: DataFrame, rules: list[Rule]) -> DataFrame:
+def rule_evaluations(evaluated: DataFrame) -> DataFrame:
     """Long form: one row per evaluation tick and rule."""
-    rows = F.array(
-        *[
-            F.struct(F.lit(i).alias("rule_ord"), F.lit(r.name).alias("rule_name"), F.col(f"rule_{i}").alias("e"))
-            for i, r in enumerate(rules, 1)
-        ]
-    )
-    return evaluated.select(*TICK_KEY, F.inline(rows)).select(*TICK_KEY, "rule_ord", "rule_name", "e.*")
+    return evaluated.select(*TICK_KEY, F.inline("verdicts"))
 
 
-def matched_ticks(evaluated: DataFrame, rules: list[Rule]) -> DataFrame:
+def matched_ticks(evaluated: DataFrame) -> DataFrame:
     """Ticks at which some rule holds, with the first such rule in file order."""
-    ordinals = [F.when(F.col(f"rule_{i}.holds"), F.lit(i)) for i in range(1, len(rules) + 1)]
-    matched = evaluated.withColumn("rule_ord", F.coalesce(*ordinals)).filter(F.col("rule_ord").isNotNull())
-    chosen = F.coalesce(*[F.when(F.col("rule_ord") == i, F.col(f"rule_{i}")) for i in range(1, len(rules) + 1)])
-    return matched.select(*TICK_KEY, "rule_ord", chosen.alias("condition")).select(
-        *TICK_KEY, "rule_ord", "condition.records_in_window", "condition.records_with_metric", "condition.aggregate"
-    )
+    first = F.slice(F.filter("verdicts", lambda v: v["holds"]), 1, 1)
+    return evaluated.select(*TICK_KEY, F.inline(first)).drop("holds", "rule_name")
 
 
 def rules_not_holding_above(rules: list[Rule]) -> Column:

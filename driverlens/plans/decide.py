@@ -36,7 +36,7 @@ def store_ticks(records: DataFrame, rules: list[Rule]) -> DataFrame:
 def walk_records(records: DataFrame, initial: DataFrame, rules: list[Rule], **hot) -> Walk:
     """``records`` are unique already; ``initial`` is ``cluster_id, workers, last_us``."""
     table = store_ticks(records, rules)
-    walked = walk_ticks(matched_ticks(evaluate(table, rules), rules), initial, rules, **hot)
+    walked = walk_ticks(matched_ticks(evaluate(table, rules)), initial, rules, **hot)
     return Walk(table, walked, decisions(walked, table, rules))
 
 

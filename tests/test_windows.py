@@ -13,7 +13,7 @@ from plain_walk import rule_verdict
 
 def verdicts(spark, records, *rules):
     rules = list(rules)
-    rows = rule_evaluations(evaluate(ticks(frame(spark, records), rules), rules), rules).collect()
+    rows = rule_evaluations(evaluate(ticks(frame(spark, records), rules), rules)).collect()
     return {(r.ts_us, r.rule_name): r for r in rows}
 
 
@@ -61,7 +61,7 @@ def test_one_minute_window_has_no_whole_minutes(spark):
 def test_first_rule_in_order_matches_and_shadows(spark):
     a, b = rule(name="a", threshold=100), rule(name="b", threshold=1)
     records = [record(us(9, m), m, batchDuration=50 if m < 6 else 5000) for m in range(0, 12, 2)]
-    matched = matched_ticks(evaluate(ticks(frame(spark, records), [a, b]), [a, b]), [a, b])
+    matched = matched_ticks(evaluate(ticks(frame(spark, records), [a, b]), [a, b]))
     rows = matched.withColumn("above", rules_not_holding_above([a, b])).orderBy("ts_us").collect()
     assert [(r.rule_ord, r.above) for r in rows] == [(2, ["a"]), (1, []), (1, []), (1, [])]
 
