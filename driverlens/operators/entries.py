@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -126,9 +126,9 @@ def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def read_lines(spark, path: str) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Line rows with the file and split they come from."""
-    return spark.read.text(path).select(
+    return spark.read.option("recursiveFileLookup", recursive).text(path).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block_start")
     )
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driverlens.operators.entries import entries_from_lines, read_lines
 from driverlens.operators.filesets import complete_clusters, file_first_ts, file_order
 from driverlens.operators.gates import decisions, point_outcomes, walk_ticks
 from driverlens.operators.recordset import dedup_records
@@ -52,9 +53,19 @@ def decision_points(records: DataFrame, initial: DataFrame, rules: list[Rule]) -
 
 
 def decide_from_logs(
-    spark: SparkSession, logs: str, manifest_path: str, rules_path: str, table: str | None = None, write_seq: int = 0
+    spark: SparkSession,
+    logs: str,
+    manifest_path: str,
+    rules_path: str,
+    table: str | None = None,
+    write_seq: int = 0,
+    as_lines: bool = False,
 ) -> DataFrame:
-    """The whole run: log folder, manifest and rules in, decisions out (and stored)."""
+    """The whole run: log folder, manifest and rules in, decisions out (and stored).
+
+    ``as_lines`` reads splittable text line by line, for plain files of any size; otherwise
+    each file is decoded from its bytes, gzip or not.
+    """
     rules = read_rules(spark, rules_path)
     manifest = read_manifest(spark, manifest_path)
     files = read_log_files(spark, logs)
@@ -62,7 +73,12 @@ def decide_from_logs(
     # no progress entry is in it. Contents are decoded where they are read and never joined.
     listing = files.select(cluster_of_path(F.col("path")).alias("cluster_id"), F.col("path").alias("key"))
     complete = complete_clusters(listing, manifest).select("cluster_id", "initial_workers")
-    entries = scan_entries(files, progress_only=True).withColumn("cluster_id", cluster_of_path(F.col("path")))
+    if as_lines:
+        lines = read_lines(spark, logs, recursive=True)
+        found = entries_from_lines(lines, progress_only=True)
+    else:
+        found = scan_entries(files, progress_only=True)
+    entries = found.withColumn("cluster_id", cluster_of_path(F.col("path")))
     parsed = progress_records(entries, sorted({r.metric for r in rules}))
     records = materialize(parsed.join(complete.select("cluster_id"), "cluster_id", "left_semi"), "records")
     first_times = file_first_ts(records).withColumnRenamed("path", "key")
