@@ -150,10 +150,18 @@ def entries_from_lines(lines: DataFrame, progress_only: bool = False) -> DataFra
     entry_no = (F.col("block_start") + F.col("number")).alias("entry_no")
     inner = pieces.filter(~edge).select("path", entry_no, "text")
     in_file = W.partitionBy("path").orderBy("block_start", "number")
-    whole = F.sum(F.when(continues, 0).otherwise(1)).over(in_file)
+    piece = ["path", "block_start", "number"]
+    chain = pieces.filter(edge).select(
+        *piece,
+        F.contains("text", F.lit(PROGRESS_MARKER)).alias("has_marker"),
+        F.sum(F.when(continues, 0).otherwise(1)).over(in_file).alias("whole"),
+    )
+    if progress_only:
+        # A marker lies within one line, so within one piece: put together only what has one.
+        marked = chain.groupBy("path", "whole").agg(F.bool_or("has_marker").alias("wanted")).filter("wanted")
+        chain = chain.join(marked.select("path", "whole"), ["path", "whole"], "left_semi")
     joined = (
-        pieces.filter(edge)
-        .withColumn("whole", whole)
+        pieces.join(chain.select(*piece, "whole"), piece)
         .groupBy("path", "whole")
         .agg(
             F.min(F.col("block_start") + F.col("number")).alias("entry_no"),

@@ -47,7 +47,7 @@ def file_order(files: DataFrame, first_times: DataFrame) -> DataFrame:
         )
     )
     day = F.floor(F.col("at_us") / DAY_US)
-    ordered = ranked(placed, ["cluster_id"], day, [F.col("at_us"), F.col("key")], "file_ord")
+    ordered = ranked(placed, ["cluster_id"], [day], [F.col("at_us"), F.col("key")], "file_ord")
     return ordered.select("cluster_id", "key", "hour_us", "all_named", "file_ord")
 
 

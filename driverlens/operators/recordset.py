@@ -36,29 +36,43 @@ def dedup_stats(records: DataFrame) -> DataFrame:
     )
 
 
-def ranked(df: DataFrame, group: list[str], bucket: Column, order: list[Column], name: str) -> DataFrame:
+def ranked(df: DataFrame, group: list[str], buckets: list[Column], order: list[Column], name: str) -> DataFrame:
     """1-based position inside ``group`` by ``order``, without sorting a group in one task.
 
-    ``bucket`` must be a non-decreasing function of ``order``. Rows are numbered inside
-    their bucket; the buckets' counts, summed over earlier buckets, give the offset.
+    ``buckets`` must cut the order into ever finer consecutive runs. Rows are numbered inside
+    their finest bucket only; what lies before it is added up from the buckets' counts, level
+    by level, each level inside one bucket of the level above.
     """
-    bucketed = df.withColumn("_bucket", bucket)
-    before = W.partitionBy(*group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy(*group, "_bucket")
-        .agg(F.count("*").alias("_rows"))
-        .select(*group, "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    local = F.row_number().over(W.partitionBy(*group, "_bucket").orderBy(*order))
+    levels = [f"_bucket{i}" for i in range(len(buckets))]
+    placed = df.withColumns(dict(zip(levels, buckets)))
+    counts = placed.groupBy(*group, *levels).agg(F.count("*").alias("_rows"))
+    offsets = None
+    for depth in range(1, len(levels) + 1):
+        outer, inner = [*group, *levels[: depth - 1]], levels[depth - 1]
+        before = W.partitionBy(*outer).orderBy(inner).rowsBetween(W.unboundedPreceding, -1)
+        here = counts.groupBy(*outer, inner).agg(F.sum("_rows").alias("_rows"))
+        here = here.select(*outer, inner, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_here"))
+        if offsets is None:
+            offsets = here.withColumnRenamed("_here", "_offset")
+        else:
+            total = F.col("_offset") + F.col("_here")
+            offsets = here.join(offsets, outer).select(*outer, inner, total.alias("_offset"))
+    finest = W.partitionBy(*group, *levels).orderBy(*order)
     return (
-        bucketed.withColumn("_local", local)
-        .join(offsets, [*group, "_bucket"])
+        placed.withColumn("_local", F.row_number().over(finest))
+        .join(offsets, [*group, *levels])
         .withColumn(name, F.col("_local") + F.col("_offset"))
-        .drop("_bucket", "_local", "_offset")
+        .drop(*levels, "_local", "_offset")
     )
 
 
+BATCH_RUN = 65_536
+
+
 def record_order(records: DataFrame) -> DataFrame:
-    """``walk_ord``: position by ``(ts, batch_id)``, ``id`` as the tie-break, per cluster."""
-    order = [F.col("ts_us"), F.col("batch_id"), F.col("id")]
-    return ranked(records, ["cluster_id"], minute_of(F.col("ts_us")), order, "walk_ord")
+    """``walk_ord``: position by ``(ts, batch_id)``, ``id`` as the tie-break, per cluster.
+
+    Minutes, then times, then runs of batch numbers: a single time may hold most records.
+    """
+    buckets = [minute_of(F.col("ts_us")), F.col("ts_us"), F.floor(F.col("batch_id") / BATCH_RUN)]
+    return ranked(records, ["cluster_id"], buckets, [F.col("batch_id"), F.col("id")], "walk_ord")

@@ -65,7 +65,7 @@ def listed(decisions: DataFrame) -> DataFrame:
     The day's ten characters bucket the rows: a busy cluster is not sorted in one task.
     """
     day = F.substring("decision_ts", 1, 10)
-    return ranked(decisions, ["cluster_id"], day, [F.col("decision_ts")], "position")
+    return ranked(decisions, ["cluster_id"], [day], [F.col("decision_ts")], "position")
 
 
 def cluster_decisions(decisions: DataFrame, cluster_id: str) -> DataFrame:
