@@ -17,6 +17,7 @@ from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
 TESTDATA = "/root/testdata"
+SAME_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -39,6 +40,7 @@ def rows_of(names, rows) -> Counter:
 
 def compare(spark, connection, name: str, sf_dir: str) -> str:
     frame = QUERIES[name](spark, sf_dir)
+    types = {f.name: f.dataType.simpleString() for f in frame.schema.fields}
     got = rows_of(frame.columns, frame.collect())
     if name not in ORACLE:
         return f"rows only ({sum(got.values())})"
@@ -46,7 +48,10 @@ def compare(spark, connection, name: str, sf_dir: str) -> str:
     names = [d[0] for d in result.description]
     if sorted(names) != sorted(frame.columns):
         return f"DIFFERENT columns {sorted(frame.columns)} / {sorted(names)}"
+    odd = {d[0]: (types[d[0]], str(d[1])) for d in result.description if SAME_TYPE.get(types[d[0]]) != str(d[1])}
     want = rows_of(names, result.fetchall())
+    if got == want and odd:
+        return f"DIFFERENT types {odd}"
     if got == want:
         return f"same ({sum(got.values())})"
     extra, lost = got - want, want - got

@@ -189,6 +189,21 @@ copies AS (
   SELECT cluster_id, id, batch_id, ts_us, CASE WHEN dom IN (10, 20) AND batch_id % 3 = 1 THEN 2 ELSE 1 END AS times FROM placed)"""
 
 
+STATE = """
+arrivals AS (
+  SELECT cluster_id, batch_id, ts_us,
+         CASE WHEN dom <= 10 THEN 0 WHEN dom <= 20 THEN 1 ELSE 2 END + CASE WHEN dom IN (10, 20) AND batch_id % 3 = 0 THEN 1 ELSE 0 END AS chunk
+  FROM placed),
+frontiers AS (SELECT cluster_id, chunk AS epoch, min(ts_us) AS frontier FROM arrivals GROUP BY cluster_id, chunk),
+held AS (
+  SELECT a.cluster_id, a.batch_id, a.ts_us, a.chunk, coalesce(min(f.epoch), 3) AS walked
+  FROM arrivals a LEFT JOIN frontiers f ON f.cluster_id = a.cluster_id AND f.epoch >= a.chunk AND a.ts_us < f.frontier
+  GROUP BY ALL),
+prunes AS (
+  SELECT f.* FROM frontiers f WHERE EXISTS (SELECT 1 FROM held h WHERE h.cluster_id = f.cluster_id AND h.walked = f.epoch)),
+epochs AS (SELECT CAST(unnest(range(4)) AS INTEGER) AS epoch)"""
+
+
 def sql(*ctes: str, select: str) -> str:
     return "WITH RECURSIVE " + ",".join(ctes) + "\n" + select
 
@@ -219,9 +234,15 @@ STATUS = "CASE kind WHEN 'cut' THEN 'malformed_json' ELSE 'missing_required' END
 
 ORACLE: dict[str, str] = {
     # sources
+    "scan_logs": sql(
+        EV, LOGS,
+        select=f"""SELECT 'logs/' || cluster_id || '/' || event_id || '.log.gz' AS path, CAST(CASE WHEN event_id % 4 = 3 THEN 2 ELSE 3 END AS BIGINT) AS entries,
+          CAST(CASE WHEN {IDLE} THEN 0 ELSE 1 END AS BIGINT) AS progress_entries FROM logs""",
+    ),
     "scan_progress_entries": sql(
         EV, LOGS,
-        select=f"SELECT event_id, CAST(1 AS BIGINT) AS entry_no, entry AS text FROM logs WHERE NOT ({IDLE}) AND event_id % 4 <> 3",
+        select=f"""SELECT 'logs/' || cluster_id || '/' || event_id || '.log.gz' AS path, CAST(1 AS BIGINT) AS entry_no, entry AS text
+        FROM logs WHERE NOT ({IDLE})""",
     ),
     "notified_files": sql(EV, FILES, select="SELECT n.message_id, n.cluster_id, n.key, l.length FROM notes n JOIN listing l USING (key)"),
     "missing_files": sql(EV, FILES, select="SELECT message_id, key FROM notes WHERE key NOT IN (SELECT key FROM listing)"),
@@ -347,8 +368,8 @@ ORACLE: dict[str, str] = {
     ),
     "parse_stats": sql(
         EV, LOGS,
-        select=f"""SELECT path, count(*) AS entries, count_if(NOT ({IDLE})) AS progress_entries, count_if({GOOD}) AS records,
-          count_if({CUT}) AS malformed_json, count_if({NO_ID} OR {BAD_TS}) AS missing_required FROM logs GROUP BY path""",
+        select=f"""SELECT path, count(*) AS entries, CAST(count_if(NOT ({IDLE})) AS BIGINT) AS progress_entries, CAST(count_if({GOOD}) AS BIGINT) AS records,
+          CAST(count_if({CUT}) AS BIGINT) AS malformed_json, CAST(count_if({NO_ID} OR {BAD_TS}) AS BIGINT) AS missing_required FROM logs GROUP BY path""",
     ),
     "skip_samples": sql(
         EV, LOGS,
@@ -379,7 +400,7 @@ ORACLE: dict[str, str] = {
     ),
     "run_status": sql(
         EV, FILES, COMPLETENESS,
-        select="SELECT count(*) AS clusters_total, count_if(is_complete) AS clusters_processed, bool_and(is_complete) AS all_clusters_processed FROM completeness",
+        select="SELECT count(*) AS clusters_total, CAST(count_if(is_complete) AS BIGINT) AS clusters_processed, bool_and(is_complete) AS all_clusters_processed FROM completeness",
     ),
     # record set
     "dedup_records": sql(EV, REC, select="SELECT cluster_id, id, batch_id, ts_us, ts_raw, 0 AS file_ord, dur AS batch_duration FROM rec"),
@@ -388,8 +409,8 @@ ORACLE: dict[str, str] = {
     ),
     "dedup_stats": sql(
         EV, REC,
-        select="""SELECT cluster_id, count(*) + count_if(batch_id % 7 = 0) AS records_seen, count(*) AS unique_records,
-          count_if(batch_id % 7 = 0) AS duplicates FROM rec GROUP BY cluster_id""",
+        select="""SELECT cluster_id, CAST(count(*) + count_if(batch_id % 7 = 0) AS BIGINT) AS records_seen, count(*) AS unique_records,
+          CAST(count_if(batch_id % 7 = 0) AS BIGINT) AS duplicates FROM rec GROUP BY cluster_id""",
     ),
     # windows
     "window_counts": sql(
@@ -462,6 +483,16 @@ ORACLE: dict[str, str] = {
         select="""SELECT cluster_id, CAST(sum(times) AS BIGINT) AS records_seen, count(*) AS unique_records, count(*) AS evaluation_points,
           CAST(0 AS BIGINT) AS late_records FROM copies GROUP BY cluster_id""",
     ),
+    "stream_state_size": sql(
+        EV, REC, INCREMENTAL, STATE,
+        select="""SELECT epoch, 'pending' AS state, (SELECT count(*) FROM held h WHERE h.chunk <= e.epoch AND h.walked > e.epoch) AS records FROM epochs e
+        UNION ALL
+        SELECT epoch, 'lookback', (SELECT count(*) FROM held h WHERE h.walked <= e.epoch AND NOT EXISTS (
+          SELECT 1 FROM prunes p WHERE p.cluster_id = h.cluster_id AND p.epoch BETWEEN h.walked AND e.epoch AND h.ts_us <= p.frontier - 432000000000)) FROM epochs e
+        UNION ALL
+        SELECT epoch, 'seen', (SELECT count(*) FROM held h WHERE h.chunk <= e.epoch AND NOT EXISTS (
+          SELECT 1 FROM prunes p WHERE p.cluster_id = h.cluster_id AND p.epoch BETWEEN h.chunk AND e.epoch AND h.ts_us <= p.frontier - 439200000000)) FROM epochs e""",
+    ),
     "stream_complete_then_walk": decision_sql(
         f"SELECT {DECISION} FROM last_made WHERE CAST(substr(cluster_id, 9) AS BIGINT) % 8 <> 5"
     ),

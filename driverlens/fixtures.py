@@ -132,18 +132,23 @@ def _file_key(day: Column) -> Column:
 
 
 def log_texts(spark: SparkSession, sf_dir: str, preamble: bool = True) -> DataFrame:
-    """A small log file per event: a headerless tail, the entry, an unrelated multi-line entry."""
+    """A small log file per event: a headerless tail, the entry, an unrelated multi-line entry.
+
+    ``head`` is the file without its last entry.
+    """
     start = [F.lit(PREAMBLE + "\n")] if preamble else []
-    rows = log_entries(spark, sf_dir)
-    return rows.select(
+    head = F.concat(*start, "text", F.lit("\n"))
+    return log_entries(spark, sf_dir).select(
         "event_id",
         F.concat(F.lit("logs/"), "cluster_id", F.lit("/"), F.col("event_id").cast("string"), F.lit(".log.gz")).alias("path"),
-        F.concat(*start, "text", F.lit("\n"), F.expr(_UNRELATED), F.lit("\n")).alias("text"),
+        F.concat(head, F.expr(_UNRELATED), F.lit("\n")).alias("text"),
+        head.alias("head"),
     )
 
 
 def log_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same files as bytes: gzip, plain, with broken UTF-8, and gzip cut in half."""
+    """The same files as bytes: gzip, plain, with broken UTF-8, and gzip that breaks off after
+    the head, a few bytes into its second member."""
 
     def encode(batches):
         import gzip
@@ -151,19 +156,15 @@ def log_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            rows = zip(batch["event_id"].to_pylist(), batch["path"].to_pylist(), batch["text"].to_pylist())
             out = []
-            for event, path, text in rows:
-                raw = text.encode()
-                packed = gzip.compress(raw, mtime=0)
-                out.append((event, path, (packed, raw, b"\xff\xfe" + raw, packed[: len(packed) // 2])[event % 4]))
-            event, path, content = zip(*out)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(event, pa.int64()), pa.array(path, pa.string()), pa.array(content, pa.binary())],
-                names=["event_id", "path", "content"],
-            )
-
-    return log_texts(spark, sf_dir).mapInArrow(encode, "event_id BIGINT, path STRING, content BINARY")
+            for event, path, text, head in zip(*(batch[n].to_pylist() for n in ("event_id", "path", "text", "head"))):
+                raw, kept = text.encode(), gzip.compress(head.encode(), mtime=0)
+                content = (gzip.compress(raw, mtime=0), raw, b"\xff\xfe" + raw, kept + kept[:5])[event % 4]
+                out.append((path, content))
+            path, content = zip(*out)
+            yield pa.RecordBatch.from_arrays([pa.array(path, pa.string()), pa.array(content, pa.binary())], names=["path", "content"])
+
+    return log_texts(spark, sf_dir).mapInArrow(encode, "path STRING, content BINARY")
 
 
 # --- files, manifest, notifications (FIXTURES.md B4) -----------------------------------

@@ -21,8 +21,7 @@ def connection():
 
 
 def test_all_sql_belongs_to_a_query():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"scan_logs", "stream_state_size"}
+    assert set(ORACLE) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n not in STREAMS] + ["stream_decisions"])
