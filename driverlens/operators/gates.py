@@ -12,11 +12,10 @@ the check makes the result exact whatever the data.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -25,7 +24,7 @@ from driverlens.operators.rules import Rule
 from driverlens.session import materialize
 
 HOT_CLUSTER_TICKS = 1_000_000
-SLICE_MINUTES = 360
+SLICE_TICKS = 250_000
 
 SLICE_KEY = ["cluster_id", "slice"]
 EXIT_SCHEMA = "cluster_id STRING, slice BIGINT, exit_workers BIGINT, exit_us BIGINT"
@@ -95,7 +94,11 @@ class _SliceWalker:
 
 
 def _sorted_slices(ticks: DataFrame, enter: DataFrame, keys: list[str]) -> DataFrame:
-    """Ticks with the state their slice is entered in, one slice after another per task."""
+    """Ticks with the state their slice is entered in, one slice after another per task.
+
+    The repartitioning comes last on purpose: a skewed join may be split over several tasks,
+    and nothing between here and the walk may tear a slice apart.
+    """
     return (
         ticks.join(enter, keys)
         .repartition(*SLICE_KEY)
@@ -112,7 +115,7 @@ def walk_ticks(
     initial: DataFrame,
     rules: list[Rule],
     hot_cluster_ticks: int = HOT_CLUSTER_TICKS,
-    slice_minutes: int = SLICE_MINUTES,
+    slice_ticks: int = SLICE_TICKS,
 ) -> DataFrame:
     """Matched ticks plus the state before each and its ``outcome``.
 
@@ -131,17 +134,25 @@ def walk_ticks(
         return _traced(whole, walker)
 
     hot = materialize(hot, "hot")
-    time_slice = F.floor(minute_of(F.col("ts_us")) / slice_minutes)
-    flagged = ticks.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "cluster_id", "left")
-    sliced = flagged.withColumn("slice", F.when(F.col("is_hot"), time_slice).otherwise(F.lit(0)).cast("bigint")).drop("is_hot")
-    enter = _settled_entries(sliced.join(F.broadcast(hot), "cluster_id", "left_semi"), start, walker)
-    cold = sliced.join(F.broadcast(hot), "cluster_id", "left_anti")
-    slices = sliced.join(F.broadcast(hot), "cluster_id", "left_semi")
-    walked = [
-        _traced(_sorted_slices(cold, start, ["cluster_id"]), walker),
-        _traced(_sorted_slices(slices, enter, SLICE_KEY), walker),
-    ]
-    return walked[0].unionByName(walked[1])
+    cold = ticks.join(hot, "cluster_id", "left_anti").withColumn("slice", F.lit(0).cast("bigint"))
+    slices = materialize(_sliced(ticks.join(hot, "cluster_id", "left_semi"), slice_ticks), "sliced")
+    enter = _settled_entries(slices, start, walker)
+    return _traced(_sorted_slices(cold, start, ["cluster_id"]), walker).unionByName(
+        _traced(_sorted_slices(slices, enter, SLICE_KEY), walker)
+    )
+
+
+def _sliced(ticks: DataFrame, slice_ticks: int) -> DataFrame:
+    """Consecutive slices of whole minutes, each of about ``slice_ticks`` ticks.
+
+    Sized by the counts per minute, so neither a long quiet history nor a dense hour gives
+    slices of an odd size. The counts are at most one row per cluster and minute of history.
+    """
+    timed = ticks.withColumn("minute", minute_of(F.col("ts_us")))
+    earlier = W.partitionBy("cluster_id").orderBy("minute").rowsBetween(W.unboundedPreceding, -1)
+    place = F.floor(F.coalesce(F.sum("n").over(earlier), F.lit(0)) / slice_ticks).alias("slice")
+    minutes = timed.groupBy("cluster_id", "minute").agg(F.count("*").alias("n")).select("cluster_id", "minute", place)
+    return timed.join(minutes, ["cluster_id", "minute"]).drop("minute")
 
 
 def _traced(prepared: DataFrame, walker: _SliceWalker) -> DataFrame:
@@ -202,7 +213,7 @@ def decisions(walked: DataFrame, tick_table: DataFrame, rules: list[Rule]) -> Da
     )
 
 
-def _of_rule(rules: list[Rule], field: str):
+def _of_rule(rules: list[Rule], field: str) -> Column:
     return F.element_at(F.array(*[F.lit(getattr(r, field)) for r in rules]), F.col("rule_ord"))
 
 

@@ -137,7 +137,7 @@ def evaluate(tick_table: DataFrame, rules: list[Rule]) -> DataFrame:
         "points",
         *[p.over(up_to).alias(f"newest_{p.name}") for p in parts],
         *[p.over(after, newest_first=True).alias(f"oldest_{p.name}") for p in parts],
-    )
+    ).filter((F.col("shift") == 0) | F.col("oldest_records").isNotNull())  # a probe that met nothing has nothing to add
 
     # Whole minutes in between: one row per cluster and active minute, whatever the load.
     minutes = (

@@ -62,7 +62,7 @@ def test_sliced_walk_equals_whole_walk(spark, pattern):
     else:
         rows = [(i * MINUTE, 1 + i % 2) for i in range(60)]
     whole = outcomes(spark, rows, rules)
-    assert outcomes(spark, rows, rules, hot_cluster_ticks=10, slice_minutes=6) == whole
+    assert outcomes(spark, rows, rules, hot_cluster_ticks=10, slice_ticks=6) == whole
     assert len([o for o in whole if o[2] == "decision"]) > 10
 
 
@@ -71,7 +71,7 @@ def test_hot_and_cold_clusters_together(spark):
     rows = [(c, i * MINUTE, 1 + (i // n) % 2) for c, n, size in (("hot", 3, 40), ("cold", 2, 6)) for i in range(size)]
     start = initial(spark, hot=4, cold=8)
     whole = walk_ticks(matched(spark, rows), start, rules)
-    sliced = walk_ticks(matched(spark, rows), start, rules, hot_cluster_ticks=10, slice_minutes=5)
+    sliced = walk_ticks(matched(spark, rows), start, rules, hot_cluster_ticks=10, slice_ticks=5)
     assert sorted(map(tuple, sliced.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
 
 
