@@ -69,8 +69,13 @@ def test_state_is_pruned_and_late_records_are_counted(spark, tmp_path):
     assert walk.state(spark, "lookback", 2).count() == 0
     assert walk.state(spark, "seen", 2).count() == 18
     walk.process(frame(spark, [record(us(8, 1), 999, batchDuration=1), record(us(11), 180, batchDuration=1)]), 3)
-    walk.finish(spark, 4)
-    assert walk.stats(spark, 4).first().late_records == 1
+    # Keys are forgotten two hours beyond the window: the earliest record counts as new again.
+    walk.process(frame(spark, [record(us(11, 5), 181, batchDuration=1), record(us(11), 180, batchDuration=1)]), 4)
+    assert walk.state(spark, "seen", 4).filter("batch_id = 0").count() == 0
+    walk.process(frame(spark, [record(us(8), 0, batchDuration=1)]), 5)
+    walk.finish(spark, 6)
+    stats = walk.stats(spark, 6).first()
+    assert (stats.late_records, stats.records_seen, stats.unique_records) == (2, 23, 22)
 
 
 def test_clusters_advance_on_their_own(spark, tmp_path):
