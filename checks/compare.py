@@ -5,7 +5,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from collections import Counter
@@ -27,15 +26,9 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def plain(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else float(f"{value:.12g}")
-    return value
-
-
 def rows_of(names, rows) -> Counter:
     order = sorted(range(len(names)), key=lambda i: names[i])
-    return Counter(tuple(plain(row[i]) for i in order) for row in rows)
+    return Counter(tuple(row[i] for i in order) for row in rows)
 
 
 def compare(spark, connection, name: str, sf_dir: str) -> str:

@@ -8,8 +8,9 @@ distinct time, and the cost does not depend on how many records pile up on one k
 2. rule windows are whole minutes, so ``(T - w, T]`` splits into the part of T's own minute
    up to T, ``w - 1`` whole minutes, and the part of minute ``m - w`` after ``T - w``. The
    first and last are running aggregates inside one minute, the middle runs over one row
-   per minute. No frame is ever re-aggregated per record, and the unit of work is one
-   ``(cluster, minute)``, so a cluster holding a third of the data spreads over all tasks;
+   per minute. No frame is ever re-aggregated per record, and the units of work are one
+   ``(cluster, minute)`` and one ``(cluster, two widest windows)`` of minute rows, so a cluster
+   holding a third of the data spreads over all tasks;
 3. the parts meet again at the tick, joined by their keys only.
 """
 
@@ -139,23 +140,29 @@ def evaluate(tick_table: DataFrame, rules: list[Rule]) -> DataFrame:
         *[p.over(after, newest_first=True).alias(f"oldest_{p.name}") for p in parts],
     ).filter((F.col("shift") == 0) | F.col("oldest_records").isNotNull())  # a probe that met nothing has nothing to add
 
-    # Whole minutes in between: one row per cluster and active minute, whatever the load.
+    # Whole minutes in between: one row per cluster and active minute, whatever the load. Blocks
+    # as long as the widest window, each with the block before it as look-back, keep a long
+    # history from being one task's work.
+    own = F.floor(F.col("minute") / max(widths))
     minutes = (
         tick_table.withColumn("minute", minute_of(F.col("ts_us")))
         .groupBy("cluster_id", "minute")
         .agg(*[p.of_minute().alias(p.name) for p in parts])
+        .withColumn("own", own)
+        .select("*", F.explode(F.array("own", F.col("own") + 1)).alias("block"))
     )
-    over_minutes = W.partitionBy("cluster_id").orderBy("minute")
+    over_minutes = W.partitionBy("cluster_id", "block").orderBy("minute")
     middle = minutes.select(
         "cluster_id",
         "minute",
+        (F.col("block") == F.col("own")).alias("is_own"),
         *[
             p.over(over_minutes.rangeBetween(1 - w, -1)).alias(f"middle{w}_{p.name}")
             for w in widths
             if w > 1
             for p in _needed(rules, w, parts)
         ],
-    )
+    ).filter("is_own").drop("is_own")
 
     # Bring the parts back to the tick: its row (shift 0) and its probes (shift w) fold into one.
     at_tick = F.col("shift") == 0

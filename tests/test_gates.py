@@ -53,8 +53,8 @@ def test_state_carried_in_from_before(spark):
     assert [g[2] for g in got] == ["blocked_cooldown", "decision"]
 
 
-@pytest.mark.parametrize("pattern", ["random", "alternating"])
-def test_sliced_walk_equals_whole_walk(spark, pattern):
+@pytest.mark.parametrize("pattern,slice_ticks", [("random", 40), ("alternating", 6)])
+def test_sliced_walk_equals_whole_walk(spark, pattern, slice_ticks):
     """Alternating rules never merge histories: every guess must be repaired, slice by slice."""
     chance = random.Random(3)
     rules = [rule(name=str(t), target_workers=t, cooldown_minutes=c) for t, c in ((8, 3), (2, 3), (16, 1))]
@@ -63,7 +63,7 @@ def test_sliced_walk_equals_whole_walk(spark, pattern):
     else:
         rows = [(i * MINUTE, 1 + i % 2) for i in range(60)]
     whole = outcomes(spark, rows, rules)
-    assert outcomes(spark, rows, rules, hot_cluster_ticks=10, slice_ticks=6) == whole
+    assert outcomes(spark, rows, rules, hot_cluster_ticks=10, slice_ticks=slice_ticks) == whole
     assert len([o for o in whole if o[2] == "decision"]) > 10
 
 
