@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driverlens.llm import bpe, simhash
+from driverlens.llm import bpe, decontaminate, pii, simhash
 from driverlens.llm.common import table
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -35,3 +35,40 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op4_decontaminate"] = decontaminate.REPORT_SQL
+
+
+@query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), drop=("text",))
+    place = {kind: n for n, kind in enumerate(pii.KINDS)}
+
+    def listed(spans):
+        rank = F.create_map(*(F.lit(x) for pair in place.items() for x in pair))
+        ordered = F.sort_array(F.transform(spans, lambda s: F.struct(rank[s["kind"]].alias("at"), s["start"], s["end"], s["kind"])))
+        return F.array_join(F.transform(ordered, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in pii.KINDS),
+        F.sha2(listed(F.col("base_spans")), 256).alias("base_sha256"),
+        listed(F.concat("base_spans", "added_spans")).alias("spans"),
+    )
