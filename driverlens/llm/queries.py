@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driverlens.llm import bpe, decontaminate, pii, simhash
+from driverlens.llm import bpe, chat, credentials, decontaminate, pii, simhash, warc
 from driverlens.llm.common import table
+from driverlens.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 
@@ -72,3 +73,62 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(F.col("base_spans")), 256).alias("base_sha256"),
         listed(F.concat("base_spans", "added_spans")).alias("spans"),
     )
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.report(table(spark, sf_dir, "documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(credentials.listed(F.col("base")), 256).alias("base_sha256"),
+        credentials.listed(F.sort_array(F.concat("base", "added"))).alias("spans"),
+    )
+
+
+ORACLE["op6_secrets"] = credentials.REPORT_SQL
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "bundles")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    records = warc.read(spark.read.parquet(path))
+    return records.select(
+        warc.page_id("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_id("refers_to").alias("refers_to"),
+    )
+
+
+ORACLE["op5_warc"] = warc.READ_SQL
+
+
+@query
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)], given.schema)
+    return chat.read_back(chat.format_chats(chat.logged(given.union(own))))
+
+
+ORACLE["op2_chat"] = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, length(regexp_replace(role, '[\\<\[\]]', '..', 'g')) + length(regexp_replace(text, '[\\<\[\]]', '..', 'g')) + 11 AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
