@@ -49,3 +49,11 @@ def ascii_lower(text):
     """A-Z to a-z and nothing else."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     return F.translate(text, upper, upper.lower())
+
+
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def words(text):
+    """Lower-cased words of ``[0-9a-z]`` and non-ASCII characters; null has none."""
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")

@@ -19,20 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driverlens.llm.common import ascii_lower
+from driverlens.llm.common import words
 from driverlens.session import materialize
 
 WINDOW = 10
 BLOCK = 2048  # window starts per block
 BROADCAST_BYTES = 64 << 20
 
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
-def words(text: Column) -> Column:
-    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
-
-
 def benchmark_windows(items: DataFrame, id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
     """Distinct (item_id, window, len): an item's windows as space-joined words."""
     cut = items.select(F.col(id).alias("item_id"), words(F.col(text)).alias("words")).where(F.size("words") > 0)

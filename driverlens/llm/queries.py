@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driverlens.llm import bpe, chat, credentials, decontaminate, pii, simhash, warc
+from driverlens.llm import bpe, chat, credentials, decontaminate, pii, simhash, spotsigs, warc
 from driverlens.llm.common import table
 from driverlens.session import scratch_path
 
@@ -132,3 +132,8 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
