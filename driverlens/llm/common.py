@@ -57,3 +57,14 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def words(text):
     """Lower-cased words of ``[0-9a-z]`` and non-ASCII characters; null has none."""
     return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SEPARATORS), "")
+
+
+def pieces(text: str, size: int) -> Iterator[str]:
+    """The text in pieces of about ``size`` characters that end before white space, so that no word is cut."""
+    start = 0
+    while start < len(text):
+        end = min(len(text), start + size)
+        while end < len(text) and not text[end].isspace():
+            end += 1
+        yield text[start:end]
+        start = end

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driverlens.llm import bpe, chat, credentials, decontaminate, pii, simhash, spotsigs, warc
+from driverlens.llm import bpe, chat, credentials, decontaminate, langid, pii, quality, simhash, spotsigs, warc
 from driverlens.llm.common import table
 from driverlens.session import scratch_path
 
@@ -137,3 +137,17 @@ FROM e GROUP BY conv_id
 @query
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = langid.predict(docs.drop("lang"), langid.fit(docs), drop=("text",))
+    return found.select("doc_id", F.coalesce(langid.held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.predict(docs, quality.fit(docs, table(spark, sf_dir, "labels")), drop=("text",))
+    return found.select("doc_id", F.coalesce(langid.held_out(F.col("doc_id"), 3, 1), F.lit(False)).alias("held_out"), "score", "predicted")

@@ -206,6 +206,13 @@ def links(entries: DataFrame, distance: int = 2) -> DataFrame:
     return both.mapInArrow(compare, "u BIGINT, v BIGINT")
 
 
+def _grouped(found: DataFrame, distance: int) -> DataFrame:
+    """(bits, component): each distinct fingerprint and the one that stands for its component."""
+    entries = materialize(found.groupBy("bits").agg(F.count("*").alias("n")), "entries")
+    joined = components(links(entries.select("bits"), distance))
+    return entries.join(joined, entries["bits"] == joined["node"], "left").select("bits", F.coalesce("component", "bits").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", distance: int = 2, shingle: int = 3) -> DataFrame:
     """One row per document: ``id``, ``fingerprint`` (16 hex digits), ``component_id``.
 
@@ -213,10 +220,23 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", dis
     like any other; a component without any id has a null component id.
     """
     found = materialize(fingerprints(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), drop=("text",), shingle=shingle), "fingerprints")
-    entries = materialize(found.groupBy("bits").agg(F.min("id").alias("id")), "entries")
-    joined = components(links(entries, distance))
-    placed = entries.join(joined, entries["bits"] == joined["node"], "left").select("bits", "id", F.coalesce("component", "bits").alias("component"))
+    lowest_here = found.groupBy("bits").agg(F.min("id").alias("id"))
+    placed = materialize(_grouped(found, distance).join(lowest_here, "bits"), "components")
     lowest = placed.groupBy("component").agg(F.min("id").alias("component_id"))
     named = placed.join(lowest, "component").select("bits", "component_id")
     hex16 = F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint")
     return found.join(named, "bits", "left").select(F.col("id").alias(id), hex16, "component_id")
+
+
+def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", distance: int = 2, shingle: int = 3) -> DataFrame:
+    """One row of each component, that of the smallest id (null last), with all its columns.
+
+    Rows of equal ids are told apart by their place in the scan, which is written down once.
+    """
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    found = materialize(fingerprints(numbered, text, "_bits", shingle), "fingerprints")
+    first = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("_row").alias("row"))).alias("first")
+    by_bits = found.groupBy(F.col("_bits").alias("bits")).agg(first)
+    placed = _grouped(found.select(F.col("_bits").alias("bits")), distance).join(by_bits, "bits")
+    kept = placed.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
+    return found.join(kept, "_row", "left_semi").select(*docs.columns)
