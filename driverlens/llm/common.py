@@ -45,6 +45,14 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores after it as keep it apart from the table's columns."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text):
     """A-Z to a-z and nothing else."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

@@ -10,7 +10,7 @@ window, and every window of every block is looked up by its whole text, so a hit
 
 Null and empty texts have no words, no hits and are not contaminated; an item without words has
 no window. Rows are told apart by id and text: repeated rows give equal results each, a null id
-is an id like any other. An empty benchmark hits nothing. Extra columns are left alone, also where their
+is an id like any other, listed as ``null`` for an item. An empty benchmark hits nothing. Extra columns are left alone, also where their
 names clash with result columns, as results are made from the id and the text only.
 """
 
@@ -112,7 +112,7 @@ lens AS (SELECT DISTINCT n FROM w),
 placed AS (SELECT rid, n, words, unnest(range(len(words) - n + 1)) AS i FROM d, lens WHERE len(words) >= n),
 hit AS (SELECT DISTINCT rid, i, a.n, item_id FROM placed a JOIN w ON w.n = a.n AND w.win = a.words[i + 1 : i + a.n]),
 hit_words AS (SELECT rid, count(*) AS n_hit FROM (SELECT DISTINCT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
-hit_items AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item_id FROM hit) GROUP BY rid)
+hit_items AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT rid, coalesce(CAST(item_id AS VARCHAR), 'null') AS item_id FROM hit) GROUP BY rid)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)

@@ -27,6 +27,7 @@ from driverlens.llm.common import pieces, with_columns
 DIM = 1 << 14
 BLOCK = 1 << 17  # characters turned into n-grams at a time, cut at white space
 SAMPLE_ROWS = 2000
+CALIBRATION_ROWS = 20  # the fewest that fit a temperature
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-3, 1e-4
 UNKNOWN = "und"
@@ -143,10 +144,10 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], classes: int, epochs:
 
 
 def calibrate(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The temperature under which the labels are likeliest."""
-    if not len(labels):
+    """The temperature under which the labels are likeliest; 1 for too few labels to tell."""
+    if len(labels) < CALIBRATION_ROWS:
         return 1.0
-    grid = np.geomspace(0.05, 20, 121)
+    grid = np.geomspace(0.05, 5, 121)
     loss = [-np.log(_softmax(logits / t)[np.arange(len(labels)), labels] + 1e-12).mean() for t in grid]
     return float(grid[int(np.argmin(loss))])
 
@@ -167,12 +168,14 @@ def fit(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     kept = [row for k, row in enumerate(rows) if k % 5]
     rest = [row for k, row in enumerate(rows) if k % 5 == 0]
     weights = train(kept or rows, max(1, len(languages)))
-    logits = np.array([v @ weights[at] + weights[DIM] for at, v, _ in rest]).reshape(len(rest), -1)
+    logits = np.array([v @ weights[at] + weights[DIM] for at, v, _ in rest]).reshape(len(rest), weights.shape[1])
     return Model(languages, idf, weights, calibrate(logits, np.array([label for _, _, label in rest], int)))
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``lang_pred`` and ``score``, the calibrated probability of that language."""
+def predict(
+    docs: DataFrame, model: Model, text: str = "text", lang_out: str = "lang_pred", score_out: str = "score", drop: tuple[str, ...] = ()
+) -> DataFrame:
+    """Add the predicted language and its calibrated probability."""
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.idf, model.weights, model.temperature))
 
     def make():
@@ -189,4 +192,4 @@ def predict(docs: DataFrame, model: Model, text: str = "text", drop: tuple[str,
 
         return row
 
-    return with_columns(docs, [text], "lang_pred STRING, score DOUBLE", make, drop)
+    return with_columns(docs, [text], f"`{lang_out}` STRING, `{score_out}` DOUBLE", make, drop)

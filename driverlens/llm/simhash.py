@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driverlens.llm.common import with_columns
+from driverlens.llm.common import unused, with_columns
 from driverlens.llm.components import components
 from driverlens.session import materialize
 
@@ -233,10 +233,10 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text", distanc
 
     Rows of equal ids are told apart by their place in the scan, which is written down once.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    found = materialize(fingerprints(numbered, text, "_bits", shingle), "fingerprints")
-    first = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("_row").alias("row"))).alias("first")
-    by_bits = found.groupBy(F.col("_bits").alias("bits")).agg(first)
-    placed = _grouped(found.select(F.col("_bits").alias("bits")), distance).join(by_bits, "bits")
-    kept = placed.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
-    return found.join(kept, "_row", "left_semi").select(*docs.columns)
+    row, bits = unused(docs, "simhash_row"), unused(docs, "simhash_bits")
+    found = materialize(fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), text, bits, shingle), "fingerprints")
+    first = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col(row).alias("row"))).alias("first")
+    by_bits = found.groupBy(F.col(bits).alias("bits")).agg(first)
+    placed = _grouped(found.select(F.col(bits).alias("bits")), distance).join(by_bits, "bits")
+    kept = placed.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return found.join(kept, row, "left_semi").select(*docs.columns)
