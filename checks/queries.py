@@ -422,7 +422,7 @@ def decisions(spark, sf_dir):
 def decisions_sliced(spark, sf_dir):
     """The same, with every cluster treated as hot: walked in slices of a few ticks."""
     made = decide(
-        X.repeated_progress(spark, sf_dir), X.initial_states(spark, sf_dir), X.RULES, hot_cluster_ticks=0, slice_ticks=12
+        X.repeated_progress(spark, sf_dir), X.initial_states(spark, sf_dir), X.RULES, slice_ticks=12
     )
     return made.select(*DECISION)
 

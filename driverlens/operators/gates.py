@@ -3,17 +3,22 @@
 State per cluster is (workers, time of the last decision). At a matched tick with rule r:
 blocked if r's target equals the workers, else blocked if T < last + r's cooldown, else a
 decision. Each decision changes what follows, so a walk is sequential by nature, but not
-over a whole cluster in one task: a cluster with many matched ticks is cut into time
-slices that are walked in parallel from a guessed state. The guess of a slice is checked
-against the state its predecessor ends in, and the slices that guessed wrong are walked
-again until nothing changes. Cooldowns make histories merge quickly, so few slices repeat;
-the check makes the result exact whatever the data.
+over a whole cluster in one task: every cluster is cut into time slices (a small one into a
+single slice) that are walked in parallel from a guessed state.
+
+A slice that makes no decision passes its entry state on, so a slice's true entry is the exit
+of the last slice before it that decided; one window over the table of slices finds it. Slices
+that were walked from another state are walked again, unless the two states can't be told
+apart there: the workers agree and every cooldown from either decision is over before the
+slice begins. The check makes the result exact whatever the data; where one rule keeps
+holding, or histories merge after a few cooldowns, two or three rounds settle all slices.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -23,74 +28,107 @@ from driverlens.functions.timegrid import MINUTE_US, minute_of
 from driverlens.operators.rules import Rule
 from driverlens.session import materialize
 
-HOT_CLUSTER_TICKS = 1_000_000
 SLICE_TICKS = 250_000
+NEVER = -(1 << 62)  # "no decision yet" while walking
 
 SLICE_KEY = ["cluster_id", "slice"]
-EXIT_SCHEMA = "cluster_id STRING, slice BIGINT, exit_workers BIGINT, exit_us BIGINT"
+EXIT_SCHEMA = "cluster_id STRING, slice BIGINT, decided BOOLEAN, exit_workers BIGINT, exit_us BIGINT"
 TRACE_COLUMNS = "current_workers BIGINT, last_decision_us BIGINT, cooldown_until_us BIGINT, outcome STRING"
+OUTCOMES = ("decision", "blocked_idempotence", "blocked_cooldown")
 
 
 class _SliceWalker:
-    """Walks rows sorted by (cluster, slice, time); holds one slice's state at a time."""
+    """Walks rows sorted by (cluster, slice, time), from decision to decision."""
 
     def __init__(self, rules: list[Rule]):
-        self.targets = [r.target_workers for r in rules]
-        self.cooldowns = [r.cooldown_minutes * MINUTE_US for r in rules]
+        self.targets = np.array([r.target_workers for r in rules], np.int64)
+        self.cooldowns = np.array([r.cooldown_minutes * MINUTE_US for r in rules], np.int64)
 
     def trace(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, steps in self._walk(batches):
-            columns = list(batch.columns)[: batch.num_columns - 2]
-            names = batch.schema.names[:-2]
-            workers, last, until, outcome = (list(c) for c in zip(*steps)) if steps else ([], [], [], [])
-            yield pa.RecordBatch.from_arrays(
-                columns
-                + [pa.array(workers, pa.int64()), pa.array(last, pa.int64()), pa.array(until, pa.int64()), pa.array(outcome, pa.string())],
-                names=names + ["current_workers", "last_decision_us", "cooldown_until_us", "outcome"],
-            )
+        for batch, workers, last, until, made, _, _ in self._walk(batches):
+            target = self.targets[_integers(batch, "rule_ord") - 1]
+            outcome = np.where(made, 0, np.where(target == workers, 1, 2))
+            none = last == NEVER
+            fresh = [
+                pa.array(workers, pa.int64()),
+                pa.array(last, pa.int64(), mask=none),
+                pa.array(until, pa.int64(), mask=none),
+                pa.DictionaryArray.from_arrays(pa.array(outcome, pa.int8()), pa.array(OUTCOMES)).cast(pa.string()),
+            ]
+            kept = [n for n in batch.schema.names if n not in ("enter_workers", "enter_us")]
+            names = kept + ["current_workers", "last_decision_us", "cooldown_until_us", "outcome"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *fresh], names=names)
 
     def exits(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per slice: the state after its last tick."""
+        """One row per slice: whether it decided, and the state after its last decision."""
+        names = [part.split()[0] for part in EXIT_SCHEMA.split(", ")]
         open_slice = None
-        for batch, steps in self._walk(batches):
+        for batch, _, _, _, made, starts, state in self._walk(batches):
             done = []
-            rows = zip(batch["cluster_id"].to_pylist(), batch["slice"].to_pylist(), batch["ts_us"].to_pylist(), batch["rule_ord"].to_pylist(), steps)
-            for cluster, piece, ts, rule, (workers, last, _, outcome) in rows:
-                if open_slice is not None and open_slice[:2] != (cluster, piece):
+            for k, start in enumerate(starts):
+                end = starts[k + 1] if k + 1 < len(starts) else batch.num_rows
+                key = (batch.column("cluster_id")[int(start)].as_py(), batch.column("slice")[int(start)].as_py())
+                decided = bool(made[start:end].any())
+                if open_slice and open_slice[:2] == key:
+                    decided |= open_slice[2]
+                elif open_slice:
                     done.append(open_slice)
-                state = (self.targets[rule - 1], ts) if outcome == "decision" else (workers, last)
-                open_slice = (cluster, piece, *state)
+                open_slice = (*key, decided, *state[k])
             if done:
-                yield self._exit_batch(done)
-        if open_slice is not None:
-            yield self._exit_batch([open_slice])
+                yield _batch(done, names)
+        if open_slice:
+            yield _batch([open_slice], names)
+
+    def _walk(self, batches: Iterator[pa.RecordBatch]):
+        """Per batch: state before each tick, which ticks decide, where slices start, and the state each ends in."""
+        key, workers, last = None, None, NEVER
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            ts, rule = _integers(batch, "ts_us"), _integers(batch, "rule_ord") - 1
+            target, cooldown = self.targets[rule], self.cooldowns[rule]
+            clusters, pieces = batch.column("cluster_id"), _integers(batch, "slice")
+            codes = clusters.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[0], np.flatnonzero((np.diff(codes) != 0) | (np.diff(pieces) != 0)) + 1])
+            before_workers, before_last, made, ends = np.empty(n, np.int64), np.empty(n, np.int64), np.zeros(n, bool), []
+            for k, start in enumerate(starts):
+                end = starts[k + 1] if k + 1 < len(starts) else n
+                here = (clusters[int(start)].as_py(), int(pieces[start]))
+                if here != key:
+                    entered = batch.column("enter_us")[int(start)].as_py()
+                    key, workers, last = here, batch.column("enter_workers")[int(start)].as_py(), NEVER if entered is None else entered
+                at = start
+                while at < end:
+                    next_at = self._next(ts, target, cooldown, int(at), int(end), workers, last)
+                    before_workers[at : next_at + 1], before_last[at : next_at + 1] = workers, last
+                    if next_at < end:
+                        made[next_at] = True
+                        workers, last = int(target[next_at]), int(ts[next_at])
+                    at = next_at + 1
+                ends.append((workers, None if last == NEVER else last))
+            yield batch, before_workers, before_last, before_last + cooldown, made, starts, ends
 
     @staticmethod
-    def _exit_batch(rows: list[tuple]) -> pa.RecordBatch:
-        cluster, piece, workers, last = zip(*rows)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(cluster, pa.string()), pa.array(piece, pa.int64()), pa.array(workers, pa.int64()), pa.array(last, pa.int64())],
-            names=["cluster_id", "slice", "exit_workers", "exit_us"],
-        )
+    def _next(ts, target, cooldown, at: int, end: int, workers: int, last: int) -> int:
+        """The first tick that decides, looked for in blocks that grow; ``end`` if none does."""
+        size = 64
+        while at < end:
+            stop = min(end, at + size)
+            free = (target[at:stop] != workers) & (ts[at:stop] - cooldown[at:stop] >= last)
+            if free.any():
+                return at + int(free.argmax())
+            at, size = stop, size * 4
+        return end
 
-    def _walk(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple]]]:
-        key, workers, last = None, None, None
-        for batch in batches:
-            steps = []
-            names = ("cluster_id", "slice", "ts_us", "rule_ord", "enter_workers", "enter_us")
-            for cluster, piece, ts, rule, enter_workers, enter_us in zip(*(batch[n].to_pylist() for n in names)):
-                if key != (cluster, piece):
-                    key, workers, last = (cluster, piece), enter_workers, enter_us
-                target = self.targets[rule - 1]
-                until = None if last is None else last + self.cooldowns[rule - 1]
-                if target == workers:
-                    steps.append((workers, last, until, "blocked_idempotence"))
-                elif until is not None and ts < until:
-                    steps.append((workers, last, until, "blocked_cooldown"))
-                else:
-                    steps.append((workers, last, until, "decision"))
-                    workers, last = target, ts
-            yield batch, steps
+
+def _integers(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    types = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
 def _sorted_slices(ticks: DataFrame, enter: DataFrame, keys: list[str]) -> DataFrame:
@@ -110,36 +148,17 @@ def _schema(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def walk_ticks(
-    matched: DataFrame,
-    initial: DataFrame,
-    rules: list[Rule],
-    hot_cluster_ticks: int = HOT_CLUSTER_TICKS,
-    slice_ticks: int = SLICE_TICKS,
-) -> DataFrame:
+def walk_ticks(matched: DataFrame, initial: DataFrame, rules: list[Rule], slice_ticks: int = SLICE_TICKS) -> DataFrame:
     """Matched ticks plus the state before each and its ``outcome``.
 
     ``matched`` has ``cluster_id, ts_us, rule_ord`` (and more); ``initial`` one row per
     cluster: ``cluster_id, workers, last_us``. Clusters absent from ``initial`` are dropped.
     """
-    ticks = materialize(matched, "matched")
     start = initial.select("cluster_id", F.col("workers").cast("bigint").alias("enter_workers"), F.col("last_us").alias("enter_us"))
     walker = _SliceWalker(rules)
-
-    # At most (all ticks / threshold) clusters are hot, so this list is small by construction.
-    counts = ticks.groupBy("cluster_id").agg(F.count("*").alias("ticks"))
-    hot = counts.filter(F.col("ticks") > hot_cluster_ticks).select("cluster_id")
-    if hot.isEmpty():
-        whole = _sorted_slices(ticks.withColumn("slice", F.lit(0).cast("bigint")), start, ["cluster_id"])
-        return _traced(whole, walker)
-
-    hot = materialize(hot, "hot")
-    cold = ticks.join(hot, "cluster_id", "left_anti").withColumn("slice", F.lit(0).cast("bigint"))
-    slices = materialize(_sliced(ticks.join(hot, "cluster_id", "left_semi"), slice_ticks), "sliced")
-    enter = _settled_entries(slices, start, walker)
-    return _traced(_sorted_slices(cold, start, ["cluster_id"]), walker).unionByName(
-        _traced(_sorted_slices(slices, enter, SLICE_KEY), walker)
-    )
+    slices = materialize(_sliced(materialize(matched, "matched"), slice_ticks), "sliced")
+    longest = max((r.cooldown_minutes for r in rules), default=0) * MINUTE_US
+    return _traced(_sorted_slices(slices, _settled_entries(slices, start, walker, longest), SLICE_KEY), walker)
 
 
 def _sliced(ticks: DataFrame, slice_ticks: int) -> DataFrame:
@@ -157,46 +176,40 @@ def _sliced(ticks: DataFrame, slice_ticks: int) -> DataFrame:
 
 def _traced(prepared: DataFrame, walker: _SliceWalker) -> DataFrame:
     kept = prepared.drop("enter_workers", "enter_us")
-    ordered = prepared.select(*kept.columns, "enter_workers", "enter_us")
-    return ordered.mapInArrow(walker.trace, f"{_schema(kept)}, {TRACE_COLUMNS}").drop("slice")
+    return prepared.mapInArrow(walker.trace, f"{_schema(kept)}, {TRACE_COLUMNS}").drop("slice")
 
 
-def _settled_entries(slices: DataFrame, start: DataFrame, walker: _SliceWalker) -> DataFrame:
-    """The true entry state of every slice of the hot clusters."""
+def _settled_entries(slices: DataFrame, start: DataFrame, walker: _SliceWalker, longest_us: int) -> DataFrame:
+    """The true entry state of every slice. All tables here have one row per slice."""
 
     def walked_from(entries: DataFrame) -> DataFrame:
         return _sorted_slices(slices, entries, SLICE_KEY).mapInArrow(walker.exits, EXIT_SCHEMA)
 
-    keys = slices.select(*SLICE_KEY).distinct().join(start, "cluster_id")
-    state = materialize(
-        keys.join(walked_from(keys), SLICE_KEY).select(*SLICE_KEY, "enter_workers", "enter_us", "exit_workers", "exit_us"),
-        "slices",
-    )
-    before = W.partitionBy("cluster_id").orderBy("slice")
+    keys = slices.groupBy(*SLICE_KEY).agg(F.min("ts_us").alias("begin_us")).join(start, "cluster_id")
+    first = walked_from(keys.drop("begin_us"))
+    state = materialize(keys.withColumnsRenamed({"enter_workers": "from_workers", "enter_us": "from_us"}).join(first, SLICE_KEY), "slices")
+    earlier = W.partitionBy("cluster_id").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    left = F.last(F.when(F.col("decided"), F.struct("exit_workers", "exit_us")), ignorenulls=True).over(earlier)
+    over = F.col("begin_us") - longest_us
+
+    def past(last: str) -> Column:
+        return F.coalesce(F.col(last) <= over, F.lit(True))
+
+    same = (F.col("from_workers") == F.col("enter_workers")) & (F.col("from_us").eqNullSafe(F.col("enter_us")) | (past("from_us") & past("enter_us")))
     while True:
-        # One row per slice: this table is the number of slices, not of ticks.
-        linked = state.withColumns(
+        linked = state.withColumn("left", left).join(start, "cluster_id").withColumns(
             {
-                "has_previous": F.lag("slice").over(before).isNotNull(),
-                "lag_workers": F.lag("exit_workers").over(before),
-                "lag_us": F.lag("exit_us").over(before),
+                "enter_workers": F.coalesce("left.exit_workers", "enter_workers"),
+                "enter_us": F.when(F.col("left").isNotNull(), F.col("left.exit_us")).otherwise(F.col("enter_us")),
             }
-        ).select(
-            *SLICE_KEY,
-            F.when(F.col("has_previous"), F.col("lag_workers")).otherwise(F.col("enter_workers")).alias("new_workers"),
-            F.when(F.col("has_previous"), F.col("lag_us")).otherwise(F.col("enter_us")).alias("new_us"),
-            "enter_workers",
-            "enter_us",
-            "exit_workers",
-            "exit_us",
-        )
-        same = F.col("new_workers").eqNullSafe(F.col("enter_workers")) & F.col("new_us").eqNullSafe(F.col("enter_us"))
-        wrong = linked.filter(~same).select(*SLICE_KEY, F.col("new_workers").alias("enter_workers"), F.col("new_us").alias("enter_us"))
+        ).drop("left")
+        wrong = linked.filter(~same).select(*SLICE_KEY, "enter_workers", "enter_us")
         if wrong.isEmpty():
-            return state.select(*SLICE_KEY, "enter_workers", "enter_us")
-        again = wrong.join(walked_from(wrong), SLICE_KEY)
-        right = linked.filter(same).select(*SLICE_KEY, "enter_workers", "enter_us", "exit_workers", "exit_us")
-        state = materialize(right.unionByName(again.select(*right.columns)), "slices")
+            return linked.select(*SLICE_KEY, "enter_workers", "enter_us")
+        again = linked.filter(~same).drop("from_workers", "from_us", "decided", "exit_workers", "exit_us").join(walked_from(wrong), SLICE_KEY)
+        right = linked.filter(same).drop("enter_workers", "enter_us")
+        renamed = again.withColumnsRenamed({"enter_workers": "from_workers", "enter_us": "from_us"})
+        state = materialize(right.unionByName(renamed.select(*right.columns)), "slices")
 
 
 def decisions(walked: DataFrame, tick_table: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -214,6 +227,8 @@ def decisions(walked: DataFrame, tick_table: DataFrame, rules: list[Rule]) -> Da
 
 
 def _of_rule(rules: list[Rule], field: str) -> Column:
+    if not rules:
+        return F.lit(None).cast("string" if field == "name" else "bigint")
     return F.element_at(F.array(*[F.lit(getattr(r, field)) for r in rules]), F.col("rule_ord"))
 
 

@@ -26,6 +26,9 @@ from driverlens.functions.timegrid import MINUTE_US, minute_of
 from driverlens.operators.rules import Rule
 
 TICK_KEY = ["cluster_id", "ts_us"]
+VERDICT = (
+    "struct<rule_ord:int,rule_name:string,holds:boolean,records_in_window:bigint,records_with_metric:bigint,aggregate:double>"
+)
 PART_OF_AGGREGATION = {"avg": "sum", "max": "max", "min": "min", "last": "last"}
 
 
@@ -116,6 +119,8 @@ def evaluate(tick_table: DataFrame, rules: list[Rule]) -> DataFrame:
 
     ``tick_table`` is read twice, so hand in a stored table (see ``plans.store_ticks``).
     """
+    if not rules:  # no rule, no verdict
+        return tick_table.filter(F.col("points") > 0).select(*TICK_KEY, F.lit(None).cast(f"array<{VERDICT}>").alias("verdicts"))
     parts = _parts(rules)
     names = [p.name for p in parts]
     widths = sorted({r.window_minutes for r in rules})

@@ -34,16 +34,16 @@ def store_ticks(records: DataFrame, rules: list[Rule]) -> DataFrame:
     return materialize(ticks(records, rules), "ticks")
 
 
-def walk_records(records: DataFrame, initial: DataFrame, rules: list[Rule], **hot) -> Walk:
+def walk_records(records: DataFrame, initial: DataFrame, rules: list[Rule], **slices) -> Walk:
     """``records`` are unique already; ``initial`` is ``cluster_id, workers, last_us``."""
     table = store_ticks(records, rules)
-    walked = walk_ticks(matched_ticks(evaluate(table, rules)), initial, rules, **hot)
+    walked = walk_ticks(matched_ticks(evaluate(table, rules)), initial, rules, **slices)
     return Walk(table, walked, decisions(walked, table, rules))
 
 
-def decide(records: DataFrame, initial: DataFrame, rules: list[Rule], **hot) -> DataFrame:
+def decide(records: DataFrame, initial: DataFrame, rules: list[Rule], **slices) -> DataFrame:
     """Scaling decisions of every cluster from raw, possibly repeated records."""
-    return walk_records(dedup_records(records), initial, rules, **hot).decisions
+    return walk_records(dedup_records(records), initial, rules, **slices).decisions
 
 
 def decision_points(records: DataFrame, initial: DataFrame, rules: list[Rule]) -> DataFrame:

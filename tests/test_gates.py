@@ -20,9 +20,9 @@ def matched(spark, rows):
     return spark.createDataFrame(rows, "cluster_id STRING, ts_us BIGINT, rule_ord INT")
 
 
-def outcomes(spark, rows, rules, workers=4, last=None, **hot):
+def outcomes(spark, rows, rules, workers=4, last=None, **slices):
     start = spark.createDataFrame([("c", workers, last)], "cluster_id STRING, workers BIGINT, last_us BIGINT")
-    walked = walk_ticks(matched(spark, [("c", at, r) for at, r in rows]), start, rules, **hot).orderBy("ts_us").collect()
+    walked = walk_ticks(matched(spark, [("c", at, r) for at, r in rows]), start, rules, **slices).orderBy("ts_us").collect()
     return [(r.current_workers, r.last_decision_us, r.outcome) for r in walked]
 
 
@@ -63,7 +63,7 @@ def test_sliced_walk_equals_whole_walk(spark, pattern, slice_ticks):
     else:
         rows = [(i * MINUTE, 1 + i % 2) for i in range(60)]
     whole = outcomes(spark, rows, rules)
-    assert outcomes(spark, rows, rules, hot_cluster_ticks=10, slice_ticks=slice_ticks) == whole
+    assert outcomes(spark, rows, rules, slice_ticks=slice_ticks) == whole
     assert len([o for o in whole if o[2] == "decision"]) > 10
 
 
@@ -72,7 +72,7 @@ def test_hot_and_cold_clusters_together(spark):
     rows = [(c, i * MINUTE, 1 + (i // n) % 2) for c, n, size in (("hot", 3, 40), ("cold", 2, 6)) for i in range(size)]
     start = initial(spark, hot=4, cold=8)
     whole = walk_ticks(matched(spark, rows), start, rules)
-    sliced = walk_ticks(matched(spark, rows), start, rules, hot_cluster_ticks=10, slice_ticks=5)
+    sliced = walk_ticks(matched(spark, rows), start, rules, slice_ticks=5)
     assert sorted(map(tuple, sliced.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
 
 
@@ -167,3 +167,26 @@ def test_random_walks_agree_with_plain_python(spark):
     ]
     assert sorted(got, key=str) == sorted(expected, key=str)
     assert run.decisions.count() == sum(row[-1] == "decision" for row in expected) > 20
+
+
+@pytest.mark.parametrize("count", [4, 16, 64])
+def test_a_rule_that_keeps_holding_settles_in_three_rounds(spark, monkeypatch, count):
+    from driverlens.operators import gates
+
+    rounds = []
+    store = gates.materialize
+
+    def counted(df, label):
+        rounds.append(label)
+        return store(df, label)
+
+    monkeypatch.setattr(gates, "materialize", counted)
+    rows = [(i * MINUTE, 1) for i in range(count * 5)]
+    got = outcomes(spark, rows, [rule(target_workers=8, cooldown_minutes=20)], slice_ticks=5)
+    assert [o[2] for o in got] == ["decision"] + ["blocked_idempotence"] * (len(rows) - 1)
+    assert rounds.count("slices") <= 3
+
+
+def test_no_rules_no_decisions(spark):
+    records = [record(us(9, m), m, batchDuration=500) for m in (0, 2, 4)]
+    assert decide(frame(spark, records), initial(spark), []).collect() == []

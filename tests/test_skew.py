@@ -63,7 +63,7 @@ def test_sliced_walk_is_exact(spark, skewed):
     matched = materialize(matched_ticks(evaluate(ticks(dedup_records(skewed), RULES), RULES)), "matched")
     start = matched.select("cluster_id").distinct().select("cluster_id", F.lit(4).alias("workers"), F.lit(None).cast("bigint").alias("last_us"))
     whole = walk_ticks(matched, start, RULES)
-    sliced = walk_ticks(matched, start, RULES, hot_cluster_ticks=2000, slice_ticks=1500)
+    sliced = walk_ticks(matched, start, RULES, slice_ticks=1500)
     assert whole.filter("outcome = 'decision'").count() > 50
     assert whole.exceptAll(sliced.select(whole.columns)).count() == 0
     assert whole.count() == sliced.count()
