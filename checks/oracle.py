@@ -232,7 +232,28 @@ REASON = (
 )
 STATUS = "CASE kind WHEN 'cut' THEN 'malformed_json' ELSE 'missing_required' END"
 
+STEADY = f"""
+rules(rule_ord, rule_name, target, cooldown_minutes) AS (VALUES (1, 'steady', 16, 4320)),
+windows AS (SELECT *, count(dur) OVER w3 AS c2, max(dur) OVER w3 AS agg FROM rec WINDOW w3 AS {frame(4320)}),
+matched AS (SELECT cluster_id, id, batch_id, ts_us, ts_raw, 1 AS rule_ord, 'steady' AS rule_name, agg FROM windows WHERE c2 >= 1 AND agg > -1)"""
+
 ORACLE: dict[str, str] = {
+    "decisions_steady": sql(
+        EV, REC, STEADY, WALK, "made_at AS (SELECT cluster_id, ts_us, ts_raw FROM walked WHERE outcome = 'decision')",
+        select="""SELECT w.cluster_id, w.batch_id, w.rule_ord, w.agg AS aggregate, CAST(w.cur AS BIGINT) AS current_workers, w.last_us AS last_decision_us,
+          l.ts_raw AS last_decision_ts, w.last_us + w.cooldown_us AS cooldown_until_us, w.outcome
+        FROM walked w LEFT JOIN made_at l ON l.cluster_id = w.cluster_id AND l.ts_us = w.last_us""",
+    ),
+    "window_avg_of_fractions": sql(
+        EV, REC,
+        f"""w AS (SELECT cluster_id, ts_us, count(*) OVER w3 AS c, sum(batch_id) OVER w3 AS s FROM rec WINDOW w3 AS {frame(4320)})""",
+        select="SELECT DISTINCT cluster_id, ts_us, round(CAST(s AS DOUBLE) / 3 / c, 6) AS avg_value FROM w WHERE c >= 3",
+    ),
+    "source_metric_shapes": sql(
+        EV,
+        select="""SELECT event_id, CASE WHEN event_id % 11 IN (0, 7, 9) THEN CAST(k AS DOUBLE) END AS k,
+          CASE WHEN event_id % 11 IN (0, 7, 9) THEN CAST(k AS DOUBLE) END AS k_chosen FROM ev""",
+    ),
     # sources
     "scan_logs": sql(
         EV, LOGS,
@@ -313,11 +334,14 @@ ORACLE: dict[str, str] = {
           CAST(r.window_minutes AS BIGINT) AS window_minutes, w.n AS records_in_window, w.c AS records_with_metric,
           CAST(r.min_batches AS BIGINT) AS min_batches, CAST(w.cur AS BIGINT) AS current_workers, CAST(r.target AS BIGINT) AS target_workers,
           r.target = w.cur AS idempotent,
-          strftime(make_timestamp(w.last_us), '%Y-%m-%dT%H:%M:%S.%gZ') AS last_decision_ts,
+          w.agg || ' ' || r.operator || ' ' || r.threshold AS comparison,
+          (SELECT ts_raw FROM made_at l WHERE l.cluster_id = w.cluster_id AND l.ts_us = w.last_us) AS last_decision_ts,
           CAST(r.cooldown_minutes AS BIGINT) AS cooldown_minutes,
           strftime(make_timestamp(w.last_us + w.cooldown_us), '%Y-%m-%dT%H:%M:%S.%fZ') AS cooldown_until,
           w.ts_us >= w.last_us + w.cooldown_us AS cooldown_passed, w.outcome
-        FROM walked w JOIN rules r USING (rule_ord)"""
+        FROM walked w JOIN rules r USING (rule_ord)""",
+        "made_at AS (SELECT cluster_id, ts_us, ts_raw FROM walked WHERE outcome = 'decision')",
+        rec=REC.replace("iso AS ts_raw", "CASE event_id % 3 WHEN 0 THEN substr(iso, 1, 23) || '+00:00' WHEN 1 THEN substr(iso, 1, 23) || '000Z' ELSE iso END AS ts_raw"),
     ),
     # entries and records
     "header_lines": sql(

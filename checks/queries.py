@@ -166,13 +166,17 @@ def decisions_export(spark, sf_dir):
 
 @query
 def decision_trace(spark, sf_dir):
-    points = decision_points(X.progress_from_events(spark, sf_dir), X.initial_states(spark, sf_dir), X.RULES)
+    """Timestamps as they were logged: in UTC, with an offset, or without decimals."""
+    logged = F.when(F.col("batch_id") % 3 == 0, F.concat(F.substring("ts_raw", 1, 23), F.lit("+00:00")))
+    logged = logged.when(F.col("batch_id") % 3 == 1, F.concat(F.substring("ts_raw", 1, 23), F.lit("000Z")))
+    records = X.progress_from_events(spark, sf_dir).withColumn("ts_raw", logged.otherwise(F.col("ts_raw")))
+    points = decision_points(records, X.initial_states(spark, sf_dir), X.RULES)
     trace = T.decision_trace(points, X.RULES)
     return trace.select(
         "cluster_id", "evaluation_ts", "batch_id", "rule",
         F.array_join("rules_not_holding_above", ",").alias("rules_not_holding_above"),
         "condition.metric", "condition.aggregation", "condition.aggregate", "condition.operator", "condition.threshold",
-        "condition.window_minutes", "condition.records_in_window", "condition.records_with_metric", "condition.min_batches",
+        "condition.comparison", "condition.window_minutes", "condition.records_in_window", "condition.records_with_metric", "condition.min_batches",
         "gates.current_workers", "gates.target_workers", "gates.idempotent", "gates.last_decision_ts",
         "gates.cooldown_minutes", "gates.cooldown_until", "gates.cooldown_passed", "outcome",
     )
@@ -266,6 +270,22 @@ def metric_coercion(spark, sf_dir):
     return rows.select("event_id", F.col("metrics")["m"].alias("m"))
 
 
+@query
+def source_metric_shapes(spark, sf_dir):
+    """``sources`` in all shapes: only a real array of objects with a ``metrics`` object counts."""
+    shape = (
+        """case event_id % 11 when 0 then concat('[{"metrics":{"k":"', k, '"}}]') when 1 then concat('"[{\\\\"metrics\\\\":{\\\\"k\\\\":', k, '}}]"') """
+        """when 2 then concat('[{"metrics":"{\\\\"k\\\\":', k, '}"}]') when 3 then '[]' when 4 then 'null' when 5 then concat('{"metrics":{"k":', k, '}}') """
+        """when 6 then concat('[5,{"metrics":{"k":', k, '}}]') when 7 then concat('[{"metrics":{"k":', k, '}},5,"x"]') when 8 then concat('[{"metrics":[', k, ']}]') """
+        """when 9 then concat('[{"metrics":{"k":1,"k":', k, '}}]') else concat('[{"x":1},{"metrics":{"k":', k, '}}]') end"""
+    )
+    text = f"""concat('{E.PROGRESS_MARKER} {{"id":"q","batchId":1,"timestamp":"', iso, '","sources":', {shape}, '}}')"""
+    rows = X.events(spark, sf_dir).withColumn("iso", iso_utc(F.col("ts_us")))
+    entries = rows.select("event_id", F.lit("p").alias("path"), F.col("event_id").alias("entry_no"), F.expr(text).alias("text"))
+    both = [R.progress_records(entries, names).select("event_id", F.col("metrics")["source.k"].alias("k")) for names in (None, ["source.k"])]
+    return both[0].join(both[1].withColumnRenamed("k", "k_chosen"), "event_id")
+
+
 @query
 def metrics_long(spark, sf_dir):
     return R.metrics_long(R.progress_records(X.log_entries(spark, sf_dir))).select("cluster_id", "batch_id", "metric", "value")
@@ -374,6 +394,16 @@ def window_avg(spark, sf_dir):
     return _window(spark, sf_dir, "avg")
 
 
+@query
+def window_avg_of_fractions(spark, sf_dir):
+    """Averages of a metric with fractions, over records dealt to many partitions."""
+    thirds = F.create_map(F.lit("rate"), F.col("batch_id").cast("double") / 3)
+    records = X.progress_from_events(spark, sf_dir).withColumn("metrics", thirds).repartition(7)
+    rule = RU.Rule("w", "rate", "avg", "gt", 0, 4320, 3, 1, 0)
+    verdicts = WI.evaluate(store_ticks(records, [rule]), [rule]).select("cluster_id", "ts_us", F.col("verdicts")[0]["aggregate"].alias("avg_value"))
+    return verdicts.where("avg_value IS NOT NULL").select("cluster_id", "ts_us", F.round("avg_value", 6).alias("avg_value"))
+
+
 @query
 def window_max(spark, sf_dir):
     return _window(spark, sf_dir, "max")
@@ -427,6 +457,16 @@ def decisions_sliced(spark, sf_dir):
     return made.select(*DECISION)
 
 
+STEADY = [RU.Rule("steady", "batchDuration", "max", "gt", -1, 4320, 1, 16, 4320)]
+
+
+@query
+def decisions_steady(spark, sf_dir):
+    """One rule that holds nearly throughout, walked in slices of a few ticks."""
+    points = decision_points(X.progress_from_events(spark, sf_dir), X.initial_states(spark, sf_dir), STEADY, slice_ticks=8)
+    return points.select("cluster_id", "batch_id", "rule_ord", "aggregate", "current_workers", "last_decision_us", "last_decision_ts", "cooldown_until_us", "outcome")
+
+
 @query
 def gate_outcomes_of_peers(spark, sf_dir):
     """Record times cut to the day, so that many records share an evaluation time."""

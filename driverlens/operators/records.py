@@ -79,15 +79,27 @@ def _decoded(entries: DataFrame) -> DataFrame:
     """``payload``, its fields ``document`` and those of its first source ``source``.
 
     Each decoding is a column of its own: Catalyst then keeps it to one evaluation per row.
-    ``source`` is NULL if there is none or it has another shape.
+    ``source`` is NULL if there is none or it has another shape: ``sources`` must be an array,
+    its first element and that element's ``metrics`` objects, and not text that looks like them.
     """
+    # An array whose later elements have another shape does not fit the struct; the variant
+    # then tells the JSON types, and only for such rows.
+    sources = F.from_json("payload", "struct<sources:variant>", JSON_OPTIONS)["sources"]
+    fits = (
+        F.schema_of_variant(sources).startswith("ARRAY")
+        & F.schema_of_variant(F.try_variant_get(sources, "$[0]", "variant")).startswith("OBJECT")
+        & F.schema_of_variant(F.try_variant_get(sources, "$[0].metrics", "variant")).startswith("OBJECT")
+    )
     source_text = F.get_json_object(F.col("document")["sources"], "$[0].metrics")
+    odd = F.when(fits, F.from_json(source_text, "map<string,string>", JSON_OPTIONS))
+    shaped = F.from_json("payload", "struct<sources:array<struct<metrics:map<string,string>>>>", JSON_OPTIONS)
     return (
         entries.withColumn("payload", payload(F.col("text")))
         .withColumn("document", F.from_json("payload", "map<string,string>", JSON_OPTIONS))
         .withColumn("typed", F.from_json("payload", "struct<id:variant,batchId:variant>", JSON_OPTIONS))
         .withColumn("document", last_wins(F.col("document")))
-        .withColumn("source", F.from_json(source_text, "map<string,string>", JSON_OPTIONS))
+        .withColumn("shaped", shaped["sources"])
+        .withColumn("source", F.when(F.col("shaped").isNotNull(), F.get("shaped", F.lit(0))["metrics"]).when(F.contains(F.col("document")["sources"], F.lit("{")), odd))
         .withColumn("source", last_wins(F.col("source")))
         .withColumns({"id_type": json_type(F.col("typed.id")), "batch_type": json_type(F.col("typed.batchId"))})
     )

@@ -11,7 +11,10 @@ from driverlens.operators.windows import rules_not_holding_above
 
 
 def decision_trace(points: DataFrame, rules: list[Rule]) -> DataFrame:
-    """``points`` as ``operators.gates.point_outcomes`` gives them.
+    """``points`` as ``plans.decide.decision_points`` gives them.
+
+    Times are the records' own text; ``cooldown_until`` is computed, and written in ISO form with
+    six decimals. Numbers in ``comparison`` are written as Spark writes a double.
 
     The rules are a handful of rows by nature, so their table is broadcast.
     """
@@ -27,7 +30,7 @@ def decision_trace(points: DataFrame, rules: list[Rule]) -> DataFrame:
         "current_workers",
         "target_workers",
         (F.col("target_workers") == F.col("current_workers")).alias("idempotent"),
-        iso_utc(F.col("last_decision_us")).alias("last_decision_ts"),
+        F.coalesce("last_decision_ts", iso_utc(F.col("last_decision_us"))).alias("last_decision_ts"),
         "cooldown_minutes",
         iso_utc(until, 6).alias("cooldown_until"),
         F.when(has_last, F.col("ts_us") >= until).alias("cooldown_passed"),

@@ -29,12 +29,16 @@ TICK_KEY = ["cluster_id", "ts_us"]
 VERDICT = (
     "struct<rule_ord:int,rule_name:string,holds:boolean,records_in_window:bigint,records_with_metric:bigint,aggregate:double>"
 )
-PART_OF_AGGREGATION = {"avg": "sum", "max": "max", "min": "min", "last": "last"}
+# Sums for averages are kept as whole part and fraction in decimals: they are exact, so the order
+# in which partitions and replays add does not show in the result.
+WHOLE, FRACTION = "decimal(38,0)", "decimal(38,15)"
+PARTS_OF_AGGREGATION = {"avg": ("whole", "fraction"), "max": ("max",), "min": ("min",), "last": ("last",)}
+FOLDS = {"count": F.sum, "whole": F.sum, "fraction": F.sum, "max": F.max, "min": F.min}
 
 
 @dataclass(frozen=True)
 class Part:
-    """One partial aggregate: ``records`` in the window, or a metric's count/sum/max/min/last."""
+    """One partial aggregate: ``records`` in the window, or a metric's count, sum (in two parts), max, min or last."""
 
     kind: str
     metric: str | None = None
@@ -45,7 +49,7 @@ class Part:
         if self.kind == "last":
             pick = F.first if newest_first else F.last
             return pick(column, ignorenulls=True).over(spec)
-        return {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}[self.kind](column).over(spec)
+        return FOLDS[self.kind](column).over(spec)
 
     def of_records(self) -> Column:
         if self.metric is None:
@@ -53,13 +57,18 @@ class Part:
         value = F.col("metrics")[self.metric]
         if self.kind == "last":
             return F.max_by(value, F.when(value.isNotNull(), F.struct("batch_id", "id")))
-        return {"count": F.count, "sum": F.sum, "max": F.max, "min": F.min}[self.kind](value)
+        whole = value.try_cast(WHOLE)
+        if self.kind == "whole":
+            return F.sum(whole)
+        if self.kind == "fraction":
+            return F.sum((value - whole.cast("double")).cast(FRACTION))
+        return {"count": F.count, "max": F.max, "min": F.min}[self.kind](value)
 
     def of_minute(self) -> Column:
         column = F.col(self.name)
         if self.kind == "last":
             return F.max_by(column, F.when(column.isNotNull(), F.col("ts_us")))
-        return {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}[self.kind](column)
+        return FOLDS[self.kind](column)
 
     def newer(self, newest: Column, middle: Column | None) -> Column:
         """The part of the window a tick row holds itself: its own minute and the whole ones."""
@@ -69,15 +78,14 @@ class Part:
             return F.coalesce(newest, middle)
         if self.kind in ("max", "min"):
             return (F.greatest if self.kind == "max" else F.least)(newest, middle)
-        zero = F.lit(0).cast("bigint") if self.kind == "count" else F.lit(0.0)
+        zero = F.lit(0).cast({"count": "bigint", "whole": WHOLE, "fraction": FRACTION}[self.kind])
         return F.coalesce(newest, zero) + F.coalesce(middle, zero)
 
     def meet(self, newer: Column, oldest: Column) -> Column:
         """Fold a tick's row and its probe's row, each NULL on the other's row."""
         if self.kind == "last":
             return F.coalesce(F.max(newer), F.max(oldest))
-        fold = {"count": F.sum, "sum": F.sum, "max": F.max, "min": F.min}[self.kind]
-        return fold(F.coalesce(newer, oldest))
+        return FOLDS[self.kind](F.coalesce(newer, oldest))
 
 
 RECORDS = Part("count")
@@ -88,15 +96,14 @@ def _parts(rules: list[Rule]) -> list[Part]:
     parts = {RECORDS: None}
     for rule in rules:
         i = metrics.index(rule.metric)
-        for kind in ("count", PART_OF_AGGREGATION[rule.aggregation]):
+        for kind in ("count", *PARTS_OF_AGGREGATION[rule.aggregation]):
             parts[Part(kind, rule.metric, f"m{i}_{kind}")] = None
     return list(parts)
 
 
 def _rule_parts(rule: Rule, parts: list[Part]) -> dict[str, Part]:
-    wanted = {"count": "count", PART_OF_AGGREGATION[rule.aggregation]: "value"}
-    found = {wanted[p.kind]: p for p in parts if p.metric == rule.metric and p.kind in wanted}
-    return {"records": RECORDS, **found}
+    wanted = ("count", *PARTS_OF_AGGREGATION[rule.aggregation])
+    return {"records": RECORDS} | {p.kind: p for p in parts if p.metric == rule.metric and p.kind in wanted}
 
 
 def ticks(records: DataFrame, rules: list[Rule]) -> DataFrame:
@@ -196,7 +203,10 @@ def _needed(rules: list[Rule], width: int, parts: list[Part]) -> list[Part]:
 def _verdict(rule_ord: int, rule: Rule, parts: list[Part]) -> Column:
     mine = {role: F.col(f"w{rule.window_minutes}_{p.name}") for role, p in _rule_parts(rule, parts).items()}
     with_metric = F.coalesce(mine["count"], F.lit(0).cast("bigint"))
-    value = F.try_divide(mine["value"], with_metric) if rule.aggregation == "avg" else mine["value"]
+    if rule.aggregation == "avg":
+        value = F.try_divide(mine["whole"].cast("double") + mine["fraction"].cast("double"), with_metric)
+    else:
+        value = mine[rule.aggregation]
     aggregate = F.when(with_metric >= rule.min_batches, value)
     holds = aggregate > F.lit(rule.threshold) if rule.operator == "gt" else aggregate < F.lit(rule.threshold)
     return F.struct(

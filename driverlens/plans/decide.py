@@ -46,10 +46,21 @@ def decide(records: DataFrame, initial: DataFrame, rules: list[Rule], **slices)
     return walk_records(dedup_records(records), initial, rules, **slices).decisions
 
 
-def decision_points(records: DataFrame, initial: DataFrame, rules: list[Rule]) -> DataFrame:
-    """One row per record at which a rule matched, blocked ones included."""
-    walk = walk_records(records, initial, rules)
-    return point_outcomes(walk.walked, records, walk.ticks, rules)
+def decision_points(records: DataFrame, initial: DataFrame, rules: list[Rule], **slices) -> DataFrame:
+    """One row per record at which a rule matched, blocked ones included.
+
+    ``last_decision_ts`` is the deciding record's own text. A decision from before this run is
+    known by its time only, so ``initial`` may bring its text as ``last_ts``.
+    """
+    walk = walk_records(records, initial, rules, **slices)
+    points = point_outcomes(walk.walked, records, walk.ticks, rules)
+    made = walk.decisions.select("cluster_id", F.col("ts_us").alias("last_decision_us"), F.col("decision_ts").alias("last_decision_ts"))
+    named = points.join(made, ["cluster_id", "last_decision_us"], "left")
+    if "last_ts" not in initial.columns:
+        return named
+    before = initial.select("cluster_id", F.col("last_us").alias("last_decision_us"), "last_ts")
+    joined = named.join(before, ["cluster_id", "last_decision_us"], "left")
+    return joined.withColumn("last_decision_ts", F.coalesce("last_decision_ts", "last_ts")).drop("last_ts")
 
 
 def decide_from_logs(

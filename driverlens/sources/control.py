@@ -76,19 +76,19 @@ def read_rules(spark: SparkSession, path: str) -> list[Rule]:
     return validated_rules(spark, _rule_items(documents[0].text))
 
 
-def _notification_fields(body: Column) -> dict[str, Column]:
-    document = F.try_parse_json(body)
-
-    def field(name: str) -> Column:
-        value = F.try_variant_get(document, f"$.{name}", "variant")
-        return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(document, f"$.{name}", "string"))
+def _judged_notifications(messages: DataFrame) -> DataFrame:
+    """Messages with their fields and, if they are rejected, the ``reason``.
 
-    return {name: field(name) for name in NOTIFICATION_FIELDS}
+    The body is decoded once, inside a generator: Catalyst can't push what is built on it, the
+    filters included, below a generator and decode it again.
+    """
+    parsed = messages.select(F.inline(F.array(F.struct(*messages.columns, F.try_parse_json("body").alias("document")))))
 
+    def field(name: str) -> Column:
+        value = F.try_variant_get("document", f"$.{name}", "variant")
+        return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get("document", f"$.{name}", "string"))
 
-def _judged_notifications(messages: DataFrame) -> DataFrame:
-    fields = _notification_fields(F.col("body"))
-    decoded = messages.withColumns({"document": F.try_parse_json("body"), **fields})
+    decoded = parsed.withColumns({name: field(name) for name in NOTIFICATION_FIELDS})
     missing = F.array_compact(
         F.array(*[F.when(F.coalesce(F.length(n), F.lit(0)) == 0, F.lit(n)) for n in NOTIFICATION_FIELDS])
     )

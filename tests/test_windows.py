@@ -82,3 +82,20 @@ def test_random_records_agree_with_plain_python(spark):
     for (at, name), row in got.items():
         checked = next(r for r in rules if r.name == name)
         assert (row.holds, row.records_in_window, row.records_with_metric, row.aggregate) == rule_verdict(checked, as_dicts, at)
+
+
+def test_averages_of_fractions_do_not_depend_on_the_partitions(spark):
+    from driverlens.operators.windows import evaluate, ticks
+
+    chance = random.Random(5)
+    records = [record(us(9) + i * 1_000_000, i, rate=chance.random() / 3 * 10 ** chance.randrange(-3, 6)) for i in range(3000)]
+    rules = [rule(metric="rate", threshold=0, window_minutes=30, min_batches=1)]
+    seen = set()
+    for parts in (1, 3, 7):
+        table = ticks(frame(spark, records).repartition(parts), rules)
+        rows = evaluate(table, rules).selectExpr("ts_us", "verdicts[0].aggregate AS a").collect()
+        seen.add(tuple(sorted((r.ts_us, r.a.hex()) for r in rows)))
+    assert len(seen) == 1
+    at, last = max((r.ts_us, r.a) for r in rows)
+    exact = [r[5]["rate"] for r in records if at - 30 * 60_000_000 < r[3] <= at]
+    assert last == pytest.approx(sum(exact) / len(exact), rel=1e-12)
