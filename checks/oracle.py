@@ -309,6 +309,13 @@ ORACLE: dict[str, str] = {
         "SELECT cluster_id, decision_ts, CASE WHEN to_workers > from_workers THEN rule_name ELSE 'stale' END AS rule_name, "
         "from_workers, to_workers FROM last_made"
     ),
+    "upsert_two_runs": decision_sql(
+        "SELECT cluster_id, decision_ts, CASE WHEN to_workers <> 16 THEN rule_name ELSE 'first' END AS rule_name, from_workers, to_workers FROM last_made"
+    ),
+    "compacted_decisions": decision_sql(
+        "SELECT cluster_id, decision_ts, CASE to_workers WHEN 16 THEN 'first' WHEN 2 THEN 'third' ELSE rule_name END AS rule_name, "
+        "from_workers, to_workers FROM last_made"
+    ),
     "dedupe_decisions_last": decision_sql(
         "SELECT cluster_id, substr(decision_ts, 1, 10) AS decision_ts, rule_name, from_workers, to_workers FROM made "
         "QUALIFY row_number() OVER (PARTITION BY cluster_id, substr(decision_ts, 1, 10) ORDER BY ts_us DESC, batch_id DESC) = 1"

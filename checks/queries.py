@@ -19,7 +19,7 @@ from driverlens.operators import rules as RU
 from driverlens.operators import trace as T
 from driverlens.operators import windows as WI
 from driverlens.plans.decide import decide, decision_points, store_ticks
-from driverlens.session import scratch_path
+from driverlens.session import materialize, scratch_path
 from driverlens.sources import control as C
 from driverlens.sources import decision_table as D
 from driverlens.sources import logs as L
@@ -107,7 +107,7 @@ def _decisions(spark, sf_dir) -> DataFrame:
 def decision_lookup(spark, sf_dir):
     """Point lookups in bulk: the first decision of every cluster."""
     table = scratch_path(spark, "decisions")
-    D.put_decisions(_decisions(spark, sf_dir), table, 0)
+    D.put_decisions(_decisions(spark, sf_dir), table)
     stored = D.read_decisions(spark, table)
     keys = stored.groupBy("cluster_id").agg(F.min("decision_ts").alias("decision_ts"))
     return D.lookup_decisions(stored, keys)
@@ -125,10 +125,32 @@ def upsert_decisions(spark, sf_dir):
     """A second write overwrites the keys it shares with the first, and a retry changes nothing."""
     table = scratch_path(spark, "decisions")
     made = _decisions(spark, sf_dir)
-    D.put_decisions(made.withColumn("rule_name", F.lit("stale")), table, 0)
+    D.put_decisions(made.withColumn("rule_name", F.lit("stale")), table, 0, "run")
     renewed = made.filter(F.col("to_workers") > F.col("from_workers"))
-    D.put_decisions(renewed, table, 1)
-    D.put_decisions(renewed, table, 1)
+    D.put_decisions(renewed, table, 1, "run")
+    D.put_decisions(renewed, table, 1, "run")
+    return D.read_decisions(spark, table)
+
+
+@query
+def upsert_two_runs(spark, sf_dir):
+    """Two runs with default arguments: shared keys are the second's, all others stay."""
+    table = scratch_path(spark, "decisions")
+    made = materialize(_decisions(spark, sf_dir), "made")
+    D.put_decisions(made.filter(F.col("to_workers") != 2).withColumn("rule_name", F.lit("first")), table)
+    D.put_decisions(made.filter(F.col("to_workers") != 16), table)
+    return D.read_decisions(spark, table)
+
+
+@query
+def compacted_decisions(spark, sf_dir):
+    """Two runs made one write, and a third over it."""
+    table = scratch_path(spark, "decisions")
+    made = materialize(_decisions(spark, sf_dir), "made")
+    D.put_decisions(made.withColumn("rule_name", F.lit("first")), table)
+    D.put_decisions(made.filter(F.col("to_workers") != 16), table)
+    D.compact_decisions(spark, table)
+    D.put_decisions(made.filter(F.col("to_workers") == 2).withColumn("rule_name", F.lit("third")), table)
     return D.read_decisions(spark, table)
 
 
@@ -515,7 +537,7 @@ def _arrivals(spark, sf_dir) -> DataFrame:
 def _incremental(spark, sf_dir) -> IncrementalWalk:
     base = scratch_path(spark, "stream")
     manifest = X.manifest(spark, sf_dir).select("cluster_id", "initial_workers")
-    walk = IncrementalWalk(X.RULES, manifest, f"{base}/state", f"{base}/table")
+    walk = IncrementalWalk(X.RULES, manifest, f"{base}/state", f"{base}/table", keep=CHUNKS + 1)  # queries look at all states
     arrivals = _arrivals(spark, sf_dir)
     for chunk in range(CHUNKS):
         arrivals.filter(F.col("chunk") == chunk).drop("chunk").write.mode("append").parquet(f"{base}/input")

@@ -69,13 +69,14 @@ def decide_from_logs(
     manifest_path: str,
     rules_path: str,
     table: str | None = None,
-    write_seq: int = 0,
+    run: str | None = None,
     as_lines: bool = False,
 ) -> DataFrame:
     """The whole run: log folder, manifest and rules in, decisions out (and stored).
 
     ``as_lines`` reads splittable text line by line, for plain files of any size; otherwise
-    each file is decoded from its bytes, gzip or not.
+    each file is decoded from its bytes, gzip or not. A run repeated under the same ``run``
+    replaces its own rows.
     """
     rules = read_rules(spark, rules_path)
     manifest = read_manifest(spark, manifest_path)
@@ -100,5 +101,5 @@ def decide_from_logs(
     made = decide(records.join(order, ["cluster_id", "path"]).drop("path"), initial, rules)
     if table is None:
         return made
-    put_decisions(made, table, write_seq)
+    put_decisions(made, table, run=run)
     return read_decisions(spark, table)

@@ -45,3 +45,27 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any store Spark reaches; none if it isn't there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(status.getPath().getName() for status in store.listStatus(folder)) if store.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, with all that is in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def run_id(spark: SparkSession, state_dir: str) -> str:
+    """The id of the run whose state a folder holds, drawn when the folder is new."""
+    names = [n for n in children(spark, f"{state_dir}/run") if n.startswith("id=")]
+    if names:
+        return names[0].removeprefix("id=")
+    fresh = uuid.uuid4().hex
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{state_dir}/run/id={fresh}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    return fresh

@@ -1,23 +1,31 @@
 """The keyed decision table ``(cluster_id, decision_ts) -> rule_name, from_workers, to_workers``.
 
-Writes append under ``write_seq=<n>`` and replace what an earlier try with the same number
-left there, so a retry changes nothing. Reads keep the newest write of every key. Nothing is
-read back to be rewritten: a write costs its own rows only, however large the table is.
+A write belongs to a run and has a number in it. It goes to a folder of its own, where it
+replaces what an earlier try of the same write left, so a retry changes nothing and no write
+touches another run's rows. Runs are numbered in the order of their first write; reads keep the
+newest write of every key. A write costs its own rows only, however large the table is. Rows
+lie in buckets by cluster, sorted by key, so a lookup opens one bucket per write and its key
+filter skips row groups; compaction leaves one write.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driverlens.operators.recordset import ranked
+from driverlens.session import children, remove
 
 DECISION_KEY = ["cluster_id", "decision_ts"]
 DECISION_COLUMNS = [*DECISION_KEY, "rule_name", "from_workers", "to_workers"]
 TABLE_SCHEMA = (
     "cluster_id STRING, decision_ts STRING, rule_name STRING, from_workers BIGINT, to_workers BIGINT, "
-    "walk_ts_us BIGINT, write_seq BIGINT"
+    "walk_ts_us BIGINT, run_no BIGINT, run STRING, write_seq BIGINT, bucket INT"
 )
+BUCKETS = 16
+WRITE = ("run_no", "run", "write_seq")
 
 
 def dedupe_decisions_last(decisions: DataFrame) -> DataFrame:
@@ -30,28 +38,74 @@ def dedupe_decisions_last(decisions: DataFrame) -> DataFrame:
     )
 
 
-def put_decisions(decisions: DataFrame, table: str, write_seq: int) -> None:
-    """``decisions`` as ``operators.gates.decisions`` gives them."""
+def bucket_of(cluster_id: Column) -> Column:
+    return F.pmod(F.xxhash64(cluster_id), F.lit(BUCKETS)).cast("int")
+
+
+def _runs(spark: SparkSession, table: str) -> dict[str, int]:
+    """Number of each run in the table, from its folders' names."""
+    found = {}
+    for folder in children(spark, table):
+        if folder.startswith("run_no="):
+            for run in children(spark, f"{table}/{folder}"):
+                if run.startswith("run="):
+                    found[run.removeprefix("run=")] = int(folder.removeprefix("run_no="))
+    return found
+
+
+def _write(rows: DataFrame, table: str, run: str, write_seq: int) -> int:
+    runs = _runs(rows.sparkSession, table)
+    number = runs.get(run, max(runs.values(), default=-1) + 1)
+    path = f"{table}/run_no={number}/run={run}/write_seq={write_seq}"
+    placed = rows.withColumn("bucket", bucket_of(F.col("cluster_id"))).repartition("bucket")
+    placed.sortWithinPartitions("bucket", *DECISION_KEY).write.mode("overwrite").partitionBy("bucket").parquet(path)
+    return rows.sparkSession.read.schema("cluster_id STRING").parquet(path).count()  # from the files' footers
+
+
+def put_decisions(decisions: DataFrame, table: str, write_seq: int = 0, run: str | None = None) -> int:
+    """Store ``decisions`` as ``operators.gates.decisions`` gives them; returns the number of keys.
+
+    Without ``run`` every call is a run of its own. A stream names its run, so that a repeated
+    micro-batch replaces its own rows.
+    """
     rows = dedupe_decisions_last(assert_valid_decisions(decisions)).withColumnRenamed("ts_us", "walk_ts_us")
-    rows.sortWithinPartitions("cluster_id").write.mode("overwrite").parquet(f"{table}/write_seq={write_seq}")
+    return _write(rows, table, run or uuid.uuid4().hex, write_seq)
 
 
-def read_decisions(spark: SparkSession, table: str) -> DataFrame:
-    rows = spark.read.schema(TABLE_SCHEMA).parquet(table)
-    value = F.struct("rule_name", "from_workers", "to_workers")
-    newest = rows.groupBy(*DECISION_KEY).agg(F.max_by(value, "write_seq").alias("d"))
+def _rows(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMA).parquet(table)
+
+
+def _newest(rows: DataFrame, *value: str) -> DataFrame:
+    newest = rows.groupBy("bucket", *DECISION_KEY).agg(F.max_by(F.struct(*value), F.struct(*WRITE)).alias("d"))
     return newest.select(*DECISION_KEY, "d.*")
 
 
-def compact_decisions(spark: SparkSession, table: str, target: str) -> None:
-    """The table's present content as one write of a new table."""
-    rows = read_decisions(spark, table).withColumn("walk_ts_us", F.lit(None).cast("bigint"))
-    rows.write.mode("overwrite").parquet(f"{target}/write_seq=0")
+def read_decisions(spark: SparkSession, table: str) -> DataFrame:
+    return _newest(_rows(spark, table), "rule_name", "from_workers", "to_workers")
+
+
+def read_write(spark: SparkSession, table: str, run: str, write_seq: int) -> DataFrame:
+    """What one write of a run stored, with ``walk_ts_us``."""
+    return _rows(spark, table).filter((F.col("run") == run) & (F.col("write_seq") == write_seq))
+
+
+def compact_decisions(spark: SparkSession, table: str) -> int:
+    """Make the present content one write of a new run, then remove the runs before it."""
+    before = children(spark, table)
+    rows = _newest(_rows(spark, table), "rule_name", "from_workers", "to_workers", "walk_ts_us")
+    count = _write(rows, table, f"compacted-{uuid.uuid4().hex}", 0)
+    for folder in before:
+        if folder.startswith("run_no="):
+            remove(spark, f"{table}/{folder}")
+    return count
 
 
-def get_decision(decisions: DataFrame, cluster_id: str, decision_ts: str) -> DataFrame:
-    """Point lookup; the key filter reaches the parquet scan."""
-    return decisions.filter((F.col("cluster_id") == cluster_id) & (F.col("decision_ts") == decision_ts))
+def get_decision(spark: SparkSession, table: str, cluster_id: str, decision_ts: str) -> DataFrame:
+    """Point lookup: one bucket is opened, and the key filter reaches the parquet scan."""
+    key = (F.col("cluster_id") == cluster_id) & (F.col("decision_ts") == decision_ts)
+    rows = _rows(spark, table).filter((F.col("bucket") == bucket_of(F.lit(cluster_id))) & key)
+    return _newest(rows, "rule_name", "from_workers", "to_workers")
 
 
 def lookup_decisions(decisions: DataFrame, keys: DataFrame) -> DataFrame:

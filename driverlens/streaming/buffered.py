@@ -1,8 +1,9 @@
 """Files in any order: nothing is evaluated before a cluster's set is complete.
 
-Micro-batches append records and the file names they came from to two tables. A cluster is
-walked once, by the batch plan over its stored records, in the micro-batch that completes it;
-files that arrive after that are ignored.
+Micro-batches append records to a table; the files known so far of open clusters, and the
+clusters that are done, are carried on from micro-batch to micro-batch, and older states of
+these two are removed. A cluster is walked once, by the batch plan over its stored records, in
+the micro-batch that completes it; files that arrive after that are ignored.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from driverlens.operators.filesets import complete_clusters
 from driverlens.operators.rules import Rule
 from driverlens.plans.decide import decide
+from driverlens.session import children, remove, run_id
 from driverlens.sources.decision_table import put_decisions
 from driverlens.streaming.incremental import RECORD_SCHEMA
 
@@ -41,38 +43,49 @@ class CompleteThenWalk:
             .start()
         )
 
-    def _table(self, spark: SparkSession, name: str, schema: str, epochs: int) -> DataFrame:
-        """What the first ``epochs`` micro-batches wrote; the number prunes the folders read."""
-        if epochs == 0:
+    def _state(self, spark: SparkSession, name: str, schema: str, epoch: int) -> DataFrame:
+        """A carried table as micro-batch ``epoch`` left it; empty before the first."""
+        if epoch < 0:
             return spark.createDataFrame([], schema)
-        rows = spark.read.schema(schema + ", epoch INT").parquet(f"{self.state_dir}/{name}")
-        return rows.filter(F.col("epoch") < epochs).drop("epoch")
+        return spark.read.schema(schema).parquet(f"{self.state_dir}/{name}/epoch={epoch}")
+
+    def _forget(self, spark: SparkSession, epoch: int) -> None:
+        for name in ("files", "done"):
+            for folder in children(spark, f"{self.state_dir}/{name}"):
+                if folder.startswith("epoch=") and int(folder.removeprefix("epoch=")) < epoch - 1:
+                    remove(spark, f"{self.state_dir}/{name}/{folder}")
+
+    def _arrivals(self, spark: SparkSession, epochs: int, buckets: list[int]) -> DataFrame:
+        """Records of the first ``epochs`` micro-batches; number and bucket prune the folders read."""
+        rows = spark.read.schema(ARRIVAL_SCHEMA + ", epoch INT, bucket INT").parquet(f"{self.state_dir}/arrivals")
+        mine = rows.filter((F.col("epoch") < epochs) & F.col("bucket").isin(buckets) & F.col("id").isNotNull())
+        return mine.drop("epoch", "key", "bucket")
 
     def _store(self, df: DataFrame, name: str, epoch: int, *partitions: str) -> None:
         df.write.mode("overwrite").partitionBy(*partitions).parquet(f"{self.state_dir}/{name}/epoch={epoch}")
 
     def process(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        done = self._table(spark, "done", DONE_SCHEMA, epoch)
+        self._forget(spark, epoch)
+        done = self._state(spark, "done", DONE_SCHEMA, epoch - 1)
         known = batch.join(self.manifest.select("cluster_id"), "cluster_id", "left_semi")
         # Bucketed by cluster, so that a walk reads the buckets of its clusters only.
         bucket = F.pmod(F.xxhash64("cluster_id"), F.lit(BUCKETS)).cast("int").alias("bucket")
         open_rows = known.join(done, "cluster_id", "left_anti").select("*", bucket)
         self._store(open_rows, "arrivals", epoch, "bucket")
 
-        here = spark.read.schema(FILE_SCHEMA).parquet(f"{self.state_dir}/arrivals/epoch={epoch}")
-        self._store(here.distinct(), "files", epoch)
-        complete = complete_clusters(self._table(spark, "files", FILE_SCHEMA, epoch + 1), self.manifest)
-        self._store(complete.select("cluster_id").join(done, "cluster_id", "left_anti"), "done", epoch)
-        ready = spark.read.schema(DONE_SCHEMA).parquet(f"{self.state_dir}/done/epoch={epoch}")
+        here = spark.read.schema(FILE_SCHEMA).parquet(f"{self.state_dir}/arrivals/epoch={epoch}").select("cluster_id", "key")
+        waiting = self._state(spark, "files", FILE_SCHEMA, epoch - 1).join(done, "cluster_id", "left_anti")
+        self._store(waiting.unionByName(here).distinct(), "files", epoch)
+        complete = complete_clusters(self._state(spark, "files", FILE_SCHEMA, epoch), self.manifest).select("cluster_id")
+        self._store(done.unionByName(complete).distinct(), "done", epoch)
+        ready = self._state(spark, "done", DONE_SCHEMA, epoch).join(done, "cluster_id", "left_anti")
 
         buckets = [r.bucket for r in ready.select(bucket).distinct().collect()]  # at most BUCKETS
         if not buckets:
             return
-        arrivals = self._table(spark, "arrivals", ARRIVAL_SCHEMA + ", bucket INT", epoch + 1)
-        mine = arrivals.filter(F.col("bucket").isin(buckets) & F.col("id").isNotNull()).drop("key", "bucket")
-        records = mine.join(ready, "cluster_id", "left_semi")
+        records = self._arrivals(spark, epoch + 1, buckets).join(ready, "cluster_id", "left_semi")
         initial = self.manifest.join(ready, "cluster_id", "left_semi").select(
             "cluster_id", F.col("initial_workers").alias("workers"), F.lit(None).cast("bigint").alias("last_us")
         )
-        put_decisions(decide(records, initial, self.rules), self.table, epoch)
+        put_decisions(decide(records, initial, self.rules), self.table, epoch, run_id(spark, self.state_dir))

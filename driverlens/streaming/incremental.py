@@ -11,7 +11,9 @@ Each micro-batch runs the same operators as the batch plan on what can be decide
 State is a few tables per micro-batch in ``state_dir``, spread by Spark's own hash
 partitioning: no task ever holds a whole cluster. Every write goes to a folder named
 by the micro-batch number and replaces what a failed try left there; the stream's checkpoint
-repeats a micro-batch until it succeeds, so the outcome is the same after any loss.
+repeats a micro-batch until it succeeds, so the outcome is the same after any loss. A
+micro-batch reads the state of the one before it only, so older folders are removed when it
+begins: state does not grow with the length of the stream.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from driverlens.functions.timegrid import MINUTE_US
 from driverlens.operators.recordset import RECORD_KEY
 from driverlens.operators.rules import Rule
 from driverlens.plans.decide import walk_records
-from driverlens.sources.decision_table import TABLE_SCHEMA, put_decisions
+from driverlens.session import children, remove, run_id
+from driverlens.sources.decision_table import put_decisions, read_write
 
 DEDUP_MARGIN_US = 120 * MINUTE_US  # fixed value: two hours beyond the look-back
 
@@ -41,6 +44,7 @@ STATE_SCHEMAS = {
     "lookback": RECORD_SCHEMA,
     "seen": "cluster_id STRING, id STRING, batch_id BIGINT, ts_us BIGINT",
     "clusters": "cluster_id STRING, workers BIGINT, last_us BIGINT, walked_us BIGINT",
+    "stats": "cluster_id STRING, records_seen BIGINT, unique_records BIGINT, late_records BIGINT, evaluation_points BIGINT, peak_held_records BIGINT",
 }
 
 
@@ -52,6 +56,15 @@ class IncrementalWalk:
     manifest: DataFrame  # cluster_id, initial_workers
     state_dir: str
     table: str
+    keep: int = 2  # micro-batches whose state stays: the present one and the one before
+
+    def _run(self, spark: SparkSession) -> str:
+        return run_id(spark, self.state_dir)
+
+    def _forget(self, spark: SparkSession, epoch: int) -> None:
+        for name in children(spark, self.state_dir):
+            if name.startswith("epoch=") and int(name.removeprefix("epoch=")) <= epoch - max(2, self.keep):
+                remove(spark, f"{self.state_dir}/{name}")
 
     def start(self, records: DataFrame, checkpoint: str):
         """Process what has arrived as one streaming query; ``records`` is a stream."""
@@ -71,6 +84,7 @@ class IncrementalWalk:
     def process(self, batch: DataFrame, epoch: int) -> None:
         """One micro-batch. Records of clusters the manifest does not list are dropped."""
         spark = batch.sparkSession
+        self._forget(spark, epoch)
         known = batch.join(self.manifest.select("cluster_id"), "cluster_id", "left_semi")
         copies = known.groupBy(*RECORD_KEY).agg(
             F.count("*").alias("copies"), F.min_by(F.struct(*PAYLOAD), F.struct("file_ord", "entry_no")).alias("r")
@@ -89,20 +103,27 @@ class IncrementalWalk:
         frontier = new.groupBy("cluster_id").agg(F.min("ts_us").alias("frontier_us"))
         pool = self.pending(spark, epoch - 1).unionByName(new).join(frontier, "cluster_id", "left")
         is_ready = F.coalesce(F.col("ts_us") < F.col("frontier_us"), F.lit(False))
-        self._advance(spark, epoch, pool.withColumn("is_ready", is_ready), new)
+        arrived = self.state(spark, "arrived", epoch).groupBy("cluster_id").agg(
+            F.sum("copies").alias("records_seen"),
+            F.count_if("is_new").alias("unique_records"),
+            F.count_if("is_late").alias("late_records"),
+        )
+        self._advance(spark, epoch, pool.withColumn("is_ready", is_ready), new, arrived)
 
     def finish(self, spark: SparkSession, epoch: int) -> None:
         """End of input: everything that still waits is final."""
         pool = self.pending(spark, epoch - 1)
         no_frontier = F.lit(None).cast("bigint")
         none_new = spark.createDataFrame([], RECORD_SCHEMA)
-        self._advance(spark, epoch, pool.withColumns({"frontier_us": no_frontier, "is_ready": F.lit(True)}), none_new)
+        none = spark.createDataFrame([], "cluster_id STRING, records_seen BIGINT, unique_records BIGINT, late_records BIGINT")
+        self._forget(spark, epoch)
+        self._advance(spark, epoch, pool.withColumns({"frontier_us": no_frontier, "is_ready": F.lit(True)}), none_new, none)
 
     def pending(self, spark: SparkSession, epoch: int) -> DataFrame:
         """Records that wait for a later micro-batch to confirm them."""
         return self.state(spark, "pool", epoch).filter(~F.col("is_ready")).select(*RECORD_COLUMNS)
 
-    def _advance(self, spark: SparkSession, epoch: int, pool: DataFrame, new: DataFrame) -> None:
+    def _advance(self, spark: SparkSession, epoch: int, pool: DataFrame, new: DataFrame, arrived: DataFrame) -> None:
         self._store(pool, "pool", epoch)
         pool = self.state(spark, "pool", epoch)
         lookback, clusters = self.state(spark, "lookback", epoch - 1), self.state(spark, "clusters", epoch - 1)
@@ -115,10 +136,10 @@ class IncrementalWalk:
         workers = F.coalesce("workers", F.col("initial_workers").cast("bigint")).alias("workers")
         entered = self.manifest.join(clusters, "cluster_id", "left").select("cluster_id", workers, "last_us", "walked_us")
         run = walk_records(points, entered, self.rules)
-        put_decisions(run.decisions, self.table, epoch)
+        put_decisions(run.decisions, self.table, epoch, self._run(spark))
 
         # The next state. Only clusters that were walked are pruned.
-        made = spark.read.schema(TABLE_SCHEMA).parquet(f"{self.table}/write_seq={epoch}")
+        made = read_write(spark, self.table, self._run(spark), epoch)
         latest = made.groupBy("cluster_id").agg(F.max_by(F.struct("to_workers", "walk_ts_us"), "walk_ts_us").alias("d"))
         self._store(
             entered.join(latest, "cluster_id", "left").join(flushed, "cluster_id", "left").select(
@@ -133,34 +154,25 @@ class IncrementalWalk:
         keys = self.state(spark, "seen", epoch - 1).unionByName(new.select(*RECORD_KEY, "ts_us"))
         self._store(_younger(lookback.unionByName(ready), flushed, window_us), "lookback", epoch)
         self._store(_younger(keys, flushed, window_us + DEDUP_MARGIN_US), "seen", epoch)
+        self._count(spark, epoch, arrived, pool, lookback)
 
     def _store(self, df: DataFrame, name: str, epoch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.state_dir}/epoch={epoch}/{name}")
 
+    def _count(self, spark: SparkSession, epoch: int, arrived: DataFrame, pool: DataFrame, lookback: DataFrame) -> None:
+        """Totals so far: those of the micro-batch before, and what this one adds."""
+        # What a micro-batch holds: its pool, and the look-back the one before left.
+        both = pool.select("cluster_id", "is_ready").unionByName(lookback.select("cluster_id", F.lit(False).alias("is_ready")))
+        held = both.groupBy("cluster_id").agg(F.count_if("is_ready").alias("evaluation_points"), F.count("*").alias("peak_held_records"))
+        rows = self.state(spark, "stats", epoch - 1).unionByName(arrived, True).unionByName(held, True)
+        sums = ("records_seen", "unique_records", "late_records", "evaluation_points")
+        totals = [F.coalesce(F.sum(n), F.lit(0).cast("bigint")).alias(n) for n in sums]
+        self._store(rows.groupBy("cluster_id").agg(*totals, F.max("peak_held_records").alias("peak_held_records")), "stats", epoch)
+
     def stats(self, spark: SparkSession, epochs: int) -> DataFrame:
         """Per cluster, after ``epochs`` micro-batches and the finish: records seen, unique,
         evaluated and late, and the most held at once."""
-
-        def all_of(name: str, count: int) -> DataFrame:
-            paths = [f"{self.state_dir}/epoch={e}/{name}" for e in range(count)]
-            rows = spark.read.schema(STATE_SCHEMAS[name]).option("basePath", self.state_dir).parquet(*paths)
-            return rows.withColumn("epoch", F.regexp_extract("_metadata.file_path", r"epoch=(\d+)", 1).cast("int"))
-
-        arrived = all_of("arrived", epochs).groupBy("cluster_id").agg(
-            F.sum("copies").alias("records_seen"),
-            F.count_if("is_new").alias("unique_records"),
-            F.count_if("is_late").alias("late_records"),
-        )
-        pools = all_of("pool", epochs + 1).select("cluster_id", "epoch", "is_ready")
-        # What a micro-batch holds: its pool, and the look-back the one before left.
-        kept = all_of("lookback", epochs).select("cluster_id", (F.col("epoch") + 1).alias("epoch"), F.lit(False).alias("is_ready"))
-        held = pools.unionByName(kept).groupBy("cluster_id", "epoch").agg(
-            F.count("*").alias("held"), F.count_if("is_ready").alias("points")
-        )
-        walked = held.groupBy("cluster_id").agg(
-            F.sum("points").alias("evaluation_points"), F.max("held").alias("peak_held_records")
-        )
-        return arrived.join(walked, "cluster_id")
+        return self.state(spark, "stats", epochs)
 
 
 def _younger(rows: DataFrame, flushed: DataFrame, keep_us: int) -> DataFrame:

@@ -22,23 +22,33 @@ def content(spark, table):
 
 def test_writes_overwrite_by_key_and_retries_change_nothing(spark, tmp_path):
     table = str(tmp_path / "t")
-    D.put_decisions(made(spark, ("a", "1", "r", 4, 8), ("a", "2", "r", 8, 2)), table, 0)
+    D.put_decisions(made(spark, ("a", "1", "r", 4, 8), ("a", "2", "r", 8, 2)), table, 0, "one")
     for _ in range(2):
-        D.put_decisions(made(spark, ("a", "2", "s", 8, 16), ("b", "1", "r", 4, 8)), table, 1)
+        D.put_decisions(made(spark, ("a", "2", "s", 8, 16), ("b", "1", "r", 4, 8)), table, 1, "one")
     want = [("a", "1", "r", 4, 8), ("a", "2", "s", 8, 16), ("b", "1", "r", 4, 8)]
     assert content(spark, table) == want
-    assert [tuple(r) for r in D.get_decision(D.read_decisions(spark, table), "a", "2").collect()] == [want[1]]
-    assert D.get_decision(D.read_decisions(spark, table), "a", "9").count() == 0
+    assert [tuple(r) for r in D.get_decision(spark, table, "a", "2").collect()] == [want[1]]
+    assert D.get_decision(spark, table, "a", "9").count() == 0
     assert [r.decision_ts for r in D.cluster_decisions(D.read_decisions(spark, table), "a").collect()] == ["1", "2"]
-    D.compact_decisions(spark, table, str(tmp_path / "c"))
-    assert content(spark, str(tmp_path / "c")) == want
+    assert D.compact_decisions(spark, table) == 3
+    assert content(spark, table) == want and len(list((tmp_path / "t").glob("run_no=*"))) == 1
+
+
+def test_runs_keep_each_others_rows(spark, tmp_path):
+    table = str(tmp_path / "t")
+    assert D.put_decisions(made(spark, ("a", "1", "r", 4, 8), ("a", "2", "r", 8, 2), ("a", "2", "s", 8, 2)), table) == 2
+    assert D.put_decisions(made(spark, ("a", "2", "t", 8, 16), ("b", "1", "r", 4, 8)), table) == 2
+    assert D.put_decisions(made(spark).limit(0), table) == 0
+    assert content(spark, table) == [("a", "1", "r", 4, 8), ("a", "2", "t", 8, 16), ("b", "1", "r", 4, 8)]
 
 
 def test_point_lookup_reaches_the_scan(spark, tmp_path):
     table = str(tmp_path / "t")
     D.put_decisions(made(spark, ("a", "1", "r", 4, 8)), table, 0)
-    plan = D.get_decision(D.read_decisions(spark, table), "a", "1")._jdf.queryExecution().executedPlan().toString()
+    plan = D.get_decision(spark, table, "a", "1")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(cluster_id,a)" in plan and "EqualTo(decision_ts,1)" in plan
+    bucket = spark.range(1).select(D.bucket_of(F.lit("a"))).first()[0]
+    assert f"= {bucket})" in plan.split("PartitionFilters: ")[1].split("]")[0]
 
 
 def test_duplicates_in_one_write_keep_the_last(spark):
@@ -52,7 +62,7 @@ def test_duplicates_in_one_write_keep_the_last(spark):
 def test_broken_rows_are_reported_and_never_written(spark, tmp_path, row):
     assert D.decision_violations(made(spark, row)).count() == 1
     with pytest.raises(Exception, match="invalid decision"):
-        D.put_decisions(made(spark, row), str(tmp_path / "t"), 0)
+        D.put_decisions(made(spark, row), str(tmp_path / "t"))
 
 
 def test_export_and_import(spark):

@@ -107,4 +107,15 @@ def test_complete_then_walk(spark, tmp_path, repeat):
     # A third file for a done cluster is ignored; an empty file completes the other one.
     arrive(2, ("f3", record(us(8), 0, cluster="a", batchDuration=500)), ("f2", ("b", None, None, None, None, None, 0, 0)))
     assert table(spark, tmp_path) == [("a", raw(us(9, 4)), 4, 8)]
-    assert sorted(r.cluster_id for r in walk._table(spark, "done", "cluster_id STRING", 3).collect()) == ["a", "b"]
+    assert sorted(r.cluster_id for r in walk._state(spark, "done", "cluster_id STRING", 2).collect()) == ["a", "b"]
+
+
+def test_state_does_not_grow_with_the_stream(spark, tmp_path):
+    walk = incremental(spark, tmp_path, [SLOW])
+    sizes = []
+    for epoch in range(8):
+        part = [record(us(8) + (epoch * 60 + m) * 60_000_000, epoch * 60 + m, batchDuration=1) for m in range(0, 60, 5)]
+        walk.process(frame(spark, part), epoch)
+        sizes.append(sum(f.stat().st_size for f in (tmp_path / "state").rglob("*.parquet")))
+    assert sorted(f.name for f in (tmp_path / "state").glob("epoch=*")) == ["epoch=6", "epoch=7"]
+    assert sizes[-1] < 1.3 * sizes[4]
