@@ -104,12 +104,12 @@ def beside_next(docs: DataFrame, id: str, order: list[str], carry: list[str]) ->
 def compare_edited(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each text, its edit with the next document's beginning, and how alike their fingerprints are."""
     whole = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    beside = beside_next(with_signatures(whole), "id", ["text"], ["text", "sigs"])
+    beside = beside_next(whole, "id", ["text"], ["text"])  # signatures compress badly: they are made after the move
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr(F.col("text"), F.lit(1), n - half), F.substr(F.col("next.text"), F.lit(1), half))
-    joined = beside.select("id", "sigs", F.col("next.sigs").alias("next_sigs"), n.cast("bigint").alias("n_chars"), edited.alias("edited"))
-    both = with_signatures(joined, "edited", "edited_sigs")
+    joined = beside.select("id", "text", F.col("next.text").alias("next"), n.cast("bigint").alias("n_chars"), edited.alias("edited"))
+    both = with_signatures(with_signatures(with_signatures(joined), "next", "next_sigs"), "edited", "edited_sigs")
     return both.select(
         F.col("id").alias(id),
         "n_chars",
