@@ -8,14 +8,14 @@ added as ``example`` or ``live``.
 
 Positions come from the pieces between the matches, as offsets in code points with exclusive
 ends. Null text counts as empty. A null owner counts as one owner, a null id as one repository.
-Rows are numbered in the written table of spans, so repeated rows stay apart; copies of a row
+Rows are numbered in the written table of matches, so repeated rows stay apart; copies of a row
 are no further repositories. Counting first reduces to distinct (hash, owner, repository), so a value
 that fills a third of the corpus is spread over tasks. Extra columns are left alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driverlens.session import materialize
@@ -31,80 +31,70 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 
 
-def _found(text: Column, pattern: str) -> Column:
-    """Structs (start, end, text) of all leftmost non-overlapping matches."""
+def _cut(text: Column, pattern: str) -> Column:
+    """Structs (gap, match): the characters before each leftmost match, since the one before, and its text."""
     matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern)
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,text:string>>")
-    zero = F.lit(0).cast("bigint")
-    placed = F.aggregate(
-        F.arrays_zip(matches.alias("m"), F.slice(gaps, F.lit(1), F.size(matches)).alias("g")),
-        F.struct(zero.alias("end"), empty.alias("found")),
-        lambda seen, at: F.struct(
-            (seen["end"] + F.length(at["g"]) + F.length(at["m"])).alias("end"),
-            F.concat(
-                seen["found"],
-                F.array(
-                    F.struct(
-                        (seen["end"] + F.length(at["g"])).alias("start"),
-                        (seen["end"] + F.length(at["g"]) + F.length(at["m"])).alias("end"),
-                        at["m"].alias("text"),
-                    )
-                ),
-            ),
-        ),
-        lambda seen: seen["found"],
-    )
-    return F.when(F.rlike(text, F.lit(pattern)), placed).otherwise(empty)
-
-
-def candidates(docs: DataFrame, id: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
-    """(id, owner, found): the base spans of each text, with the hash and place of each value.
-
-    ``found`` holds (start, rank, kind, end, value_start, value_end, hash) in order of start, then kind.
-    """
+    pairs = F.arrays_zip(matches.alias("match"), F.transform(F.slice(gaps, F.lit(1), F.size(matches)), F.length).alias("gap"))
+    empty = F.array().cast("array<struct<match:string,gap:int>>")
+    return F.when(F.rlike(text, F.lit(pattern)), pairs).otherwise(empty)
+
+
+def matches(docs: DataFrame, id: str = "doc_id", text: str = "text", owner: str = "source") -> DataFrame:
+    """(row, id, owner, assign, access, hex): each text read once, its matches by kind; ``row`` is to be written down."""
     whole = F.coalesce(F.col(text), F.lit("")).alias("text")
-    read = docs.select(F.col(id).alias("id"), F.col(owner).alias("owner"), whole)
-    raw = read.select("id", "owner", *(_found(F.col("text"), p).alias(k) for k, p in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX))))
+    read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id).alias("id"), F.col(owner).alias("owner"), whole)
+    return read.select("row", "id", "owner", *(_cut(F.col("text"), p).alias(k) for k, p in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX))))
 
-    def span(kind: str):
-        def build(s: Column) -> Column:
-            value = F.regexp_replace(s["text"], ASSIGN_PREFIX, "") if kind == "assign" else s["text"]
-            return F.struct(
-                s["start"].alias("start"),
-                F.lit(KINDS.index(kind)).alias("rank"),
-                F.lit(kind).alias("kind"),
-                s["end"].alias("end"),
-                (s["end"] - F.length(value)).alias("value_start"),
-                s["end"].alias("value_end"),
-                F.sha2(value, 256).alias("hash"),
-            )
 
-        return build
+def candidates(read: DataFrame) -> DataFrame:
+    """One row per base span of ``matches``: row, id, owner, start, rank, kind, end, value_start, hash.
 
-    kept = F.filter(F.transform("assign", span("assign")), lambda s: s["value_end"] - s["value_start"] >= 8)
-    every = F.concat(kept, F.transform("access", span("access")), F.transform("hex", span("hex")))
-    return raw.select("id", "owner", F.sort_array(every).alias("found"))
+    Places are running sums over one text's matches of a kind.
+    """
+    line = Window.partitionBy("row").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    found = None
+    for rank, kind in enumerate(KINDS[:3]):
+        each = read.where(F.size(kind) > 0).select("row", "id", "owner", F.posexplode(kind).alias("place", "at")).select("row", "id", "owner", "place", "at.*")
+        ended = each.withColumn("end", F.sum(F.col("gap") + F.length("match")).over(line))
+        value = F.regexp_replace("match", ASSIGN_PREFIX, "") if kind == "assign" else F.col("match")
+        spans = ended.withColumn("value", value).where(F.length("value") >= 8).select(
+            "row",
+            "id",
+            "owner",
+            (F.col("end") - F.length("match")).alias("start"),
+            F.lit(rank).alias("rank"),
+            F.lit(kind).alias("kind"),
+            "end",
+            (F.col("end") - F.length("value")).alias("value_start"),
+            F.sha2("value", 256).alias("hash"),
+        )
+        found = spans if found is None else found.unionByName(spans)
+    return found
 
 
 def ownership(found: DataFrame) -> DataFrame:
     """(hash, owners, repositories) of all candidate values of the corpus."""
-    each = found.select("owner", "id", F.explode("found.hash").alias("hash")).distinct()
+    each = found.select("owner", "id", "hash").distinct()
     by_owner = each.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
     return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
 
 def report(docs: DataFrame, id: str = "doc_id", text: str = "text", owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """One row per document: id, ``base`` and ``added`` spans, arrays of (start, rank, kind, end)."""
-    found = materialize(candidates(docs, id, text, owner).withColumn("row", F.monotonically_increasing_id()), "candidates")
-    kind = F.when(F.col("owners") >= example_owners, "example").otherwise("live")
-    judged = ownership(found).select("hash", kind.alias("kind"))
-    each = found.where(F.size("found") > 0).select("row", F.explode("found").alias("s"))
-    rank = F.when(F.col("kind") == "example", KINDS.index("example")).otherwise(KINDS.index("live"))
-    values = each.select("row", "s.value_start", "s.value_end", "s.hash").join(judged, "hash")
-    added = values.groupBy("row").agg(F.sort_array(F.collect_set(F.struct(F.col("value_start").alias("start"), rank.alias("rank"), "kind", F.col("value_end").alias("end")))).alias("added"))
-    base = F.transform("found", lambda s: F.struct(s["start"], s["rank"], s["kind"], s["end"]))
+    read = materialize(matches(docs, id, text, owner), "matches")
+    found = materialize(candidates(read), "candidates")
+    judged = ownership(found).select("hash", F.when(F.col("owners") >= example_owners, "example").otherwise("live").alias("judged"))
+    rank = F.when(F.col("judged") == "example", KINDS.index("example")).otherwise(KINDS.index("live"))
+    values = found.select("row", "value_start", "end", "hash").join(judged, "hash")
+    added = _gathered(values.select("row", F.col("value_start").alias("start"), rank.alias("rank"), F.col("judged").alias("kind"), "end").distinct(), "added")
+    spans = read.select("row", "id").join(_gathered(found, "base"), "row", "left").join(added, "row", "left")
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
-    return found.join(added, "row", "left").select(F.col("id").alias(id), base.alias("base"), F.coalesce("added", none).alias("added"))
+    return spans.select(F.col("id").alias(id), *(F.coalesce(n, none).alias(n) for n in ("base", "added")))
+
+
+def _gathered(spans: DataFrame, name: str) -> DataFrame:
+    """The spans of each row, in order."""
+    return spans.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias(name))
 
 
 def listed(spans: Column) -> Column:
