@@ -72,25 +72,28 @@ def test_status(spark, text, status):
 
 
 def test_batch_ids(spark):
-    values = [5, 5.0, "5", "-7", 5.5, True, "five", "5.0", None, 10**30, "--5", [1]]
-    rows = judged(spark, *[document(batchId=v) for v in values], metrics=[])
-    assert [r.batch_id for r in rows] == [5, 5, 5, -7] + [None] * 8
+    whole = {41: 41, 1e3: 1000, "0041": 41, "-6": -6, " 8\n": 8, 2**62: 2**62}
+    not_whole = ["--6", "4 1", "1e3", "41.0", "", 0.25, False, None, {"n": 41}, [41], 2**70]
+    rows = judged(spark, *[document(batchId=v) for v in [*whole, *not_whole]], metrics=[])
+    assert [r.batch_id for r in rows] == [*whole.values()] + [None] * len(not_whole)
 
 
 def test_timestamps_become_utc_and_stay_verbatim(spark):
     base = 1762161240000000
-    values = ["2025-11-03T09:14:00.000Z", "2025-11-03T11:14:00+02:00", "2025-11-03T09:14:00", "2025-11-03 09:14", " 2025-11-03T09:14:00z "]
+    # One instant: zones east and west, none, short forms, blanks and lower case around it.
+    values = ["2025-11-03T03:44:00-05:30", "2025-11-03 18:14:00.0+09:00", "2025-11-03T09:14", "\t2025-11-03t09:14:00.000000z", "2025-11-03T09:14:00+00:00"]
     rows = judged(spark, *[document(timestamp=v) for v in values], metrics=[])
     assert [r.ts_us for r in rows] == [base] * 5
     assert [r.ts_raw for r in rows] == values
-    for bad in ["", "  ", None, 12345, "not-a-date", "2025-11-03T25:00:00Z", "2025", "T09:14"]:
-        assert judged(spark, document(timestamp=bad), metrics=[])[0].status == "missing_required"
+    bad = ["2025-02-30T00:00:00Z", "2025-11-03T09:61:00Z", "03.11.2025", "09:14", "2025-11", "\t", "", 1762161240, 2.5, None, True, ["2025-11-03"]]
+    assert {r.status for r in judged(spark, *[document(timestamp=v) for v in bad], metrics=[])} == {"missing_required"}
 
 
 def test_metric_values(spark):
-    values = {"a": "12.5", "b": " 7 ", "c": True, "d": None, "e": "x", "f": {"g": 1}, "h": "NaN", "i": "1e999", "j": "0x1p3", "k": 1e3, "l": "1_0"}
-    (row,) = judged(spark, MARK + json.dumps({"id": "q", "batchId": 1, "timestamp": "2025-11-03T09:14:00Z", **values}))
-    assert row.metrics == {"a": 12.5, "b": 7.0, "k": 1000.0}
+    numbers = {"whole": 70, "text": "-3.5", "blanks": "\t.5 ", "power": "2E2", "plus": "+9"}
+    others = {"flag": False, "none": None, "word": "many", "list": [1], "object": {"n": 1}, "nan": "nan", "inf": "-Infinity", "huge": "9e400", "hex": "0x10", "grouped": "1_000", "suffix": "4d", "comma": "1,5"}
+    (row,) = judged(spark, MARK + json.dumps({"id": "q", "batchId": 1, "timestamp": "2025-11-03T09:14:00Z", **others, **numbers}))
+    assert row.metrics == {"whole": 70.0, "text": -3.5, "blanks": 0.5, "power": 200.0, "plus": 9.0}
 
 
 def test_repeated_keys_keep_the_last_and_never_fail(spark):
@@ -99,12 +102,19 @@ def test_repeated_keys_keep_the_last_and_never_fail(spark):
     assert (row.id, row.batch_id, row.metrics) == ("q", 2, {"m": 2.0, "source.k": 4.0})
 
 
-@pytest.mark.parametrize("sources", [[], {}, "x", [5], [{}], [{"metrics": 5}], [{"metrics": None}]])
+@pytest.mark.parametrize(
+    "sources",
+    [[], {}, "x", [5], [{}], [{"metrics": 5}], [{"metrics": None}], '[{"metrics":{"k":"5"}}]', [{"metrics": '{"k":"5"}'}], ['{"metrics":{"k":"5"}}'], [3, {"metrics": {"k": 5}}]],
+)
 def test_odd_sources_give_no_source_metrics(spark, sources):
     assert judged(spark, document(sources=sources))[0].metrics["batchDuration"] == 78450.0
     assert not any(k.startswith("source.") for k in judged(spark, document(sources=sources))[0].metrics)
 
 
+def test_later_elements_of_any_shape_do_not_matter(spark):
+    assert judged(spark, document(sources=[{"metrics": {"k": 5}}, 7, "x", [None]]))[0].metrics["source.k"] == 5.0
+
+
 def test_stats_and_samples(spark):
     texts = [HEAD + "noise", document(), MARK + "{", document(id="drop"), document(timestamp="x")]
     frame = spark.createDataFrame([("f", i, t) for i, t in enumerate(texts)], "path STRING, entry_no BIGINT, text STRING")
