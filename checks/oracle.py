@@ -237,7 +237,19 @@ rules(rule_ord, rule_name, target, cooldown_minutes) AS (VALUES (1, 'steady', 16
 windows AS (SELECT *, count(dur) OVER w3 AS c2, max(dur) OVER w3 AS agg FROM rec WINDOW w3 AS {frame(4320)}),
 matched AS (SELECT cluster_id, id, batch_id, ts_us, ts_raw, 1 AS rule_ord, 'steady' AS rule_name, agg FROM windows WHERE c2 >= 1 AND agg > -1)"""
 
+FROM_FILES = sql(
+    EV, LOGS,
+    """rec AS (
+  SELECT cluster_id, 'q-' || user_id AS id, event_id AS batch_id, ts_us - ts_us % 1000 AS ts_us, iso AS ts_raw, day, user_id,
+         CASE WHEN event_type <> 'error' THEN CAST(cents AS DOUBLE) END AS dur, CAST(k AS DOUBLE) AS srck
+  FROM logs WHERE kind = 'good' AND user_id % 8 <> 5)""",
+    RULES, EVAL, WALK, select=f"SELECT {DECISION} FROM last_made",
+)
+
 ORACLE: dict[str, str] = {
+    "decisions_from_logs": FROM_FILES,
+    "decisions_from_lines": FROM_FILES,
+    "document_shapes": "SELECT CAST(event_id AS VARCHAR) AS doc_id FROM events WHERE event_id % 7 IN (0, 1, 2, 3, 4)",
     "decisions_steady": sql(
         EV, REC, STEADY, WALK, "made_at AS (SELECT cluster_id, ts_us, ts_raw FROM walked WHERE outcome = 'decision')",
         select="""SELECT w.cluster_id, w.batch_id, w.rule_ord, w.agg AS aggregate, CAST(w.cur AS BIGINT) AS current_workers, w.last_us AS last_decision_us,

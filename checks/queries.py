@@ -18,7 +18,7 @@ from driverlens.operators import recordset as RS
 from driverlens.operators import rules as RU
 from driverlens.operators import trace as T
 from driverlens.operators import windows as WI
-from driverlens.plans.decide import decide, decision_points, store_ticks
+from driverlens.plans.decide import decide, decide_from_logs, decision_points, store_ticks
 from driverlens.session import materialize, scratch_path
 from driverlens.sources import control as C
 from driverlens.sources import decision_table as D
@@ -479,6 +479,35 @@ def decisions_sliced(spark, sf_dir):
     return made.select(*DECISION)
 
 
+def _from_files(spark, sf_dir, plain: bool) -> DataFrame:
+    base = scratch_path(spark, "run")
+    logs, manifest, rules = X.write_run(spark, sf_dir, base, plain)
+    return decide_from_logs(spark, logs, manifest, rules, f"{base}/table", as_lines=plain).select(*DECISION)
+
+
+@query
+def decisions_from_logs(spark, sf_dir):
+    """From files to stored decisions: gzip and other files, manifest and rules documents."""
+    return _from_files(spark, sf_dir, plain=False)
+
+
+@query
+def decisions_from_lines(spark, sf_dir):
+    """The same from plain files, read line by line in splits."""
+    return _from_files(spark, sf_dir, plain=True)
+
+
+@query
+def document_shapes(spark, sf_dir):
+    """Which manifest documents have the right outer shape."""
+    shape = (
+        "case event_id % 7 when 0 then '[]' when 1 then '{}' when 2 then 'nonsense' when 3 then concat('{\"clusters\": ', event_id, '}') "
+        "when 4 then '{\"clusters\": {}}' when 5 then '{\"clusters\": []}' else concat('{\"clusters\": [', event_id, ']}') end"
+    )
+    documents = X.events(spark, sf_dir).select(F.col("event_id").cast("string").alias("doc_id"), F.expr(shape).alias("text"))
+    return C.misshapen_manifests(documents).select("doc_id")
+
+
 STEADY = [RU.Rule("steady", "batchDuration", "max", "gt", -1, 4320, 1, 16, 4320)]
 
 

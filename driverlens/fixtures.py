@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import fields
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -167,6 +169,46 @@ def log_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log_texts(spark, sf_dir).mapInArrow(encode, "path STRING, content BINARY")
 
 
+def write_run(spark: SparkSession, sf_dir: str, base: str, plain: bool = False) -> tuple[str, str, str]:
+    """A run's inputs as files: logs by cluster and day, the manifest and the rules; returns their paths.
+
+    Of the log files some are gzip, some plain text under a gzip name, some have broken UTF-8 in
+    front, and some break off inside a compressed block. ``plain`` writes them all as text.
+    """
+    root = f"{base}/logs"
+
+    def store(batches):
+        import os
+        import zlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            for path, text in zip(batch["path"].to_pylist(), batch["text"].to_pylist()):
+                target = f"{root.removeprefix('file:')}/{path.removeprefix('logs/')}"
+                if plain:
+                    target = target.removesuffix(".gz")
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                packer, raw = zlib.compressobj(wbits=31), text.encode()
+                head = packer.compress(raw) + packer.flush(zlib.Z_FULL_FLUSH)
+                tail = packer.compress(b"a line that never ends " * 500) + packer.flush()
+                kind = 1 if plain else sum(path.encode()) % 4
+                content = (zlib.compress(raw, wbits=31), raw, b"\xff\xfe\n" + raw, head + tail[: len(tail) // 2])[kind]
+                with open(target, "wb") as file:
+                    file.write(content)
+            yield pa.RecordBatch.from_arrays([batch["path"]], ["path"])
+
+    entry = F.struct("entry_no", "text")
+    texts = log_entries(spark, sf_dir).groupBy("path").agg(F.concat(F.array_join(F.sort_array(F.collect_list(entry))["text"], "\n"), F.lit("\n")).alias("text"))
+    texts.mapInArrow(store, "path STRING").count()
+    listed = F.to_json(F.struct("cluster_id", "initial_workers", "num_log_files"))
+    document = F.concat(F.lit('{"clusters": ['), F.array_join(F.collect_list(listed), ", "), F.lit("]}"))
+    manifest(spark, sf_dir).agg(document.alias("value")).coalesce(1).write.text(f"{base}/clusters")
+    lines = "".join("- {" + ", ".join(f"{f.name}: {getattr(rule, f.name)}" for f in fields(rule)) + "}\n" for rule in RULES)
+    spark.createDataFrame([("rules:\n" + lines,)], "value STRING").coalesce(1).write.text(f"{base}/rules")
+    return root, f"{base}/clusters", f"{base}/rules"
+
+
 # --- files, manifest, notifications (FIXTURES.md B4) -----------------------------------
 
 
@@ -263,13 +305,13 @@ def raw_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rules_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A YAML rules document per event."""
+    """A rules document in JSON form per event."""
     return events(spark, sf_dir).select(
         F.concat(F.lit("rules-"), F.col("event_id").cast("string")).alias("doc_id"),
         F.expr(
-            "concat('rules:\\n  - name: up-', user_id, '\\n    metric: batchDuration\\n    aggregation: avg\\n    operator: gt\\n"
-            "    threshold: 5e9\\n    window_minutes: ', k + 1, '\\n    min_batches: 3.0\\n    target_workers: \"8\"\\n    cooldown_minutes: 20\\n"
-            "  - name: down-', user_id, '\\n    metric: source.k\\n    aggregation: max\\n    operator: lt\\n"
-            "    threshold: ', cents, '\\n    window_minutes: 30\\n    min_batches: 5\\n    target_workers: 2\\n    cooldown_minutes: 60\\n')"
+            "concat('{\"rules\": [{\"name\": \"up-', user_id, '\", \"metric\": \"batchDuration\", \"aggregation\": \"avg\", \"operator\": \"gt\", "
+            "\"threshold\": \"5e9\", \"window_minutes\": ', k + 1, ', \"min_batches\": \"3.0\", \"target_workers\": \"8\", \"cooldown_minutes\": 20}, "
+            "{\"name\": \"down-', user_id, '\", \"metric\": \"source.k\", \"aggregation\": \"max\", \"operator\": \"lt\", "
+            "\"threshold\": ', cents, ', \"window_minutes\": 30, \"min_batches\": 5, \"target_workers\": 2, \"cooldown_minutes\": true}]}')"
         ).alias("text"),
     )

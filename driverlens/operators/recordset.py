@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from driverlens.functions.timegrid import minute_of
 
 RECORD_KEY = ["cluster_id", "id", "batch_id"]
+RECORD_SCHEMA = (
+    "cluster_id STRING, id STRING, batch_id BIGINT, ts_us BIGINT, ts_raw STRING, "
+    "metrics MAP<STRING,DOUBLE>, file_ord INT, entry_no BIGINT"
+)
 
 
 def dedup_records(records: DataFrame) -> DataFrame:

@@ -18,8 +18,9 @@ TEXT_FIELDS = ("name", "metric", "aggregation", "operator")
 INT_FIELDS = ("window_minutes", "min_batches", "target_workers", "cooldown_minutes")
 INT_MINIMUM = {"window_minutes": 1, "min_batches": 1, "target_workers": 0, "cooldown_minutes": 0}
 
+RULE_FIELDS = TEXT_FIELDS + ("threshold",) + INT_FIELDS
 RAW_RULE_SCHEMA = "ruleset STRING, rule_ord INT, " + ", ".join(
-    f"{f} STRING, {f}_type STRING" for f in TEXT_FIELDS + ("threshold",) + INT_FIELDS
+    f"{f} STRING, {f}_type STRING" for f in RULE_FIELDS
 )
 
 
@@ -39,7 +40,7 @@ class Rule:
 def raw_rule_row(ruleset: str, rule_ord: int, rule: Any) -> dict[str, Any]:
     """One YAML list item as text plus a type word per field, so Spark can judge it."""
     row: dict[str, Any] = {"ruleset": ruleset, "rule_ord": rule_ord}
-    for field in TEXT_FIELDS + ("threshold",) + INT_FIELDS:
+    for field in RULE_FIELDS:
         value = rule.get(field) if isinstance(rule, Mapping) else None
         row[field] = None if value is None else str(value)
         row[f"{field}_type"] = None if value is None else type(value).__name__

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from driverlens.operators.entries import entries_from_lines, read_lines
 from driverlens.operators.filesets import complete_clusters, file_first_ts, file_order
 from driverlens.operators.gates import decisions, point_outcomes, walk_ticks
-from driverlens.operators.recordset import dedup_records
+from driverlens.operators.recordset import RECORD_SCHEMA, dedup_records
 from driverlens.operators.records import progress_records
 from driverlens.operators.rules import Rule
 from driverlens.operators.windows import evaluate, matched_ticks, ticks
@@ -80,19 +81,31 @@ def decide_from_logs(
     """
     rules = read_rules(spark, rules_path)
     manifest = read_manifest(spark, manifest_path)
-    files = read_log_files(spark, logs)
     # The listing never opens a file: ``content`` is pruned. A file counts as arrived even if
-    # no progress entry is in it. Contents are decoded where they are read and never joined.
-    listing = files.select(cluster_of_path(F.col("path")).alias("cluster_id"), F.col("path").alias("key"))
-    complete = complete_clusters(listing, manifest).select("cluster_id", "initial_workers")
+    # no progress entry is in it.
+    listing = materialize(
+        read_log_files(spark, logs).select(cluster_of_path(F.col("path")).alias("cluster_id"), F.col("path").alias("key")), "listing"
+    )
+    complete = materialize(complete_clusters(listing, manifest).select("cluster_id", "initial_workers"), "complete")
+    # Only the folders of complete, known clusters are opened. Their names are fewer than the
+    # files that the listing has shown to the driver already.
+    folder = F.regexp_extract("key", "^(.*)/[^/]*$", 1)
+    opened = [r[0] for r in listing.join(complete, "cluster_id", "left_semi").select(folder).distinct().collect()]
+    paths = sorted(re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in opened)
+    if not paths:
+        made = decide(spark.createDataFrame([], RECORD_SCHEMA), spark.createDataFrame([], "cluster_id STRING, workers BIGINT, last_us BIGINT"), rules)
+        if table is None:
+            return made
+        put_decisions(made, table, run=run)
+        return read_decisions(spark, table)
     if as_lines:
-        lines = read_lines(spark, logs, recursive=True)
-        found = entries_from_lines(lines, progress_only=True)
+        found = entries_from_lines(read_lines(spark, paths, recursive=True), progress_only=True)
     else:
-        found = scan_entries(files, progress_only=True)
+        # Contents are decoded where they are read and never joined.
+        found = scan_entries(read_log_files(spark, paths), progress_only=True)
     entries = found.withColumn("cluster_id", cluster_of_path(F.col("path")))
     parsed = progress_records(entries, sorted({r.metric for r in rules}))
-    records = materialize(parsed.join(complete.select("cluster_id"), "cluster_id", "left_semi"), "records")
+    records = materialize(parsed, "records")
     first_times = file_first_ts(records).withColumnRenamed("path", "key")
     order = file_order(listing, first_times).select("cluster_id", F.col("key").alias("path"), "file_ord")
     initial = complete.select(

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driverlens.operators.manifest import manifest_entries, manifest_problems
-from driverlens.operators.rules import RAW_RULE_SCHEMA, Rule, raw_rule_row, validated_rules
+from driverlens.operators.rules import RULE_FIELDS, Rule, validated_rules
 
 # The fields a notification must carry.
 NOTIFICATION_FIELDS = ("bucket", "key", "cluster_id")
@@ -25,11 +22,15 @@ def manifest_rows(documents: DataFrame) -> DataFrame:
     return manifest_entries(documents).select("doc_id", "position", "cluster_id", "initial_workers", "num_log_files")
 
 
+def misshapen_manifests(documents: DataFrame) -> DataFrame:
+    """Documents that are not a mapping with a ``clusters`` list."""
+    return documents.filter(F.from_json("text", "struct<clusters:array<variant>>")["clusters"].isNull())
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The checked manifest; raises on the first problem."""
     documents = read_documents(spark, path)
-    shapes = documents.filter(F.from_json("text", "struct<clusters:array<variant>>")["clusters"].isNull())
-    if not shapes.isEmpty():
+    if not misshapen_manifests(documents).isEmpty():
         raise ValueError("the manifest must be a mapping with a 'clusters' list")
     problem = manifest_problems(documents).orderBy("doc_id", "position", "problem").first()
     if problem is not None:
@@ -47,25 +48,22 @@ def _rule_items(text: str) -> list:
     return document["rules"]
 
 
-def _yaml_rules(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = None
-    for batch in batches:
-        rows = [
-            raw_rule_row(doc_id, i, item)
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist())
-            for i, item in enumerate(_rule_items(text))
-        ]
-        if rows:
-            schema = schema or pa.schema([(n, pa.int32() if n == "rule_ord" else pa.string()) for n in rows[0]])
-            yield pa.RecordBatch.from_pylist(rows, schema)
-
-
 def rules_rows(documents: DataFrame) -> DataFrame:
-    """YAML rules documents to raw rule rows (text and type word per field), in file order.
-
-    YAML has no Spark reader; each document is parsed by itself inside a task.
-    """
-    return documents.select("doc_id", "text").mapInArrow(_yaml_rules, RAW_RULE_SCHEMA)
+    """Rules documents in JSON form (which is YAML too) to raw rule rows, in file order: text and
+    type word per field, as the checks take them. A document of another shape gives none."""
+    items = F.from_json("text", "struct<rules:array<variant>>")["rules"]
+    listed = documents.select(F.col("doc_id").alias("ruleset"), F.posexplode(items).alias("rule_ord", "item"))
+
+    def field(name: str) -> list[Column]:
+        value = F.try_variant_get("item", f"$.{name}", "variant")
+        kind = F.schema_of_variant(value)
+        word = (
+            F.when(kind == "STRING", "str").when(kind == "BIGINT", "int").when(kind == "BOOLEAN", "bool")
+            .when(kind.rlike("^(DOUBLE|FLOAT|DECIMAL)"), "float").when(kind.startswith("ARRAY"), "list").when(kind.startswith("OBJECT"), "dict")
+        )
+        return [F.try_variant_get("item", f"$.{name}", "string").alias(name), word.alias(f"{name}_type")]
+
+    return listed.select("ruleset", "rule_ord", *[c for name in RULE_FIELDS for c in field(name)])
 
 
 def read_rules(spark: SparkSession, path: str) -> list[Rule]:

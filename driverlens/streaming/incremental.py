@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driverlens.functions.timegrid import MINUTE_US
-from driverlens.operators.recordset import RECORD_KEY
+from driverlens.operators.recordset import RECORD_KEY, RECORD_SCHEMA
 from driverlens.operators.rules import Rule
 from driverlens.plans.decide import walk_records
 from driverlens.session import children, remove, run_id
@@ -32,10 +32,6 @@ from driverlens.sources.decision_table import put_decisions, read_write
 
 DEDUP_MARGIN_US = 120 * MINUTE_US  # fixed value: two hours beyond the look-back
 
-RECORD_SCHEMA = (
-    "cluster_id STRING, id STRING, batch_id BIGINT, ts_us BIGINT, ts_raw STRING, "
-    "metrics MAP<STRING,DOUBLE>, file_ord INT, entry_no BIGINT"
-)
 PAYLOAD = ["ts_us", "ts_raw", "metrics", "file_ord", "entry_no"]
 RECORD_COLUMNS = RECORD_KEY + PAYLOAD
 STATE_SCHEMAS = {

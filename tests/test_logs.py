@@ -155,3 +155,26 @@ def test_whole_run_from_plain_lines(spark, world, tmp_path):
         target.write_bytes(gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data)
     made = decide_from_logs(spark, str(plain), str(world / "clusters.json"), str(world / "rules.yaml"), as_lines=True)
     assert [(d.cluster_id, d.decision_ts) for d in made.collect()] == [("alpha", raw(us(9, 2)))]
+
+
+def test_only_complete_known_clusters_are_opened(spark, world, monkeypatch):
+    from driverlens.plans import decide as plan
+
+    opened = []
+    read = plan.read_log_files
+
+    def watched(spark, path):
+        if isinstance(path, list):
+            opened.extend(path)
+        return read(spark, path)
+
+    monkeypatch.setattr(plan, "read_log_files", watched)
+    decide_from_logs(spark, str(world / "logs"), str(world / "clusters.json"), str(world / "rules.yaml")).collect()
+    assert sorted(p.rsplit("/", 1)[1] for p in opened) == ["alpha", "beta"]
+
+
+def test_no_complete_cluster_no_decisions(spark, world):
+    none = {"clusters": [{"cluster_id": "gamma", "initial_workers": 4, "num_log_files": 9}]}
+    (world / "clusters.json").write_text(json.dumps(none))
+    paths = [str(world / n) for n in ("logs", "clusters.json", "rules.yaml", "table")]
+    assert decide_from_logs(spark, *paths).collect() == []
