@@ -15,7 +15,7 @@ from driverlens.operators.recordset import RECORD_SCHEMA, dedup_records
 from driverlens.operators.records import progress_records
 from driverlens.operators.rules import Rule
 from driverlens.operators.windows import evaluate, matched_ticks, ticks
-from driverlens.session import materialize
+from driverlens.session import materialize, scratch_scope
 from driverlens.sources.control import read_manifest, read_rules
 from driverlens.sources.decision_table import put_decisions, read_decisions
 from driverlens.sources.logs import cluster_of_path, read_log_files, scan_entries
@@ -79,6 +79,10 @@ def decide_from_logs(
     each file is decoded from its bytes, gzip or not. A run repeated under the same ``run``
     replaces its own rows.
     """
+    if table is not None:
+        with scratch_scope(spark):
+            put_decisions(decide_from_logs(spark, logs, manifest_path, rules_path, as_lines=as_lines), table, run=run)
+        return read_decisions(spark, table)
     rules = read_rules(spark, rules_path)
     manifest = read_manifest(spark, manifest_path)
     # The listing never opens a file: ``content`` is pruned. A file counts as arrived even if
@@ -93,11 +97,8 @@ def decide_from_logs(
     opened = [r[0] for r in listing.join(complete, "cluster_id", "left_semi").select(folder).distinct().collect()]
     paths = sorted(re.sub(r"([\\\[\]{}*?])", r"\\\1", path) for path in opened)
     if not paths:
-        made = decide(spark.createDataFrame([], RECORD_SCHEMA), spark.createDataFrame([], "cluster_id STRING, workers BIGINT, last_us BIGINT"), rules)
-        if table is None:
-            return made
-        put_decisions(made, table, run=run)
-        return read_decisions(spark, table)
+        nobody = spark.createDataFrame([], "cluster_id STRING, workers BIGINT, last_us BIGINT")
+        return decide(spark.createDataFrame([], RECORD_SCHEMA), nobody, rules)
     if as_lines:
         found = entries_from_lines(read_lines(spark, paths, recursive=True), progress_only=True)
     else:
@@ -111,8 +112,4 @@ def decide_from_logs(
     initial = complete.select(
         "cluster_id", F.col("initial_workers").alias("workers"), F.lit(None).cast("bigint").alias("last_us")
     )
-    made = decide(records.join(order, ["cluster_id", "path"]).drop("path"), initial, rules)
-    if table is None:
-        return made
-    put_decisions(made, table, run=run)
-    return read_decisions(spark, table)
+    return decide(records.join(order, ["cluster_id", "path"]).drop("path"), initial, rules)

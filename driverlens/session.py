@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +26,24 @@ def build_session(app: str = "driverlens", cpus: int = 8) -> SparkSession:
     )
 
 
+_scopes = threading.local()
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes the intermediate tables made inside when it ends: for work whose result is stored by then."""
+    stack = _scopes.__dict__.setdefault("stack", [])
+    stack.append([])
+    try:
+        yield
+    finally:
+        for path in stack.pop():
+            remove(spark, path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder for intermediate tables.
+    """A fresh folder for intermediate tables; ``scratch_scope`` removes it, else it stays until
+    whoever owns the shared folder clears it, as a lazy result may read it at any time.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local master
     may fall back to the machine's own temporary folder.
@@ -33,10 +51,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if base:
-        return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if context.master.startswith("local"):
-        return os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), label)
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+        path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    elif context.master.startswith("local"):
+        path = os.path.join(tempfile.mkdtemp(prefix="run-", dir="/tmp"), label)
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
+    if stack := _scopes.__dict__.get("stack"):
+        stack[-1].append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

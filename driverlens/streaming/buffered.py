@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from driverlens.operators.filesets import complete_clusters
 from driverlens.operators.rules import Rule
 from driverlens.plans.decide import decide
-from driverlens.session import children, remove, run_id
+from driverlens.session import children, remove, run_id, scratch_scope
 from driverlens.sources.decision_table import put_decisions
 from driverlens.streaming.incremental import RECORD_SCHEMA
 
@@ -88,4 +88,5 @@ class CompleteThenWalk:
         initial = self.manifest.join(ready, "cluster_id", "left_semi").select(
             "cluster_id", F.col("initial_workers").alias("workers"), F.lit(None).cast("bigint").alias("last_us")
         )
-        put_decisions(decide(records, initial, self.rules), self.table, epoch, run_id(spark, self.state_dir))
+        with scratch_scope(spark):
+            put_decisions(decide(records, initial, self.rules), self.table, epoch, run_id(spark, self.state_dir))

@@ -27,7 +27,7 @@ from driverlens.functions.timegrid import MINUTE_US
 from driverlens.operators.recordset import RECORD_KEY, RECORD_SCHEMA
 from driverlens.operators.rules import Rule
 from driverlens.plans.decide import walk_records
-from driverlens.session import children, remove, run_id
+from driverlens.session import children, remove, run_id, scratch_scope
 from driverlens.sources.decision_table import put_decisions, read_write
 
 DEDUP_MARGIN_US = 120 * MINUTE_US  # fixed value: two hours beyond the look-back
@@ -120,6 +120,10 @@ class IncrementalWalk:
         return self.state(spark, "pool", epoch).filter(~F.col("is_ready")).select(*RECORD_COLUMNS)
 
     def _advance(self, spark: SparkSession, epoch: int, pool: DataFrame, new: DataFrame, arrived: DataFrame) -> None:
+        with scratch_scope(spark):
+            self._walk(spark, epoch, pool, new, arrived)
+
+    def _walk(self, spark: SparkSession, epoch: int, pool: DataFrame, new: DataFrame, arrived: DataFrame) -> None:
         self._store(pool, "pool", epoch)
         pool = self.state(spark, "pool", epoch)
         lookback, clusters = self.state(spark, "lookback", epoch - 1), self.state(spark, "clusters", epoch - 1)
