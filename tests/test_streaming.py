@@ -121,15 +121,19 @@ def test_state_does_not_grow_with_the_stream(spark, tmp_path):
     assert sizes[-1] < 1.3 * sizes[4]
 
 
-def test_micro_batches_leave_no_scratch_tables(spark, tmp_path):
-    shared = tmp_path / "shared"
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", str(shared))
-    try:
-        walk = incremental(spark, tmp_path, [SLOW])
-        walk.process(frame(spark, [record(us(8, m), m, batchDuration=500) for m in (0, 2, 4)]), 0)
-        walk.finish(spark, 1)
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before) if before else spark.conf.unset("spark.checkpoint.dir")
-    assert table(spark, tmp_path) and shared.exists()
-    assert not [f for f in shared.iterdir() if f.is_dir()]
+def test_micro_batches_leave_no_scratch_tables(spark, tmp_path, monkeypatch):
+    from driverlens import session
+
+    made = []
+    fresh = session.scratch_path
+
+    def watched(spark, label):
+        made.append(fresh(spark, label))
+        return made[-1]
+
+    monkeypatch.setattr(session, "scratch_path", watched)
+    walk = incremental(spark, tmp_path, [SLOW])
+    walk.process(frame(spark, [record(us(8, m), m, batchDuration=500) for m in (0, 2, 4)]), 0)
+    walk.finish(spark, 1)
+    assert table(spark, tmp_path) and made
+    assert not [path for path in made if session.children(spark, path)]
