@@ -314,6 +314,7 @@ ORACLE: dict[str, str] = {
     "decision_lookup": decision_sql(
         f"SELECT {DECISION} FROM last_made QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY decision_ts) = 1"
     ),
+    "decision_point_lookup": decision_sql(f"SELECT {DECISION} FROM last_made ORDER BY cluster_id, decision_ts LIMIT 1"),
     "decisions_for_cluster": decision_sql(
         "SELECT cluster_id, row_number() OVER (PARTITION BY cluster_id ORDER BY decision_ts) AS position, decision_ts, rule_name FROM last_made"
     ),
