@@ -23,6 +23,7 @@ from driverlens.llm.common import words
 CHAIN = 2
 REACH = 8
 BUCKET_ROWS = 2000  # documents of neighbouring ids that are put side by side
+MOST_BUCKETS = 1 << 14  # so that the bounds fit a plan; beyond, buckets hold more documents
 
 # Common words of English, German, French and Spanish.
 ANCHORS = (
@@ -76,11 +77,11 @@ def beside_next(docs: DataFrame, id: str, order: list[str], carry: list[str]) ->
     Ids are cut into buckets at ids that occur, found by approximate percentiles. The row of a bucket's
     largest id is also a guest at the end of the bucket above it, and the largest of all is a guest at the end of
     the lowest. So each bucket is ordered by itself, and rows move once. The number of buckets
-    follows the number of rows.
+    follows the number of rows, up to ``MOST_BUCKETS``; sorting spills.
     """
     place = F.coalesce(F.col(id).cast("bigint"), F.lit(-(1 << 63)))
     n = docs.count()
-    count = max(1, n // BUCKET_ROWS)
+    count = min(MOST_BUCKETS, max(1, n // BUCKET_ROWS))
     shares = F.array(*(F.lit((k + 1) / count) for k in range(count)))
     bounds = docs.agg(F.sort_array(F.array_distinct(F.approx_percentile(place, shares, F.lit(max(10000, 4 * count))))), F.max(place)).first()
     splits = sorted({*(bounds[0] or []), *([] if bounds[1] is None else [bounds[1]])})
