@@ -523,9 +523,15 @@ ORACLE: dict[str, str] = {
     "stream_upsert_replay": STORED,
     "stream_dedup": sql(EV, REC, select="SELECT cluster_id, id, batch_id, ts_us FROM rec"),
     "walk_stats": sql(
-        EV, REC, INCREMENTAL,
+        EV, REC, INCREMENTAL, STATE,
+        """held_at AS (
+          SELECT h.cluster_id, e.epoch, count(*) AS n FROM epochs e JOIN held h ON h.chunk <= e.epoch
+          WHERE h.walked >= e.epoch OR NOT EXISTS (
+            SELECT 1 FROM prunes p WHERE p.cluster_id = h.cluster_id AND p.epoch >= h.walked AND p.epoch < e.epoch AND h.ts_us <= p.frontier - 432000000000)
+          GROUP BY h.cluster_id, e.epoch),
+        peaks AS (SELECT cluster_id, max(n) AS peak_held_records FROM held_at GROUP BY cluster_id)""",
         select="""SELECT cluster_id, CAST(sum(times) AS BIGINT) AS records_seen, count(*) AS unique_records, count(*) AS evaluation_points,
-          CAST(0 AS BIGINT) AS late_records FROM copies GROUP BY cluster_id""",
+          CAST(0 AS BIGINT) AS late_records, any_value(peak_held_records) AS peak_held_records FROM copies JOIN peaks USING (cluster_id) GROUP BY cluster_id""",
     ),
     "stream_state_size": sql(
         EV, REC, INCREMENTAL, STATE,

@@ -613,7 +613,7 @@ def stream_dedup(spark, sf_dir):
 @query
 def walk_stats(spark, sf_dir):
     stats = _incremental(spark, sf_dir).stats(spark, CHUNKS)
-    return stats.select("cluster_id", "records_seen", "unique_records", "evaluation_points", "late_records")
+    return stats.select("cluster_id", "records_seen", "unique_records", "evaluation_points", "late_records", "peak_held_records")
 
 
 @query
