@@ -41,7 +41,7 @@ LOOK_ALIKES = {
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X",
     "ı": "i", "ɑ": "a", "ɡ": "g", "‐": "-", "‑": "-", "‒": "-", "–": "-", "−": "-", "․": ".", "﹒": ".", "。": ".", "﹫": "@",
 }
-INVISIBLE = "­​‌‍⁠﻿"
+INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 DIGIT_WORDS = {
     "zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9",
     "null": "0", "eins": "1", "zwei": "2", "drei": "3", "vier": "4", "fünf": "5", "sechs": "6", "sieben": "7", "acht": "8", "neun": "9",
@@ -183,7 +183,7 @@ class Transducers:
     def _joined(self, offset: int, words):
         """Each word becomes its digit; what separates it from the next goes with it."""
         ends = [start for start, _, _ in words[1:]] + [words[-1][1]]
-        return [(offset + a, offset + (end if end > b else b), DIGIT_WORDS.get(w.lower(), w)) for (a, b, w), end in zip(words, ends)]
+        return [(offset + a, offset + end, DIGIT_WORDS.get(w.lower(), w)) for (a, _, w), end in zip(words, ends)]
 
     def marks(self, text: str):
         if not self.bracket.search(text):
