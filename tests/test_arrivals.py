@@ -6,6 +6,7 @@ from conftest import raw, us
 from test_logs import RULES, progress, world  # noqa: F401
 
 from driverlens.sources.control import read_manifest, read_rules
+from driverlens.session import children
 from driverlens.sources.decision_table import read_decisions
 from driverlens.streaming.arrivals import arrivals_of, arriving_files, records_of
 from driverlens.streaming.buffered import CompleteThenWalk
@@ -26,7 +27,8 @@ def test_files_in_any_order(spark, world, tmp_path):  # noqa: F811
         held.write_bytes(content)
     rows = read_decisions(spark, walk.table).collect()
     assert [(r.cluster_id, r.decision_ts) for r in rows] == [("alpha", raw(us(9, 2)))]
-    done = walk._table(spark, "done", "cluster_id STRING", 2).collect()
+    last = max(int(n.removeprefix("epoch=")) for n in children(spark, f"{walk.state_dir}/done") if n.startswith("epoch="))
+    done = walk._state(spark, "done", "cluster_id STRING", last).collect()
     assert sorted(r.cluster_id for r in done) == ["alpha", "beta"]  # gamma lacks a file, ghost is unknown
 
 
