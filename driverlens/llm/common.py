@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -76,3 +76,18 @@ def pieces(text: str, size: int) -> Iterator[str]:
             end += 1
         yield text[start:end]
         start = end
+
+
+SLOTS = 32
+
+
+def sample_ids(ids: DataFrame, by: str, rows: int) -> DataFrame:
+    """At most ``rows`` rows of (id, ``by``), about as many of each value of ``by``.
+
+    Ids fall into slots by a hash. Of every value and slot the rows of the smallest other hash
+    are taken, a slot's share at most, so no value meets in one task however common it is.
+    """
+    slot, order = F.pmod(F.xxhash64(F.lit(by), "id"), F.lit(SLOTS)), (F.xxhash64("id"), F.col("id"))
+    place = F.row_number().over(Window.partitionBy(by, "slot").orderBy(*order))
+    ranked = ids.withColumn("slot", slot).withColumn("place", place).where(F.col("place") <= -(-rows // SLOTS))
+    return ranked.orderBy("place", *order).limit(rows).select("id", by)

@@ -3,8 +3,8 @@
 Features are character n-grams of 1 to 3 characters, lower-cased, with runs of non-letters as one
 blank, hashed into ``DIM`` buckets and weighted by TF-IDF. Document frequencies are counted over
 all learnable documents. The weights are fitted by follow-the-regularised-leader with
-elastic-net penalties on a sample of at most ``sample_rows`` of them (as many of each language as
-there are, smallest id hashes first), and a temperature is fitted on a fifth of the sample that the weights
+elastic-net penalties on a sample of at most ``sample_rows`` of them (about as many of each
+language, chosen by hashes of the id), and a temperature is fitted on a fifth of the sample that the weights
 have not seen.
 
 A document is learnable if its language is not null and its id not held out. Texts that are null
@@ -19,10 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driverlens.llm.common import pieces, with_columns
+from driverlens.llm.common import pieces, sample_ids, with_columns
 
 DIM = 1 << 14
 BLOCK = 1 << 17  # characters turned into n-grams at a time, cut at white space
@@ -99,9 +99,7 @@ def _frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
 def _sample(docs: DataFrame, id: str, text: str, lang: str, rows: int) -> list:
     """(id, language, buckets, counts) of at most ``rows`` documents."""
     ids = docs.groupBy(F.col(id).alias("id")).agg(F.min(lang).alias("lang"))
-    order = F.xxhash64("id"), F.col("id")
-    ranked = ids.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("place") <= rows)
-    chosen = ranked.orderBy("place", *order).limit(rows).select("id", "lang")
+    chosen = sample_ids(ids, "lang", rows)
     given = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(chosen, "id")
 
     def make():

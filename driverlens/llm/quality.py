@@ -4,7 +4,7 @@ A document is a bag of passages of ``PASSAGE`` words. A passage is encoded from
 and a few ratios (capitals, symbols, digits, distinct words, common words, word length), then by a learned layer. Gated
 attention gives every passage a weight; the weighted mean is scored by a logistic output. All
 layers are learned from document labels alone, on a sample of at most ``sample_rows`` labelled
-documents of at most ``SAMPLE_CHARS`` characters (as many of each label as there are, smallest id hashes first).
+documents of at most ``SAMPLE_CHARS`` characters (about as many of each label, chosen by hashes of the id).
 
 Every text is scored whole, in pieces; the attention's sums are carried from piece to piece. Null and empty texts are
 a single empty passage. A document with several labels counts with its smallest, a null label
@@ -15,10 +15,10 @@ Input columns named like an output column are replaced, other columns are left a
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driverlens.llm.common import pieces, with_columns
+from driverlens.llm.common import pieces, sample_ids, with_columns
 from driverlens.llm.langid import held_out
 from driverlens.llm.spotsigs import ANCHORS
 
@@ -166,10 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "tex
     """Fit on labelled rows whose id is not held out; None without any."""
     known = labels.where(F.col(label).isNotNull() & ~held_out(F.col(id), 3, 1)).groupBy(F.col(id).alias("id")).agg(F.min(label).cast("int").alias("label"))
     sized = docs.select(F.col(id).alias("id"), F.length(text).alias("n")).where(F.coalesce("n", F.lit(0)) <= SAMPLE_CHARS).select("id").distinct()
-    order = F.xxhash64("id"), F.col("id")
-    place = F.row_number().over(Window.partitionBy("label").orderBy(*order))
-    ranked = known.join(sized, "id", "left_semi").withColumn("place", place).where(F.col("place") <= sample_rows)
-    chosen = ranked.orderBy("place", *order).limit(sample_rows).select("id", "label")
+    chosen = sample_ids(known.join(sized, "id", "left_semi"), "label", sample_rows)
     given = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).join(chosen, "id")
     featured = with_columns(given, ["text"], "bag BINARY", lambda: lambda value: (bag(value).astype("<f4").tobytes(),), drop=("text",))
     rows = sorted(tuple(r) for r in featured.dropDuplicates(["id"]).select("id", "label", "bag").collect())
