@@ -5,7 +5,7 @@ as it is. For disguised ones the text goes through transducers, each a list of e
 remembers which source characters an output character stands for: look-alike letters and digits
 to ASCII and invisible characters to nothing, spelled digits to digits, ``at`` and ``dot`` in
 words or brackets to ``@`` and ``.``. What the same detectors find in the outcome is mapped back
-to the source and added where no plain span of the kind overlaps. A row of digits that is too long for
+to the source and added unless a span of the kind covers it wholly. A row of digits that is too long for
 a card is looked through once more for cards that stand in it as words of their own.
 
 Offsets are code points, ends exclusive. Null text counts as empty and has no spans. Texts are
@@ -212,13 +212,8 @@ class Transducers:
             for layer in reversed(layers):
                 start, end = layer.back(start, end)
             mapped.append((kind, start, _trimmed(text, start, end)))
-        taken = {kind: [span[1:] for span in base if span[0] == kind] for kind in KINDS}
-        added = []
-        for kind, start, end in mapped:
-            if not _overlaps(taken[kind], start, end):
-                taken[kind] = sorted([*taken[kind], (start, end)])
-                added.append((kind, start, end))
-        return base, sorted(added, key=lambda s: (KINDS.index(s[0]), s[1]))
+        added = [span for kind in KINDS for span in _uncovered(kind, base, mapped)]
+        return base, added
 
 
 def _trimmed(text: str, start: int, end: int) -> int:
@@ -228,9 +223,16 @@ def _trimmed(text: str, start: int, end: int) -> int:
     return end
 
 
-def _overlaps(spans: list[tuple[int, int]], start: int, end: int) -> bool:
-    i = bisect_right(spans, (start, end))
-    return (i > 0 and spans[i - 1][1] > start) or (i < len(spans) and spans[i][0] < end)
+def _uncovered(kind: str, base: list[tuple[str, int, int]], mapped: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The mapped spans of a kind that no plain or longer mapped span of it covers, by start."""
+    known = sorted((start, -end, plain) for spans, plain in ((base, 0), (mapped, 1)) for k, start, end in spans if k == kind)
+    out, reach = [], -1
+    for start, end, added in known:
+        if -end > reach:
+            reach = -end
+            if added:
+                out.append((kind, start, reach))
+    return out
 
 
 def find(docs: DataFrame, text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:

@@ -64,6 +64,27 @@ def test_disguises(found, text, kind, want):
     assert all(k != kind for k, _, _ in base) or kind == "email"
 
 
+@pytest.mark.parametrize(
+    "text, kind, want, left",
+    [
+        ("mail jаne@example.com now", "email", "jаne@example.com", "mail [EMAIL] now"),
+        ("ja\u200bne@example.com", "email", "ja\u200bne@example.com", "[EMAIL]"),
+        ("to jane dot doe@example.com.", "email", "jane dot doe@example.com", "to [EMAIL]."),
+        ("host １92.168.1.1 up", "ip", "１92.168.1.1", "host [IP] up"),
+        ("+1 555 123 456７８ ok", "phone", "+1 555 123 456７８", "[PHONE] ok"),
+        ("４111 1111 1111 1111", "card", "４111 1111 1111 1111", "[CARD]"),
+    ],
+)
+def test_disguises_beside_a_plain_fragment(found, text, kind, want, left):
+    base, added = found.spans(text)
+    assert (kind, want) in [(k, text[a:b]) for k, a, b in added]
+    assert base == plain(text) and pii.redacted(text, base + added) == left
+
+
+def test_covered_spans_are_not_added(found):
+    assert found.spans("é a@b.cd and 10.0.0.1 ａ")[1] == []
+
+
 def test_cards_side_by_side(found):
     text = "pay 7536784127813050 4845168114407329 ok"
     assert [text[a:b] for _, a, b in found.spans(text)[1]] == [w for w in text.split() if len(w) == 16 and passes(digits(w))]
