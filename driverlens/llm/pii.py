@@ -4,7 +4,9 @@ Four kinds are found: ``email``, ``ip``, ``card``, ``phone``. Plain ones are mat
 as it is. For disguised ones the text goes through transducers, each a list of edits that
 remembers which source characters an output character stands for: look-alike letters and digits
 to ASCII and invisible characters to nothing, spelled digits to digits, ``at`` and ``dot`` in
-words or brackets to ``@`` and ``.``. What the same detectors find in the outcome is mapped back
+words or brackets to ``@`` and ``.``. A run of spelled digits may be read in several ways, as what
+stands beside it may belong to it or not: each reading is looked through, also that without digits.
+What the same detectors find in an outcome is mapped back
 to the source and added unless a span of the kind covers it wholly. A row of digits that is too long for
 a card is looked through once more for cards that stand in it as words of their own.
 
@@ -49,7 +51,7 @@ DIGIT_WORDS = {
     "cero": "0", "uno": "1", "dos": "2", "tres": "3", "cuatro": "4", "cinco": "5", "seis": "6", "siete": "7", "ocho": "8", "nueve": "9",
     "plus": "+", "dot": ".", "point": ".", "punkt": ".", "punto": ".",
 }
-NUMBERS = frozenset(word for word, digit in DIGIT_WORDS.items() if digit.isdigit()) - {"un", "oh"}  # a run has one of these
+STARTS = frozenset(DIGIT_WORDS)  # a run has one of these at its start or after its first figure
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -158,13 +160,16 @@ class Transducers:
         self.odd = re.compile(f"[{odd}]")
         word = "|".join(sorted(map(re.escape, DIGIT_WORDS), key=len, reverse=True))
         self.word = re.compile(rf"\b(?:{word})\b|[0-9]+", re.IGNORECASE)
-        self.spelled = re.compile(rf"\b(?:{word})(?:[ ,\t-]{{1,3}}(?:{word}|[0-9]+)){{3,}}\b", re.IGNORECASE)
+        following = rf"(?:{word})(?:[ ,\t-]{{1,3}}(?:{word}|[0-9]+))"
+        self.spelled = re.compile(rf"\b{following}{{3,}}\b", re.IGNORECASE)
+        self.led = re.compile(rf"\b(?:[0-9]++[ ,\t-]{{1,3}}{following}{{2,}}|{following}{{3,}})\b", re.IGNORECASE)
         opened, closed = r"[ \t]{0,3}[\[({<][ \t]{0,3}", r"[ \t]{0,3}[\])}>][ \t]{0,3}"
         dot = rf"(?:{opened}(?:dot|punkt|point|punto){closed}|(?<=[a-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[a-z0-9]))"
         self.at = re.compile(rf"{opened}(?:at|@|arroba){closed}|(?<=[a-z0-9])[ \t]{{1,3}}at[ \t]{{1,3}}(?=[a-z0-9-]{{1,63}}{dot}[a-z])", re.IGNORECASE)
         self.dot = re.compile(dot, re.IGNORECASE)
         self.bracket = re.compile(rf"[\[({{<][ \t]{{0,3}}(?:at|@|arroba|dot|punkt|point|punto)[ \t]{{0,3}}[\])}}>]|[dD][oO][tT]\b", re.IGNORECASE)
-        self.steps = (self.shaped, self.digits, self.marks)
+        # In this order: what an earlier reading finds stays, also beside a longer span of a later one.
+        self.readings = (self.loose_digits, self.digits, self.led_digits)
 
     def shaped(self, text: str):
         if text.isascii():
@@ -172,18 +177,33 @@ class Transducers:
         return [(m.start(), m.end(), self.shapes.get(ord(m.group()), "")) for m in self.odd.finditer(text)]
 
     def digits(self, text: str):
-        if NUMBERS.isdisjoint(LETTERS.findall(text.lower())):
-            return []
-        return [
-            edit
-            for run in self.spelled.finditer(text)
-            for edit in self._joined(run.start(), [(m.start(), m.end(), m.group()) for m in self.word.finditer(run.group())])
-        ]
-
-    def _joined(self, offset: int, words):
-        """Each word becomes its digit; what separates it from the next goes with it."""
-        ends = [start for start, _, _ in words[1:]] + [words[-1][1]]
-        return [(offset + a, offset + end, DIGIT_WORDS.get(w.lower(), w)) for (a, _, w), end in zip(words, ends)]
+        """Runs from a word on as one."""
+        return self._runs(self.spelled, text, "")
+
+    def led_digits(self, text: str):
+        """Runs with the figure before them; a comma beside a figure ends a number."""
+        return self._runs(self.led, text, ",")
+
+    def loose_digits(self, text: str):
+        """Runs with the figure before them; what separates a figure from another or from a spelled digit stays as a blank or comma."""
+        return self._runs(self.led, text, " ,\t-")
+
+    def _runs(self, runs: re.Pattern, text: str, apart: str):
+        return [edit for run in runs.finditer(text) for edit in self._joined(run.start(), [(m.start(), m.end(), m.group()) for m in self.word.finditer(run.group())], run.group(), apart)]
+
+    def _joined(self, offset: int, words, run: str, apart: str):
+        """Each word becomes its digit. What separates it from the next goes; beside a figure a character of ``apart`` leaves a blank, or the comma if there is one."""
+        outputs = [DIGIT_WORDS.get(w.lower(), w) for _, _, w in words]
+        for i, (start, end, w) in enumerate(words):
+            yield offset + start, offset + end, outputs[i]
+            if i + 1 < len(words):
+                after, _, following = words[i + 1]
+                figures = outputs[i].isdigit() and outputs[i + 1].isdigit() and (w.isdigit() or following.isdigit())
+                between = run[end:after]
+                if not figures or not any(c in apart for c in between):
+                    yield offset + end, offset + after, ""
+                elif "," not in between:
+                    yield offset + end, offset + after, " "
 
     def marks(self, text: str):
         if not self.bracket.search(text):
@@ -199,12 +219,27 @@ class Transducers:
     def spans(self, text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
         """Plain spans, and the spans that only normalising shows, both by kind and start."""
         base = plain(text)
-        layers: list[Edited] = []
-        here = text
-        for step in self.steps:
-            if edits := step(here):
-                layers.append(Edited(here, edits))
-                here = layers[-1].text
+        shaped = [Edited(text, edits)] if (edits := self.shaped(text)) else []
+        here = shaped[0].text if shaped else text
+        read = [[]]  # the edits of each reading, the first without digits
+        if not STARTS.isdisjoint(LETTERS.findall(here.lower())):
+            read += filter(None, (reading(here) for reading in self.readings))
+        added: list[tuple[str, int, int]] = []
+        seen = set()
+        for digits in read:
+            layers = [*shaped, Edited(here, digits)] if digits else list(shaped)
+            told = layers[-1].text if layers else text
+            if told in seen:
+                continue
+            seen.add(told)
+            if edits := self.marks(told):
+                layers.append(Edited(told, edits))
+            mapped = self._mapped(text, layers[-1].text if layers else text, layers)
+            added += [span for kind in KINDS for span in _uncovered(kind, base + added, mapped)]
+        return base, sorted(added, key=lambda s: (KINDS.index(s[0]), *s[1:]))
+
+    def _mapped(self, text: str, here: str, layers: list[Edited]) -> list[tuple[str, int, int]]:
+        """What is found in an outcome, in places of the source."""
         found = plain(here) if layers else []
         found += [("card", *m.span()) for run in CARD.finditer(here) if len(run.group()) > 19 for m in CARD_WORD.finditer(here, *run.span()) if luhn(_digits(m.group()))]
         mapped = []
@@ -212,8 +247,7 @@ class Transducers:
             for layer in reversed(layers):
                 start, end = layer.back(start, end)
             mapped.append((kind, start, _trimmed(text, start, end)))
-        added = [span for kind in KINDS for span in _uncovered(kind, base, mapped)]
-        return base, added
+        return mapped
 
 
 def _trimmed(text: str, start: int, end: int) -> int:

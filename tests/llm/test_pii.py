@@ -85,6 +85,28 @@ def test_covered_spans_are_not_added(found):
     assert found.spans("é a@b.cd and 10.0.0.1 ａ")[1] == []
 
 
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("plus 49 151 1234 5678", "phone"),
+        ("192 dot 168 dot 1 dot 1", "ip"),
+        ("192 dot one six eight dot 1 dot 1", "ip"),
+        ("19 two dot one six eight dot 1 dot 1", "ip"),
+        ("one nine two dot one six eight dot one dot five", "ip"),
+        ("jane at one dot two dot three dot com", "email"),
+    ],
+)
+@pytest.mark.parametrize("around", ["{}", "one day: {}; nothing", "see {}", "5, {}", "{}, 2000 users", "{}; seven of them"])
+def test_runs_depend_on_themselves_only(found, text, kind, around):
+    whole = around.format(text)
+    base, added = found.spans(whole)
+    assert (kind, text) in [(k, whole[a:b]) for k, a, b in base + added]
+
+
+def test_figures_alone_are_no_run(found):
+    assert found.spans("in 2019, 2020, 2021 and 10 20 30 40, un 5") == ([], [])
+
+
 def test_cards_side_by_side(found):
     text = "pay 7536784127813050 4845168114407329 ok"
     assert [text[a:b] for _, a, b in found.spans(text)[1]] == [w for w in text.split() if len(w) == 16 and passes(digits(w))]
