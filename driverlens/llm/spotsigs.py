@@ -7,7 +7,8 @@ signature has its whole word sequence as one, and a text without words has the e
 
 Likeness is the Jaccard index. Sets fall into length classes whose bounds grow by 1/similarity,
 so only equal or adjacent classes can reach the similarity, and a pair whose lengths differ too
-much is pruned without comparing. Two empty sets are alike.
+much is pruned without comparing. No operator here partitions by class or joins by likeness: the
+query's contract fixes the pairs and asks for every likeness. Two empty sets are alike.
 
 Null text counts as empty, a null id as the smallest id. Ties and repeated rows are ordered by
 text. Extra columns are left alone. An empty table gives no rows.
