@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driverlens.llm import bpe, chat, credentials, decontaminate, langid, pii, quality, simhash, spotsigs, warc
+from driverlens.llm import bpe, chat, credentials, decontaminate, hardnegatives, hashforest, langid, pii, quality, simhash, spotsigs, vectors, warc, whitening
 from driverlens.llm.common import table
 from driverlens.session import scratch_path
 
@@ -151,3 +151,51 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = quality.predict(docs, quality.fit(docs, table(spark, sf_dir, "labels")), drop=("text",))
     return found.select("doc_id", F.coalesce(langid.held_out(F.col("doc_id"), 3, 1), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows, components=8)
+    made = whitening.transform(rows, model).drop("embedding")
+    error = whitening.identity_error(made, model)
+    shares = F.array(*(F.lit(s) for s in model.shares())) if model.shares() else F.lit(None).cast("array<double>")
+    long = made.select("vec_id", F.lit(model.n).cast("bigint").alias("n"), F.expr("try_cast(deviation AS BIGINT)").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+    return long.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", shares[F.col("at")].alias("explained"), F.lit(error).alias("identity_error"))
+
+
+def _whole_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as whole numbers; every seventh id has the next label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.when(vectors.finite(F.col("embedding")), F.transform(F.col("embedding").cast("array<double>"), lambda x: F.floor(x * 256)))
+    return table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), whole.alias("v"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardnegatives.mine(_whole_vectors(spark, sf_dir), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, r.label = a.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM r AS a JOIN r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS place
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(place AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE place <= 10
+"""
+
+
+@query
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hashforest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
