@@ -261,6 +261,18 @@ ORACLE: dict[str, str] = {
         f"""w AS (SELECT cluster_id, ts_us, count(*) OVER w3 AS c, sum(batch_id) OVER w3 AS s FROM rec WINDOW w3 AS {frame(4320)})""",
         select="SELECT DISTINCT cluster_id, ts_us, round(CAST(s AS DOUBLE) / 3 / c, 6) AS avg_value FROM w WHERE c >= 3",
     ),
+    "window_avg_of_extremes": sql(
+        EV, REC,
+        f"""w AS (
+          SELECT cluster_id, ts_us, CAST(substr(id, 3) AS BIGINT) % 5 AS kind, count(*) OVER w3 AS c, sum(batch_id) OVER w3 AS s,
+                 sum(CASE WHEN batch_id % 2 = 1 THEN batch_id END) OVER w3 AS odd FROM rec WINDOW w3 AS {frame(4320)}),
+        v AS (
+          SELECT DISTINCT cluster_id, ts_us, CASE WHEN c >= 3 THEN
+            CASE WHEN kind = 4 AND odd IS NULL THEN CAST(s AS DOUBLE) / c * pow(2.0::DOUBLE, -900)
+                 WHEN kind = 4 THEN CAST(odd AS DOUBLE) / c * pow(2.0::DOUBLE, 900)
+                 ELSE CAST(s AS DOUBLE) / c * pow(2.0::DOUBLE, CASE kind WHEN 0 THEN -1000 WHEN 1 THEN -60 WHEN 2 THEN 0 ELSE 1000 END) END END AS avg_value FROM w)""",
+        select="SELECT cluster_id, ts_us, coalesce(avg_value > 0, false) AS holds, avg_value FROM v",
+    ),
     "source_metric_shapes": sql(
         EV,
         select="""SELECT event_id, CASE WHEN event_id % 11 IN (0, 7, 9) THEN CAST(k AS DOUBLE) END AS k,
@@ -486,6 +498,16 @@ ORACLE: dict[str, str] = {
     ),
     "decisions": DECISIONS,
     "decisions_sliced": DECISIONS,
+    "decisions_alternating": sql(
+        EV, REC,
+        "rules(rule_ord, rule_name, target, cooldown_minutes) AS (VALUES (1, 'up', 8, 1440), (2, 'down', 2, 2880))",
+        "times AS (SELECT DISTINCT cluster_id, ts_us FROM rec)",
+        """matched AS (SELECT cluster_id, '' AS id, 0 AS batch_id, ts_us, '' AS ts_raw,
+          CAST(2 - row_number() OVER (PARTITION BY cluster_id ORDER BY ts_us) % 2 AS INTEGER) AS rule_ord, '' AS rule_name FROM times)""",
+        WALK,
+        select="""SELECT cluster_id, ts_us, rule_ord, CAST(cur AS BIGINT) AS current_workers, last_us AS last_decision_us,
+          last_us + cooldown_us AS cooldown_until_us, outcome FROM walked""",
+    ),
     # validation
     "rule_problems": sql(
         EV, RAW_RULES,

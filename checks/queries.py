@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driverlens import fixtures as X
@@ -18,6 +18,7 @@ from driverlens.operators import recordset as RS
 from driverlens.operators import rules as RU
 from driverlens.operators import trace as T
 from driverlens.operators import windows as WI
+from driverlens.operators.gates import walk_ticks
 from driverlens.plans.decide import decide, decide_from_logs, decision_points, store_ticks
 from driverlens.session import materialize, scratch_path
 from driverlens.sources import control as C
@@ -435,6 +436,23 @@ def window_avg_of_fractions(spark, sf_dir):
     return verdicts.where("avg_value IS NOT NULL").select("cluster_id", "ts_us", F.round("avg_value", 6).alias("avg_value"))
 
 
+def _extremes() -> dict[int, float]:
+    return {0: 2.0**-1000, 1: 2.0**-60, 2: 1.0, 3: 2.0**1000, 4: 2.0**900}
+
+
+@query
+def window_avg_of_extremes(spark, sf_dir):
+    """Averages of values from 1e-300 to 1e300; a fifth of the clusters has both ends in one window."""
+    records = X.progress_from_events(spark, sf_dir)
+    kind, batch = F.pmod(F.substring("id", 3, 20).cast("bigint"), F.lit(5)), F.col("batch_id")
+    scale = F.element_at(F.array(*[F.lit(v) for _, v in sorted(_extremes().items())]), (kind + 1).cast("int"))
+    value = batch * F.when((kind == 4) & (batch % 2 == 0), F.lit(2.0**-900)).otherwise(scale)
+    rule = RU.Rule("w", "wide", "avg", "gt", 0, 4320, 3, 1, 0)
+    records = records.withColumn("metrics", F.create_map(F.lit("wide"), value)).repartition(7)
+    verdicts = WI.evaluate(store_ticks(records, [rule]), [rule]).select("cluster_id", "ts_us", F.inline("verdicts"))
+    return verdicts.select("cluster_id", "ts_us", "holds", F.col("aggregate").alias("avg_value"))
+
+
 @query
 def window_max(spark, sf_dir):
     return _window(spark, sf_dir, "max")
@@ -479,6 +497,16 @@ def decisions(spark, sf_dir):
     return decide(X.repeated_progress(spark, sf_dir), X.initial_states(spark, sf_dir), X.RULES).select(*DECISION)
 
 
+@query
+def decisions_alternating(spark, sf_dir):
+    """Two rules in turn for ever, in slices of a few ticks: histories that never merge."""
+    times = X.progress_from_events(spark, sf_dir).select("cluster_id", "ts_us").distinct()
+    turn = F.row_number().over(Window.partitionBy("cluster_id").orderBy("ts_us")) % 2
+    rules = [RU.Rule("up", "m", "max", "gt", 0, 1, 1, 8, 1440), RU.Rule("down", "m", "max", "gt", 0, 1, 1, 2, 2880)]
+    walked = walk_ticks(times.withColumn("rule_ord", (2 - turn).cast("int")), X.initial_states(spark, sf_dir), rules, slice_ticks=8)
+    return walked.select("cluster_id", "ts_us", "rule_ord", "current_workers", "last_decision_us", "cooldown_until_us", "outcome")
+
+
 @query
 def decisions_sliced(spark, sf_dir):
     """The same, with every cluster treated as hot: walked in slices of a few ticks."""

@@ -2,16 +2,18 @@
 
 State per cluster is (workers, time of the last decision). At a matched tick with rule r:
 blocked if r's target equals the workers, else blocked if T < last + r's cooldown, else a
-decision. Each decision changes what follows, so a walk is sequential by nature, but not
-over a whole cluster in one task: every cluster is cut into time slices (a small one into a
-single slice) that are walked in parallel from a guessed state.
-
-A slice that makes no decision passes its entry state on, so a slice's true entry is the exit
-of the last slice before it that decided; one window over the table of slices finds it. Slices
-that were walked from another state are walked again, unless the two states can't be told
-apart there: the workers agree and every cooldown from either decision is over before the
-slice begins. The check makes the result exact whatever the data; where one rule keeps
-holding, or histories merge after a few cooldowns, two or three rounds settle all slices.
+decision. Each decision changes what follows, so a walk looks sequential, but right after a
+decision the state depends on that tick alone, and so does the next decision: every tick has one
+successor. That makes a graph, and the walk is the path through it from the initial state.
+
+Every cluster is cut into time slices (a small one is a single slice, walked at once). One pass
+over the slices follows successors inside each, from every tick at the same time, to the last
+decision that a walk through that tick makes there: the state it leaves the slice in. States that no later tick can tell
+apart are one. Window functions find the tick at which each such state decides next, in whatever slice, which links
+states to states. The path from the initial state is then found by pointer doubling: each round
+doubles the number of decisive slices known, so rounds grow with the logarithm of their number
+whatever the rules do. The states on the path are the true entry states of the slices, which are then
+walked in parallel.
 """
 
 from __future__ import annotations
@@ -29,10 +31,12 @@ from driverlens.operators.rules import Rule
 from driverlens.session import materialize
 
 SLICE_TICKS = 250_000
+EXIT_ROWS = 10_000  # ticks in a batch on the way out
 NEVER = -(1 << 62)  # "no decision yet" while walking
 
 SLICE_KEY = ["cluster_id", "slice"]
-EXIT_SCHEMA = "cluster_id STRING, slice BIGINT, decided BOOLEAN, exit_workers BIGINT, exit_us BIGINT"
+EXIT_SCHEMA = "cluster_id STRING, slice BIGINT, ts_us BIGINT, rule_ord INT, exit_workers BIGINT, exit_us BIGINT"
+HOUR_US = 60 * MINUTE_US
 TRACE_COLUMNS = "current_workers BIGINT, last_decision_us BIGINT, cooldown_until_us BIGINT, outcome STRING"
 OUTCOMES = ("decision", "blocked_idempotence", "blocked_cooldown")
 
@@ -60,24 +64,49 @@ class _SliceWalker:
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *fresh], names=names)
 
     def exits(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per slice: whether it decided, and the state after its last decision."""
-        names = [part.split()[0] for part in EXIT_SCHEMA.split(", ")]
-        open_slice = None
-        for batch, _, _, _, made, starts, state in self._walk(batches):
-            done = []
-            for k, start in enumerate(starts):
-                end = starts[k + 1] if k + 1 < len(starts) else batch.num_rows
-                key = (batch.column("cluster_id")[int(start)].as_py(), batch.column("slice")[int(start)].as_py())
-                decided = bool(made[start:end].any())
-                if open_slice and open_slice[:2] == key:
-                    decided |= open_slice[2]
-                elif open_slice:
-                    done.append(open_slice)
-                open_slice = (*key, decided, *state[k])
-            if done:
-                yield _batch(done, names)
-        if open_slice:
-            yield _batch([open_slice], names)
+        """Per tick the state in which a walk that decides there leaves the slice."""
+        for cluster, piece, ts, rule in self._whole_slices(batches):
+            end, target = len(ts), self.targets[rule]
+            last = np.full(end, end)
+            for r in np.unique(rule):
+                at = np.flatnonzero(rule == r)
+                after = np.searchsorted(ts[at], np.maximum(ts + self.cooldowns[r], ts + 1))
+                follower = np.append(at, end)[after]
+                last = np.minimum(last, np.where(target == self.targets[r], end, follower))
+            last = np.where(last == end, np.arange(end), last)
+            while True:  # jump over jumps: log2(ticks) rounds
+                further = last[last]
+                if (further == last).all():
+                    break
+                last = further
+            columns = [np.full(end, piece), ts, rule + 1, target[last], ts[last]]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+            for start in range(0, end, EXIT_ROWS):
+                part = slice(start, start + EXIT_ROWS)
+                arrays = [pa.array(c[part], t) for c, t in zip(columns, types)]
+                names = [field.split()[0] for field in EXIT_SCHEMA.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array([cluster] * len(arrays[0]), pa.string()), *arrays], names=names)
+
+    @staticmethod
+    def _whole_slices(batches: Iterator[pa.RecordBatch]):
+        """The ticks of one slice after another, from sorted batches."""
+        key, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            clusters, pieces = batch.column("cluster_id"), _integers(batch, "slice")
+            ts, rule = _integers(batch, "ts_us"), _integers(batch, "rule_ord") - 1
+            codes = clusters.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((np.diff(codes) != 0) | (np.diff(pieces) != 0)) + 1
+            for a, b in zip([0, *edges], [*edges, batch.num_rows]):
+                here = (clusters[int(a)].as_py(), int(pieces[a]))
+                if here != key and held:
+                    yield (*key, *map(np.concatenate, zip(*held)))
+                    held = []
+                key = here
+                held.append((ts[a:b], rule[a:b]))
+        if held:
+            yield (*key, *map(np.concatenate, zip(*held)))
 
     def _walk(self, batches: Iterator[pa.RecordBatch]):
         """Per batch: state before each tick, which ticks decide, where slices start, and the state each ends in."""
@@ -126,11 +155,6 @@ def _integers(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    types = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
-
-
 def _sorted_slices(ticks: DataFrame, enter: DataFrame, keys: list[str]) -> DataFrame:
     """Ticks with the state their slice is entered in, one slice after another per task.
 
@@ -156,9 +180,12 @@ def walk_ticks(matched: DataFrame, initial: DataFrame, rules: list[Rule], slice_
     """
     start = initial.select("cluster_id", F.col("workers").cast("bigint").alias("enter_workers"), F.col("last_us").alias("enter_us"))
     walker = _SliceWalker(rules)
-    slices = materialize(_sliced(materialize(matched, "matched"), slice_ticks), "sliced")
-    longest = max((r.cooldown_minutes for r in rules), default=0) * MINUTE_US
-    return _traced(_sorted_slices(slices, _settled_entries(slices, start, walker, longest), SLICE_KEY), walker)
+    stored = materialize(matched, "matched")
+    largest = stored.groupBy("cluster_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest <= slice_ticks:  # a slice a cluster: nothing to link
+        return _traced(_sorted_slices(stored.withColumn("slice", F.lit(0).cast("bigint")), start, ["cluster_id"]), walker)
+    slices = materialize(_sliced(stored, slice_ticks), "sliced")
+    return _traced(_sorted_slices(slices, _entries(slices, start, walker, rules), SLICE_KEY), walker)
 
 
 def _sliced(ticks: DataFrame, slice_ticks: int) -> DataFrame:
@@ -179,37 +206,88 @@ def _traced(prepared: DataFrame, walker: _SliceWalker) -> DataFrame:
     return prepared.mapInArrow(walker.trace, f"{_schema(kept)}, {TRACE_COLUMNS}").drop("slice")
 
 
-def _settled_entries(slices: DataFrame, start: DataFrame, walker: _SliceWalker, longest_us: int) -> DataFrame:
-    """The true entry state of every slice. All tables here have one row per slice."""
+def _entries(slices: DataFrame, start: DataFrame, walker: _SliceWalker, rules: list[Rule]) -> DataFrame:
+    """The true entry state of every slice, over the path of states from the initial one."""
+    slices = slices.join(start.select("cluster_id"), "cluster_id", "left_semi")
+    spans = materialize(slices.groupBy(*SLICE_KEY).agg(F.min("ts_us").alias("begin_us"), F.max("ts_us").alias("end_us")), "spans")
+    in_order = slices.select(*SLICE_KEY, "ts_us", "rule_ord").repartition(*SLICE_KEY).sortWithinPartitions(*SLICE_KEY, "ts_us")
+    exits = materialize(in_order.mapInArrow(walker.exits, EXIT_SCHEMA), "exits")
 
-    def walked_from(entries: DataFrame) -> DataFrame:
-        return _sorted_slices(slices, entries, SLICE_KEY).mapInArrow(walker.exits, EXIT_SCHEMA)
+    # A state left in slice s. Later ticks begin at ``next_us`` and can't tell decisions apart whose
+    # cooldowns are all over by then, so those share the time at which the longest one would just be over.
+    longest = max((r.cooldown_minutes for r in rules), default=0) * MINUTE_US
+    following = F.lead("begin_us").over(W.partitionBy("cluster_id").orderBy("slice"))
+    ends = spans.select(*SLICE_KEY, following.alias("next_us"))
+    seen_us = F.greatest(F.col("exit_us"), F.col("next_us") - longest)
+    left = exits.join(ends, SLICE_KEY).where(F.col("next_us").isNotNull()).withColumn("seen_us", seen_us)
+    node = F.struct("slice", F.col("exit_workers").alias("workers"), "seen_us")
+    states = left.select("cluster_id", node.alias("node")).distinct()
+    initial = start.select("cluster_id", F.struct(F.lit(-1).cast("bigint").alias("slice"), F.col("enter_workers").alias("workers"), F.coalesce("enter_us", F.lit(NEVER)).alias("seen_us")).alias("node"))
+
+    # Where a state decides next, and the state in which that walk leaves the slice; in a cluster's last slice it
+    # leads nowhere further.
+    deciding = _next_decisions(states.unionByName(initial), slices, spans, rules)
+    arrived = deciding.join(exits.select("cluster_id", "ts_us", "slice", "exit_workers", "exit_us"), ["cluster_id", "ts_us"])
+    reached = arrived.join(ends, SLICE_KEY)
+    to = F.when(F.col("next_us").isNotNull(), F.struct("slice", F.col("exit_workers").alias("workers"), seen_us.alias("seen_us")))
+    edges = materialize(reached.select("cluster_id", "node", to.alias("to"), "slice", "exit_workers", "exit_us"), "edges")
+    jumps = edges.select("cluster_id", "node", "to").where(F.col("to").isNotNull())
+    path, known = materialize(initial, "path"), -1
+    while (count := path.count()) != known:
+        known = count
+        further = jumps.join(path, ["cluster_id", "node"]).select("cluster_id", F.col("to").alias("node"))
+        path = materialize(path.union(further).distinct(), "path")
+        over = jumps.select("cluster_id", F.col("node").alias("to"), F.col("to").alias("beyond"))
+        jumps = materialize(jumps.join(over, ["cluster_id", "to"]).select("cluster_id", "node", F.col("beyond").alias("to")), "jumps")
+
+    # A slice is entered in the state left by the last slice before it in which the path decided.
+    made = edges.join(path, ["cluster_id", "node"], "left_semi").select(*SLICE_KEY, F.struct("exit_workers", "exit_us").alias("left"))
+    before = W.partitionBy("cluster_id").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
+    entered = spans.select(*SLICE_KEY).join(made, SLICE_KEY, "left").withColumn("left", F.last("left", ignorenulls=True).over(before))
+    return entered.join(start, "cluster_id").select(
+        *SLICE_KEY,
+        F.coalesce("left.exit_workers", "enter_workers").alias("enter_workers"),
+        F.when(F.col("left").isNotNull(), F.col("left.exit_us")).otherwise(F.col("enter_us")).alias("enter_us"),
+    )
 
-    keys = slices.groupBy(*SLICE_KEY).agg(F.min("ts_us").alias("begin_us")).join(start, "cluster_id")
-    first = walked_from(keys.drop("begin_us"))
-    state = materialize(keys.withColumnsRenamed({"enter_workers": "from_workers", "enter_us": "from_us"}).join(first, SLICE_KEY), "slices")
-    earlier = W.partitionBy("cluster_id").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
-    left = F.last(F.when(F.col("decided"), F.struct("exit_workers", "exit_us")), ignorenulls=True).over(earlier)
-    over = F.col("begin_us") - longest_us
 
-    def past(last: str) -> Column:
-        return F.coalesce(F.col(last) <= over, F.lit(True))
+def _next_decisions(states: DataFrame, slices: DataFrame, spans: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``cluster_id, node, ts_us``: the tick at which a state decides next, if any.
 
-    same = (F.col("from_workers") == F.col("enter_workers")) & (F.col("from_us").eqNullSafe(F.col("enter_us")) | (past("from_us") & past("enter_us")))
-    while True:
-        linked = state.withColumn("left", left).join(start, "cluster_id").withColumns(
-            {
-                "enter_workers": F.coalesce("left.exit_workers", "enter_workers"),
-                "enter_us": F.when(F.col("left").isNotNull(), F.col("left.exit_us")).otherwise(F.col("enter_us")),
-            }
-        ).drop("left")
-        wrong = linked.filter(~same).select(*SLICE_KEY, "enter_workers", "enter_us")
-        if wrong.isEmpty():
-            return linked.select(*SLICE_KEY, "enter_workers", "enter_us")
-        again = linked.filter(~same).drop("from_workers", "from_us", "decided", "exit_workers", "exit_us").join(walked_from(wrong), SLICE_KEY)
-        right = linked.filter(same).drop("enter_workers", "enter_us")
-        renamed = again.withColumnsRenamed({"enter_workers": "from_workers", "enter_us": "from_us"})
-        state = materialize(right.unionByName(renamed.select(*right.columns)), "slices")
+    For every rule of another target that is the rule's first tick from the end of its cooldown on. The slice of that
+    time is looked up by hours, the tick in the slice by a running minimum from the right; a slice without one
+    passes on to the rule's first tick in a later slice.
+    """
+    others = F.array(*[F.struct(F.lit(i).alias("rule_ord"), F.lit(r.target_workers).alias("target"), F.lit(r.cooldown_minutes * MINUTE_US).alias("cooldown")) for i, r in enumerate(rules, 1)])
+    seen = F.col("node.seen_us")
+    # Nothing before the next slice counts: a state holds from there on.
+    begins = W.partitionBy("cluster_id").orderBy("slice")
+    next_slices = spans.select("cluster_id", "begin_us", F.coalesce(F.lag("slice").over(begins), F.lit(-1)).alias("slice"))
+    probes = (
+        states.withColumn("slice", F.col("node.slice"))
+        .join(next_slices, SLICE_KEY)
+        .select("cluster_id", "node", "begin_us", F.explode(others).alias("r"))
+        .where(F.col("r.target") != F.col("node.workers"))
+        .select("cluster_id", "node", F.col("r.rule_ord").alias("rule_ord"), F.greatest(F.when(seen == NEVER, F.col("begin_us")).otherwise(seen + F.col("r.cooldown")), F.col("begin_us")).alias("at"))
+    )
+    until = F.coalesce(F.lead("begin_us").over(begins) - 1, F.col("end_us"))
+    hour = lambda c: F.floor(c / F.lit(HOUR_US))
+    hours = spans.select(*SLICE_KEY, "begin_us", until.alias("until_us")).withColumn("hour", F.explode(F.sequence(hour(F.col("begin_us")), hour(F.col("until_us")))))
+    placed = probes.withColumn("hour", hour(F.col("at"))).join(hours, ["cluster_id", "hour"])
+    placed = placed.where((F.col("at") >= F.col("begin_us")) & (F.col("at") <= F.col("until_us"))).select(*SLICE_KEY, "rule_ord", "at", "node")
+
+    group = [*SLICE_KEY, "rule_ord"]
+    rows = placed.withColumn("tick", F.lit(None).cast("bigint")).unionByName(
+        slices.select(*group, F.col("ts_us").alias("at"), F.lit(None).cast("struct<slice:bigint,workers:bigint,seen_us:bigint>").alias("node"), F.col("ts_us").alias("tick"))
+    )
+    from_right = W.partitionBy(*group).orderBy(-F.col("at")).rangeBetween(W.unboundedPreceding, W.currentRow)
+    here = rows.withColumn("tick", F.min("tick").over(from_right)).where(F.col("node").isNotNull())
+    firsts = slices.groupBy(*group).agg(F.min("ts_us").alias("first_us"))
+    all_rules = spans.select(*SLICE_KEY, F.explode(F.array(*[F.lit(i) for i in range(1, len(rules) + 1)])).alias("rule_ord"))
+    later = F.min("first_us").over(W.partitionBy("cluster_id", "rule_ord").orderBy(F.desc("slice")).rowsBetween(W.unboundedPreceding, -1))
+    firsts = all_rules.join(firsts, group, "left").withColumn("later_us", later).drop("first_us")
+    found = here.join(firsts, group).select("cluster_id", "node", F.coalesce("tick", "later_us").alias("ts_us"))
+    return found.groupBy("cluster_id", "node").agg(F.min("ts_us").alias("ts_us")).where(F.col("ts_us").isNotNull())
 
 
 def decisions(walked: DataFrame, tick_table: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -8,10 +8,17 @@ distinct time, and the cost does not depend on how many records pile up on one k
 2. rule windows are whole minutes, so ``(T - w, T]`` splits into the part of T's own minute
    up to T, ``w - 1`` whole minutes, and the part of minute ``m - w`` after ``T - w``. The
    first and last are running aggregates inside one minute, the middle runs over one row
-   per minute. No frame is ever re-aggregated per record, and the units of work are one
+   per minute. No frame is ever re-aggregated: every frame starts at the edge of its partition and only
+   grows, so a row costs the same however wide the window is. Counts and sums are differences of two
+   running sums; a maximum is that of a running one from the left and one from the right inside
+   blocks as long as the window, of which it meets two at most. The units of work are one
    ``(cluster, minute)`` and one ``(cluster, two widest windows)`` of minute rows, so a cluster
    holding a third of the data spreads over all tasks;
 3. the parts meet again at the tick, joined by their keys only.
+
+Averages are exact up to one last rounding, for any finite doubles in any order: a sum is kept as
+whole numbers, one per *limb* of ``LIMB`` bits of the range of doubles. Only limbs that some value reaches are
+columns; a table of ticks has the columns for ``TYPICAL`` values, or for those that are there (see ``plans.store_ticks``).
 """
 
 from __future__ import annotations
@@ -29,20 +36,97 @@ TICK_KEY = ["cluster_id", "ts_us"]
 VERDICT = (
     "struct<rule_ord:int,rule_name:string,holds:boolean,records_in_window:bigint,records_with_metric:bigint,aggregate:double>"
 )
-# Sums for averages are kept as whole part and fraction in decimals: they are exact, so the order
-# in which partitions and replays add does not show in the result.
-WHOLE, FRACTION = "decimal(38,0)", "decimal(38,15)"
-PARTS_OF_AGGREGATION = {"avg": ("whole", "fraction"), "max": ("max",), "min": ("min",), "last": ("last",)}
-FOLDS = {"count": F.sum, "whole": F.sum, "fraction": F.sum, "max": F.max, "min": F.min}
+LIMB = 24  # bits; a sum of 2^39 values still fits a long
+LOWEST = -1074  # exponent of the smallest double, where limb 0 begins
+TYPICAL = frozenset(range(41, 47))  # limbs of values between 1e-10 and 1e15
+HALF = 44  # limbs told by one mask
+FOLDS = {"count": F.sum, "limb": F.sum, "max": F.max, "min": F.min}
+
+
+def _power(exponent: int) -> float:
+    return 2.0**exponent
+
+
+def _limb(value: Column, limb: int) -> Column:
+    """The bits of a double from ``2^place`` on, as a signed whole number below ``2^LIMB``."""
+    place = LOWEST + LIMB * limb
+    half = -place // 2  # two steps, as 2^1074 is no double
+    scaled = value * F.lit(_power(half)) * F.lit(_power(-place - half))
+    below = F.abs(value) < F.lit(_power(min(place + LIMB + 53, 1023))) if place + LIMB + 53 <= 1023 else F.lit(True)
+    return F.when(below, (scaled % F.lit(_power(LIMB))).cast("bigint")).otherwise(F.when(value.isNotNull(), F.lit(0).cast("bigint")))
+
+
+def _masks(value: Column) -> tuple[Column, Column]:
+    """Which limb a value begins in, as a bit of one of two masks; it ends three limbs later at most."""
+    begin = F.floor((F.floor(F.log2(F.abs(value))) - (53 + LOWEST)) / LIMB)
+    begin = F.when(value != 0, F.greatest(begin, F.lit(0)).cast("int"))
+    one = F.lit(1).cast("bigint")
+    return (
+        F.when(begin < HALF, F.call_function("shiftleft", one, begin)),
+        F.when(begin >= HALF, F.call_function("shiftleft", one, begin - HALF)),
+    )
+
+
+def limbs_seen(records: DataFrame, rules: list[Rule]) -> list[Column]:
+    """Aggregates over records that ``limbs_of`` turns into the set of limbs their averages need."""
+    pairs = [_masks(F.col("metrics")[m]) for m in sorted({r.metric for r in rules if r.aggregation == "avg"})]
+    none = F.lit(0).cast("bigint")
+    return [F.bit_or(_ored([F.coalesce(p[i], none) for p in pairs])).alias(f"limbs{i}") for i in (0, 1)] if pairs else []
+
+
+def _ored(columns: list[Column]) -> Column:
+    out = columns[0]
+    for column in columns[1:]:
+        out = out.bitwiseOR(column)
+    return out
+
+
+def limbs_of(low: int | None, high: int | None) -> frozenset[int]:
+    begins = [i for i in range(HALF) if (low or 0) >> i & 1] + [i + HALF for i in range(HALF) if (high or 0) >> i & 1]
+    return frozenset(limb for b in begins for limb in range(b, b + 4))
+
+
+def average(limbs: dict[int, Column], count: Column) -> Column:
+    """Fold sums of limbs into one double and divide it.
+
+    Carries go up first, so every limb is a digit; a negative sum is folded as the opposite of a
+    positive one. A sum that may exceed the largest double is folded at a smaller scale.
+    """
+    none = F.lit(0).cast("bigint")
+    places = range(min(limbs), max(limbs) + 3)  # sums of top limbs carry over two more
+    sums = F.array(*[F.coalesce(limbs[i], none) if i in limbs else none for i in places])
+
+    def folded(shift: int) -> Column:
+        exponents = [LOWEST + LIMB * i - shift for i in places]
+        weights = F.array(*[F.lit(_power(e) if -1074 <= e <= 1000 else 0.0) for e in exponents])
+        rows = F.arrays_zip(sums.alias("sum"), weights.alias("weight"))
+
+        def signed(sign: int) -> Column:
+            def add(state, row):
+                here = row["sum"] * sign + state["carry"]
+                digit = here.bitwiseAND(F.lit((1 << LIMB) - 1).cast("bigint"))
+                total = state["total"] + digit.cast("double") * row["weight"]
+                return F.struct(F.shiftright(here, LIMB).alias("carry"), total.alias("total"))
+
+            return F.aggregate(rows, F.struct(none.alias("carry"), F.lit(0.0).alias("total")), add)
+
+        return F.when(signed(1)["carry"] >= 0, signed(1)["total"]).otherwise(-signed(-1)["total"])
+
+    plain = F.try_divide(folded(0), count)
+    if LOWEST + LIMB * (max(limbs) + 3) <= 1000:
+        return plain
+    small = F.try_divide(folded(128), count)
+    return F.when(F.abs(small) < F.lit(_power(300)), plain).otherwise(small * F.lit(_power(128)))
 
 
 @dataclass(frozen=True)
 class Part:
-    """One partial aggregate: ``records`` in the window, or a metric's count, sum (in two parts), max, min or last."""
+    """One partial aggregate: ``records`` in the window, or a metric's count, limb of its sum, max, min or last."""
 
     kind: str
     metric: str | None = None
     name: str = "records"
+    limb: int = 0
 
     def over(self, spec, newest_first: bool = False) -> Column:
         column = F.col(self.name)
@@ -57,11 +141,8 @@ class Part:
         value = F.col("metrics")[self.metric]
         if self.kind == "last":
             return F.max_by(value, F.when(value.isNotNull(), F.struct("batch_id", "id")))
-        whole = value.try_cast(WHOLE)
-        if self.kind == "whole":
-            return F.sum(whole)
-        if self.kind == "fraction":
-            return F.sum((value - whole.cast("double")).cast(FRACTION))
+        if self.kind == "limb":
+            return F.sum(_limb(value, self.limb))
         return {"count": F.count, "max": F.max, "min": F.min}[self.kind](value)
 
     def of_minute(self) -> Column:
@@ -78,7 +159,7 @@ class Part:
             return F.coalesce(newest, middle)
         if self.kind in ("max", "min"):
             return (F.greatest if self.kind == "max" else F.least)(newest, middle)
-        zero = F.lit(0).cast({"count": "bigint", "whole": WHOLE, "fraction": FRACTION}[self.kind])
+        zero = F.lit(0).cast("bigint")
         return F.coalesce(newest, zero) + F.coalesce(middle, zero)
 
     def meet(self, newer: Column, oldest: Column) -> Column:
@@ -91,32 +172,44 @@ class Part:
 RECORDS = Part("count")
 
 
-def _parts(rules: list[Rule]) -> list[Part]:
+def _parts(rules: list[Rule], limbs: frozenset[int]) -> list[Part]:
     metrics = sorted({r.metric for r in rules})
     parts = {RECORDS: None}
     for rule in rules:
         i = metrics.index(rule.metric)
-        for kind in ("count", *PARTS_OF_AGGREGATION[rule.aggregation]):
-            parts[Part(kind, rule.metric, f"m{i}_{kind}")] = None
+        parts[Part("count", rule.metric, f"m{i}_count")] = None
+        if rule.aggregation == "avg":
+            parts |= {Part("limb", rule.metric, f"m{i}_limb{limb}", limb): None for limb in sorted(limbs)}
+        else:
+            parts[Part(rule.aggregation, rule.metric, f"m{i}_{rule.aggregation}")] = None
     return list(parts)
 
 
-def _rule_parts(rule: Rule, parts: list[Part]) -> dict[str, Part]:
-    wanted = ("count", *PARTS_OF_AGGREGATION[rule.aggregation])
-    return {"records": RECORDS} | {p.kind: p for p in parts if p.metric == rule.metric and p.kind in wanted}
+def _limbs_in(tick_table: DataFrame) -> frozenset[int]:
+    """Limbs that a table of ticks has columns for."""
+    return frozenset(int(n.rpartition("_limb")[2]) for n in tick_table.columns if "_limb" in n)
+
 
+def _rule_parts(rule: Rule, parts: list[Part]) -> list[Part]:
+    wanted = ("count", "limb" if rule.aggregation == "avg" else rule.aggregation)
+    return [RECORDS, *(p for p in parts if p.metric == rule.metric and p.kind in wanted)]
 
-def ticks(records: DataFrame, rules: list[Rule]) -> DataFrame:
+
+def ticks(records: DataFrame, rules: list[Rule], limbs: frozenset[int] | None = None) -> DataFrame:
     """One row per cluster and distinct time: partial aggregates and the first record there.
 
-    ``is_point`` (optional, default true) marks records to evaluate; others are look-back.
+    ``is_point`` (optional, default true) marks records to evaluate; others are look-back. Without
+    ``limbs``, a pass over the records finds out which ones averages need.
     """
+    if limbs is None:
+        seen = limbs_seen(records, rules)
+        limbs = (limbs_of(*records.agg(*seen).first()) or TYPICAL) if seen else frozenset()
     if "is_point" not in records.columns:
         records = records.withColumn("is_point", F.lit(True))
     return records.groupBy(*TICK_KEY).agg(
         F.count_if("is_point").alias("points"),
         F.min(F.when(F.col("is_point"), F.struct("batch_id", "id", "ts_raw"))).alias("first"),
-        *[p.of_records().alias(p.name) for p in _parts(rules)],
+        *[p.of_records().alias(p.name) for p in _parts(rules, limbs)],
     )
 
 
@@ -128,7 +221,7 @@ def evaluate(tick_table: DataFrame, rules: list[Rule]) -> DataFrame:
     """
     if not rules:  # no rule, no verdict
         return tick_table.filter(F.col("points") > 0).select(*TICK_KEY, F.lit(None).cast(f"array<{VERDICT}>").alias("verdicts"))
-    parts = _parts(rules)
+    parts = _parts(rules, _limbs_in(tick_table))
     names = [p.name for p in parts]
     widths = sorted({r.window_minutes for r in rules})
 
@@ -163,18 +256,7 @@ def evaluate(tick_table: DataFrame, rules: list[Rule]) -> DataFrame:
         .withColumn("own", own)
         .select("*", F.explode(F.array("own", F.col("own") + 1)).alias("block"))
     )
-    over_minutes = W.partitionBy("cluster_id", "block").orderBy("minute")
-    middle = minutes.select(
-        "cluster_id",
-        "minute",
-        (F.col("block") == F.col("own")).alias("is_own"),
-        *[
-            p.over(over_minutes.rangeBetween(1 - w, -1)).alias(f"middle{w}_{p.name}")
-            for w in widths
-            if w > 1
-            for p in _needed(rules, w, parts)
-        ],
-    ).filter("is_own").drop("is_own")
+    middle = _whole_minutes(minutes, {w: _needed(rules, w, parts) for w in widths if w > 1})
 
     # Bring the parts back to the tick: its row (shift 0) and its probes (shift w) fold into one.
     at_tick = F.col("shift") == 0
@@ -195,25 +277,69 @@ def evaluate(tick_table: DataFrame, rules: list[Rule]) -> DataFrame:
     return met.select(*TICK_KEY, verdicts.alias("verdicts"))
 
 
+def _whole_minutes(minutes: DataFrame, needed: dict[int, list[Part]]) -> DataFrame:
+    """Per cluster and active minute ``m``, for every width ``w``: the aggregates of minutes ``m - w + 1`` to ``m - 1``.
+
+    ``minutes`` has every row in its ``own`` block and in the next one; a row's window lies in its own block
+    and the one before.
+    """
+    block = W.partitionBy("cluster_id", "block")
+    forward = block.orderBy("minute")
+    before = forward.rowsBetween(W.unboundedPreceding, -1)
+    minute = F.col("minute")
+    runs, follows, columns = {}, {}, []
+    for w, parts in needed.items():
+        left_of = forward.rangeBetween(W.unboundedPreceding, -w)
+        size = w - 1
+        here = W.partitionBy("cluster_id", "block", F.floor(minute / size))
+        for p in parts:
+            name, value = f"middle{w}_{p.name}", F.col(p.name)
+            if p.kind in ("count", "limb"):
+                none = F.lit(0).cast("bigint")
+                made = F.coalesce(F.sum(value).over(before), none) - F.coalesce(F.sum(value).over(left_of), none)
+            elif p.kind == "last":
+                newest = F.last(F.when(value.isNotNull(), F.struct(minute.alias("at"), value.alias("value"))), ignorenulls=True).over(before)
+                made = F.when(newest["at"] > minute - w, newest["value"])
+            else:
+                fold, ahead, back = FOLDS[p.kind], f"ahead_{name}", f"back_{name}"
+                runs[back] = fold(value).over(here.orderBy("minute").rowsBetween(W.unboundedPreceding, W.currentRow))
+                runs[ahead] = fold(value).over(here.orderBy(F.desc("minute")).rowsBetween(W.unboundedPreceding, W.currentRow))
+                of_row = F.struct(minute.alias("at"), F.col(ahead).alias("value"))
+                follows[f"next_{name}"] = F.lead(of_row, 1).over(forward)
+                # The first row from m - size on is the one after the last row before it.
+                first_row = F.first(of_row).over(forward.rowsBetween(W.unboundedPreceding, W.currentRow))
+                left = F.coalesce(F.last(f"next_{name}").over(left_of), first_row)
+                right = F.lag(F.struct(minute.alias("at"), F.col(back).alias("value")), 1).over(forward)
+                from_left = F.when((left["at"] < minute) & (F.floor(left["at"] / size) == F.floor((minute - size) / size)), left["value"])
+                from_right = F.when(F.floor(right["at"] / size) == F.floor((minute - 1) / size), right["value"])
+                made = (F.greatest if p.kind == "max" else F.least)(from_left, from_right)
+            columns.append(made.alias(name))
+    kept = minutes.withColumns(runs) if runs else minutes
+    kept = kept.withColumns(follows) if follows else kept
+    out = kept.select("cluster_id", "minute", (F.col("block") == F.col("own")).alias("is_own"), *columns)
+    return out.filter("is_own").drop("is_own")
+
+
 def _needed(rules: list[Rule], width: int, parts: list[Part]) -> list[Part]:
-    wanted = {p: None for r in rules if r.window_minutes == width for p in _rule_parts(r, parts).values()}
+    wanted = {p: None for r in rules if r.window_minutes == width for p in _rule_parts(r, parts)}
     return list(wanted)
 
 
 def _verdict(rule_ord: int, rule: Rule, parts: list[Part]) -> Column:
-    mine = {role: F.col(f"w{rule.window_minutes}_{p.name}") for role, p in _rule_parts(rule, parts).items()}
-    with_metric = F.coalesce(mine["count"], F.lit(0).cast("bigint"))
+    mine = {p: F.col(f"w{rule.window_minutes}_{p.name}") for p in _rule_parts(rule, parts)}
+    by_kind = {p.kind: column for p, column in mine.items() if p.metric}
+    with_metric = F.coalesce(by_kind["count"], F.lit(0).cast("bigint"))
     if rule.aggregation == "avg":
-        value = F.try_divide(mine["whole"].cast("double") + mine["fraction"].cast("double"), with_metric)
+        value = average({p.limb: column for p, column in mine.items() if p.kind == "limb"}, with_metric)
     else:
-        value = mine[rule.aggregation]
+        value = by_kind[rule.aggregation]
     aggregate = F.when(with_metric >= rule.min_batches, value)
     holds = aggregate > F.lit(rule.threshold) if rule.operator == "gt" else aggregate < F.lit(rule.threshold)
     return F.struct(
         F.lit(rule_ord).alias("rule_ord"),
         F.lit(rule.name).alias("rule_name"),
         F.coalesce(holds, F.lit(False)).alias("holds"),
-        mine["records"].alias("records_in_window"),
+        mine[RECORDS].alias("records_in_window"),
         with_metric.alias("records_with_metric"),
         aggregate.alias("aggregate"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from driverlens.operators.entries import entries_from_lines, read_lines
@@ -14,7 +14,7 @@ from driverlens.operators.gates import decisions, point_outcomes, walk_ticks
 from driverlens.operators.recordset import RECORD_SCHEMA, dedup_records
 from driverlens.operators.records import progress_records
 from driverlens.operators.rules import Rule
-from driverlens.operators.windows import evaluate, matched_ticks, ticks
+from driverlens.operators.windows import TYPICAL, evaluate, limbs_of, limbs_seen, matched_ticks, ticks
 from driverlens.session import materialize, scratch_scope
 from driverlens.sources.control import read_manifest, read_rules
 from driverlens.sources.decision_table import put_decisions, read_decisions
@@ -31,8 +31,18 @@ class Walk:
 
 
 def store_ticks(records: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Ticks written once: evaluation reads them twice, decisions a third time."""
-    return materialize(ticks(records, rules), "ticks")
+    """Ticks written once: evaluation reads them twice, decisions a third time.
+
+    They are made for values of the usual size; what the same pass observes tells whether there were others,
+    and only then they are made again with the columns that exact averages of those need.
+    """
+    marks = limbs_seen(records, rules)
+    if not marks:
+        return materialize(ticks(records, rules, frozenset()), "ticks")
+    seen = Observation()
+    table = materialize(ticks(records.observe(seen, *marks), rules, TYPICAL), "ticks")
+    found = limbs_of(*(seen.get[f"limbs{i}"] for i in (0, 1)))
+    return table if found <= TYPICAL else materialize(ticks(records, rules, found), "ticks")
 
 
 def walk_records(records: DataFrame, initial: DataFrame, rules: list[Rule], **slices) -> Walk:

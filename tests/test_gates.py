@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import json
+import math
 import random
+import sys
 
 import pytest
+import definitions
 from conftest import frame, initial, raw, record, rule, us
 
 from driverlens.operators.gates import point_outcomes, walk_ticks
 from driverlens.operators.trace import decision_trace, write_trace
 from driverlens.plans.decide import decide, decision_points, walk_records
-from plain_walk import walk
 
+sys.setrecursionlimit(20_000)  # definitions look back point by point
 MINUTE = 60_000_000
 
 
@@ -45,26 +48,40 @@ def test_cooldown_of_the_matched_rule_counts(spark):
 
 
 def test_no_earlier_decision_never_blocks(spark):
-    assert outcomes(spark, [(0, 1)], [rule(cooldown_minutes=10_000)])[0][2] == "decision"
+    assert outcomes(spark, [(0, 1)], [rule(target_workers=8, cooldown_minutes=10_000)])[0][2] == "decision"
 
 
 def test_state_carried_in_from_before(spark):
-    got = outcomes(spark, [(5 * MINUTE, 1), (20 * MINUTE, 1)], [rule(cooldown_minutes=20)], workers=2, last=0)
+    got = outcomes(spark, [(5 * MINUTE, 1), (20 * MINUTE, 1)], [rule(target_workers=8, cooldown_minutes=20)], workers=2, last=0)
     assert [g[2] for g in got] == ["blocked_cooldown", "decision"]
 
 
-@pytest.mark.parametrize("pattern,slice_ticks", [("random", 40), ("alternating", 6)])
-def test_sliced_walk_equals_whole_walk(spark, pattern, slice_ticks):
-    """Alternating rules never merge histories: every guess must be repaired, slice by slice."""
-    chance = random.Random(3)
-    rules = [rule(name=str(t), target_workers=t, cooldown_minutes=c) for t, c in ((8, 3), (2, 3), (16, 1))]
-    if pattern == "random":
-        rows = [(i * 7_000_000, chance.choice((1, 2, 3))) for i in range(600)]
-    else:
-        rows = [(i * MINUTE, 1 + i % 2) for i in range(60)]
-    whole = outcomes(spark, rows, rules)
-    assert outcomes(spark, rows, rules, slice_ticks=slice_ticks) == whole
-    assert len([o for o in whole if o[2] == "decision"]) > 10
+def patterns(chance):
+    """Matched points of five kinds: rule numbers from 0, times unique."""
+    bursts = sorted({day * 1440 * MINUTE + chance.randrange(3 * MINUTE): chance.choice((0, 1, 2)) for day in range(5) for _ in range(30)}.items())
+    return {
+        "random": [(i * 37_000_000, chance.choice((0, 1, 2))) for i in range(150)],
+        "alternating": [(i * MINUTE, i % 2) for i in range(90)],
+        "bursts": bursts,  # minutes of more ticks than a slice takes, and days of nothing between them
+        "one rule": [(i * MINUTE, 2) for i in range(40)],
+        "single": [(7, 1)],
+    }
+
+
+@pytest.mark.parametrize("slice_ticks,cooldowns,targets", [(4, (3, 3, 1), (8, 2, 16)), (9, (45, 20, 200), (8, 2, 16)), (40, (7, 0, 90), (8, 2, 8))])
+def test_sliced_walk_by_definition(spark, slice_ticks, cooldowns, targets):
+    rules = [rule(name=str(i), target_workers=t, cooldown_minutes=c) for i, (t, c) in enumerate(zip(targets, cooldowns))]
+    rows, start, want = [], [], {}
+    for name, points in patterns(random.Random(3)).items():
+        for workers, last in ((4, None), (8, points[0][0] - 1), (2, points[-1][0])):
+            cluster = f"{name} {workers}"
+            rows += [(cluster, at, r + 1) for at, r in points]
+            start.append((cluster, workers, last))
+            want |= {(cluster, at): state for (at, _), state in zip(points, definitions.outcomes(points, rules, workers, last))}
+    initial_rows = spark.createDataFrame(start, "cluster_id STRING, workers BIGINT, last_us BIGINT")
+    walked = walk_ticks(matched(spark, rows), initial_rows, rules, slice_ticks=slice_ticks).collect()
+    assert {(r.cluster_id, r.ts_us): (r.current_workers, r.last_decision_us, r.outcome) for r in walked} == want
+    assert len(walked) == len(rows)
 
 
 def test_hot_and_cold_clusters_together(spark):
@@ -83,7 +100,7 @@ def test_clusters_outside_the_manifest_give_nothing(spark):
 
 # The two rules of the specification's worked example.
 WORKED = [
-    rule(name="A", threshold=300000, window_minutes=15, min_batches=3, target_workers=8, cooldown_minutes=20),
+    rule(name="A", metric="batchDuration", aggregation="avg", operator="gt", threshold=300000, window_minutes=15, min_batches=3, target_workers=8, cooldown_minutes=20),
     rule(name="B", metric="numInputRows", aggregation="max", operator="lt", threshold=1000, window_minutes=30, min_batches=5, target_workers=2, cooldown_minutes=60),
 ]
 
@@ -105,8 +122,7 @@ def load(plan):
 )
 def test_two_rules_with_their_trace(spark, workers, plan):
     records = load(plan)
-    dicts = [{"id": r[1], "batch_id": r[2], "ts_us": r[3], "metrics": r[5]} for r in records]
-    want = walk(dicts, WORKED, workers)
+    want = definitions.walk(records, WORKED, workers)
     points = decision_points(frame(spark, records), initial(spark, c=workers), WORKED)
     trace = {e.batch_id: e for e in decision_trace(points, WORKED).collect()}
     assert set(trace) == {row[0] for row in want} and want
@@ -130,8 +146,9 @@ def test_two_rules_with_their_trace(spark, workers, plan):
 
 def test_trace_is_written_as_json_lines(spark, tmp_path):
     records = [record(us(9, m), m, batchDuration=500) for m in (0, 2, 4)]
-    points = decision_points(frame(spark, records), initial(spark), [rule(threshold=100)])
-    write_trace(decision_trace(points, [rule(threshold=100)]), str(tmp_path / "trace"))
+    over = rule(name="over", metric="batchDuration", aggregation="avg", threshold=100, window_minutes=18, min_batches=3, target_workers=8, cooldown_minutes=25)
+    points = decision_points(frame(spark, records), initial(spark), [over])
+    write_trace(decision_trace(points, [over]), str(tmp_path / "trace"))
     (event,) = [json.loads(line) for f in (tmp_path / "trace").glob("*.json") for line in f.read_text().splitlines()]
     assert event["outcome"] == "decision" and "logged_at" in event
     assert event["condition"]["comparison"] == "500.0 gt 100.0"
@@ -140,7 +157,7 @@ def test_trace_is_written_as_json_lines(spark, tmp_path):
 
 def test_records_without_the_metric_are_points_too(spark):
     records = [record(us(9, m), m, batchDuration=500) for m in (0, 2)] + [record(us(9, 4), 4), record(us(9, 5), 5, batchDuration=500)]
-    made = decide(frame(spark, records), initial(spark), [rule(threshold=100, min_batches=2, window_minutes=30)]).collect()
+    made = decide(frame(spark, records), initial(spark), [rule(metric="batchDuration", threshold=100, min_batches=2, window_minutes=30, target_workers=8)]).collect()
     assert [d.decision_ts for d in made] == [raw(us(9, 2))]
 
 
@@ -161,8 +178,7 @@ def test_random_walks_agree_with_plain_python(spark):
         mine += [r[:6] + (1, r[7]) for r in chance.sample(mine, 40)]
         chance.shuffle(mine)
         records += mine
-        dicts = [{"id": r[1], "batch_id": r[2], "ts_us": r[3], "metrics": r[5]} for r in mine]
-        expected += [(cluster, *row) for row in walk(dicts, rules, 4)]
+        expected += [(cluster, *row) for row in definitions.walk(mine, rules, 4)]
     from driverlens.operators.recordset import dedup_records
 
     unique = dedup_records(frame(spark, records))
@@ -176,8 +192,9 @@ def test_random_walks_agree_with_plain_python(spark):
     assert run.decisions.count() == sum(row[-1] == "decision" for row in expected) > 20
 
 
-@pytest.mark.parametrize("count", [4, 16, 64])
-def test_a_rule_that_keeps_holding_settles_in_three_rounds(spark, monkeypatch, count):
+@pytest.mark.parametrize("count,alternating", [(4, True), (64, True), (16, False)])
+def test_rounds_grow_with_the_logarithm_of_the_slices(spark, monkeypatch, count, alternating):
+    """Whether one rule keeps holding or two that alternate never let histories merge."""
     from driverlens.operators import gates
 
     rounds = []
@@ -188,10 +205,18 @@ def test_a_rule_that_keeps_holding_settles_in_three_rounds(spark, monkeypatch, c
         return store(df, label)
 
     monkeypatch.setattr(gates, "materialize", counted)
-    rows = [(i * MINUTE, 1) for i in range(count * 5)]
-    got = outcomes(spark, rows, [rule(target_workers=8, cooldown_minutes=20)], slice_ticks=5)
-    assert [o[2] for o in got] == ["decision"] + ["blocked_idempotence"] * (len(rows) - 1)
-    assert rounds.count("slices") <= 3
+    rows = [(i * MINUTE, 1 + (i % 2 if alternating else 0)) for i in range(count * 5)]
+    rules = [rule(target_workers=8, cooldown_minutes=3), rule(target_workers=2, cooldown_minutes=3)]
+    got = outcomes(spark, rows, rules, slice_ticks=5)
+    assert got == definitions.outcomes([(at, r - 1) for at, r in rows], rules, 4)
+    assert rounds.count("path") - 1 <= math.log2(count) + 2
+
+
+def test_small_clusters_are_walked_at_once(spark, monkeypatch):
+    from driverlens.operators import gates
+
+    monkeypatch.setattr(gates, "_entries", lambda *_: pytest.fail("one slice has nothing to link"))
+    assert [o[2] for o in outcomes(spark, [(0, 1), (1, 1)], [rule(target_workers=8)])] == ["decision", "blocked_idempotence"]
 
 
 def test_no_rules_no_decisions(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from conftest import frame, initial, raw, record, rule, us
 
@@ -10,8 +12,11 @@ from driverlens.sources.decision_table import read_decisions
 from driverlens.streaming.buffered import ARRIVAL_SCHEMA, CompleteThenWalk
 from driverlens.streaming.incremental import RECORD_SCHEMA, IncrementalWalk
 
-SLOW = rule(window_minutes=10, threshold=100, cooldown_minutes=0)
-DOWN = rule(name="down", metric="numInputRows", operator="lt", threshold=5, min_batches=2, window_minutes=6, target_workers=2, cooldown_minutes=4)
+BACKLOG = rule(name="backlog", metric="backlog", aggregation="last", operator="gt", threshold=40, min_batches=2, window_minutes=14, target_workers=12, cooldown_minutes=16)
+CALM = rule(name="calm", metric="rate", aggregation="avg", operator="lt", threshold=20, min_batches=3, window_minutes=25, target_workers=3, cooldown_minutes=9)
+
+
+LONG = rule(name="long", metric="batchDuration", aggregation="min", threshold=100, min_batches=3, window_minutes=10, target_workers=8)
 
 
 def incremental(spark, tmp_path, rules, **workers):
@@ -25,43 +30,60 @@ def table(spark, tmp_path):
     return sorted((r.cluster_id, r.decision_ts, r.from_workers, r.to_workers) for r in rows)
 
 
+def daily_files(seed, clusters, files=5, minutes=50):
+    """Random records of several clusters; some are logged again in the same file or the next, some only in the next."""
+    chance, parts = random.Random(seed), [[] for _ in range(files + 1)]
+    for cluster in clusters:
+        for batch in range(files * 14):
+            minute = batch * minutes // 14
+            at = us(2, minute, chance.randrange(60_000_000))
+            level = 25 if (minute // 40) % 2 else 70
+            row = record(at, batch, cluster=cluster, backlog=level + chance.randrange(-30, 30), rate=level - chance.randrange(30))
+            own = minute // minutes
+            parts[own + (chance.random() < 0.1)].append(row)
+            if chance.random() < 0.2:
+                parts[own + chance.randrange(2)].append(row)
+    return [p for p in parts if p]
+
+
 def test_stream_equals_batch_through_a_real_query(spark, tmp_path):
-    """Three hourly files, each its own micro-batch: up, down, up again."""
-    phases = [dict(batchDuration=500, numInputRows=99), dict(batchDuration=10, numInputRows=1), dict(batchDuration=500, numInputRows=99)]
-    files = [[record(us(8 + h, m), h * 60 + m, **phases[h]) for m in range(0, 60, 4)] for h in range(3)]
-    walk = incremental(spark, tmp_path, [SLOW, DOWN])
+    files = daily_files(4, ("red", "blue"))
+    walk = incremental(spark, tmp_path, [BACKLOG, CALM], red=5, blue=12)
     for part in files:
         frame(spark, part).write.mode("append").parquet(str(tmp_path / "input"))
         stream = spark.readStream.schema(RECORD_SCHEMA).parquet(str(tmp_path / "input"))
         walk.start(stream, str(tmp_path / "checkpoint")).awaitTermination()
-    walk.finish(spark, 3)
-    whole = decide(frame(spark, [r for part in files for r in part]), initial(spark), [SLOW, DOWN]).collect()
+    walk.finish(spark, len(files))
+    every = [r for part in files for r in part]
+    whole = decide(frame(spark, every), initial(spark, red=5, blue=12), [BACKLOG, CALM]).collect()
     want = sorted((d.cluster_id, d.decision_ts, d.from_workers, d.to_workers) for d in whole)
-    assert [w[2:] for w in want] == [(4, 8), (8, 2), (2, 8)]
+    assert {w[0] for w in want} == {"red", "blue"} and {w[3] for w in want} == {3, 12}
     assert table(spark, tmp_path) == want
-    stats = walk.stats(spark, 3).first()
-    assert (stats.unique_records, stats.evaluation_points, stats.late_records) == (45, 45, 0)
-    assert stats.peak_held_records <= 2 * 15 + 4
+    for cluster in ("red", "blue"):
+        stats = walk.stats(spark, len(files)).where(f"cluster_id = '{cluster}'").first()
+        mine = [r for r in every if r[0] == cluster]
+        assert (stats.records_seen, stats.unique_records, stats.evaluation_points) == (len(mine), 70, 70)
+        assert stats.peak_held_records < 50
 
 
-def test_spilled_record_is_placed_by_its_time_and_repeats_are_safe(spark, tmp_path):
-    walk = incremental(spark, tmp_path, [SLOW])
-    first = [record(us(8, 50), 1, batchDuration=500), record(us(8, 55), 2, batchDuration=500)]
-    second = [record(us(8, 59), 3, batchDuration=500), record(us(9, 5), 4, batchDuration=500), record(us(8, 55), 2, batchDuration=500)]
-    walk.process(frame(spark, first), 0)
+def test_a_record_from_the_next_file_keeps_its_place(spark, tmp_path):
+    walk = incremental(spark, tmp_path, [BACKLOG])
+    walk.process(frame(spark, [record(us(3, 31), 20, backlog=55), record(us(3, 40), 21, backlog=10)]), 0)
     assert table(spark, tmp_path) == []  # nothing confirms the first file yet
     assert walk.pending(spark, 0).count() == 2
+    # Written late: batch 22 lies between the two, and 21 is there again.
+    following = [record(us(3, 36), 22, backlog=90), record(us(3, 40), 21, backlog=10), record(us(3, 44), 23, backlog=41)]
     for _ in range(2):
-        walk.process(frame(spark, second), 1)
+        walk.process(frame(spark, following), 1)
     for _ in range(2):
         walk.finish(spark, 2)
-    assert table(spark, tmp_path) == [("c", raw(us(8, 59)), 4, 8)]
+    assert table(spark, tmp_path) == [("c", raw(us(3, 36)), 4, 12)]
     stats = walk.stats(spark, 2).first()
     assert (stats.records_seen, stats.unique_records) == (5, 4)
 
 
 def test_state_is_pruned_and_late_records_are_counted(spark, tmp_path):
-    walk = incremental(spark, tmp_path, [SLOW])
+    walk = incremental(spark, tmp_path, [rule(metric="batchDuration", threshold=100, window_minutes=10)])
     for hour in range(3):
         part = [record(us(8 + hour, m), hour * 60 + m, batchDuration=1) for m in range(0, 60, 10)]
         walk.process(frame(spark, part), hour)
@@ -79,20 +101,20 @@ def test_state_is_pruned_and_late_records_are_counted(spark, tmp_path):
 
 
 def test_clusters_advance_on_their_own(spark, tmp_path):
-    walk = incremental(spark, tmp_path, [SLOW], a=4, b=4)
-    both = [record(us(9, m), m, cluster=c, batchDuration=500) for c in ("a", "b", "ghost") for m in (0, 2, 4)]
-    walk.process(frame(spark, both), 0)
-    walk.process(frame(spark, [record(us(9, 6), 6, cluster="a", batchDuration=500)]), 1)
-    assert table(spark, tmp_path) == [("a", raw(us(9, 4)), 4, 8)]
-    assert {r.cluster_id for r in walk.pending(spark, 1).select("cluster_id").distinct().collect()} == {"a", "b"}
+    walk = incremental(spark, tmp_path, [BACKLOG], north=4, south=4)
+    opening = [record(us(5, 11 * m), m, cluster=c, backlog=60) for c in ("north", "south", "nobody") for m in range(3)]
+    walk.process(frame(spark, opening), 0)
+    walk.process(frame(spark, [record(us(5, 33), 3, cluster="south", backlog=60)]), 1)
+    assert table(spark, tmp_path) == [("south", raw(us(5, 11)), 4, 12)]
+    assert {r.cluster_id for r in walk.pending(spark, 1).select("cluster_id").distinct().collect()} == {"north", "south"}
     walk.finish(spark, 2)
-    assert [r[0] for r in table(spark, tmp_path)] == ["a", "b"]
+    assert [r[0] for r in table(spark, tmp_path)] == ["north", "south"]
 
 
 @pytest.mark.parametrize("repeat", [1, 2])
 def test_complete_then_walk(spark, tmp_path, repeat):
     manifest = spark.createDataFrame([("a", 4, 2), ("b", 4, 2)], "cluster_id STRING, initial_workers BIGINT, num_log_files BIGINT")
-    walk = CompleteThenWalk([SLOW], manifest, str(tmp_path / "state"), str(tmp_path / "table"))
+    walk = CompleteThenWalk([LONG], manifest, str(tmp_path / "state"), str(tmp_path / "table"))
 
     def arrive(epoch, *rows):
         batch = spark.createDataFrame([(*r, key) for key, r in rows], ARRIVAL_SCHEMA)
@@ -111,7 +133,7 @@ def test_complete_then_walk(spark, tmp_path, repeat):
 
 
 def test_state_does_not_grow_with_the_stream(spark, tmp_path):
-    walk = incremental(spark, tmp_path, [SLOW])
+    walk = incremental(spark, tmp_path, [LONG])
     sizes = []
     for epoch in range(8):
         part = [record(us(8) + (epoch * 60 + m) * 60_000_000, epoch * 60 + m, batchDuration=1) for m in range(0, 60, 5)]
@@ -132,7 +154,7 @@ def test_micro_batches_leave_no_scratch_tables(spark, tmp_path, monkeypatch):
         return made[-1]
 
     monkeypatch.setattr(session, "scratch_path", watched)
-    walk = incremental(spark, tmp_path, [SLOW])
+    walk = incremental(spark, tmp_path, [LONG])
     walk.process(frame(spark, [record(us(8, m), m, batchDuration=500) for m in (0, 2, 4)]), 0)
     walk.finish(spark, 1)
     assert table(spark, tmp_path) and made
