@@ -82,7 +82,7 @@ SLOTS = 32
 
 
 def sample_ids(ids: DataFrame, by: str, rows: int) -> DataFrame:
-    """At most ``rows`` rows of (id, ``by``), about as many of each value of ``by``.
+    """At most ``rows`` rows (``id`` unique), about as many of each value of ``by``.
 
     Ids fall into slots by a hash. Of every value and slot the rows of the smallest other hash
     are taken, a slot's share at most, so no value meets in one task however common it is.
@@ -90,4 +90,11 @@ def sample_ids(ids: DataFrame, by: str, rows: int) -> DataFrame:
     slot, order = F.pmod(F.xxhash64(F.lit(by), "id"), F.lit(SLOTS)), (F.xxhash64("id"), F.col("id"))
     place = F.row_number().over(Window.partitionBy(by, "slot").orderBy(*order))
     ranked = ids.withColumn("slot", slot).withColumn("place", place).where(F.col("place") <= -(-rows // SLOTS))
-    return ranked.orderBy("place", *order).limit(rows).select("id", by)
+    return ranked.orderBy("place", *order).limit(rows).select(*ids.columns)
+
+
+def one_text(docs: DataFrame, id: str, text: str, *more: str) -> DataFrame:
+    """(id, hash, more): of each id's rows the one with the smallest text hash, so that it doesn't matter in
+    which order rows come; texts stay where they are."""
+    first = F.min(F.struct(F.xxhash64(text).alias("hash"), *more)).alias("first")
+    return docs.groupBy(F.col(id).alias("id")).agg(first).select("id", "first.*")

@@ -3,8 +3,8 @@
 Three kinds of candidates are matched in every whole text: ``assign`` (a secret-like name, then a value),
 ``access`` (access key ids) and ``hex`` (long hex strings). Each candidate's value is hashed, and the hashes are
 counted by distinct repositories (an id column) and owners (a source column) over all rows. A value
-that several owners have is a copied example; a value of few owners is live-looking. Its span is
-added as ``example`` or ``live``.
+that several owners have in several repositories, or that very many repositories have whoever owns them, is a
+widely copied example; any other is specific to its owners and live-looking. Its span is added as ``example`` or ``live``.
 
 Positions come from the pieces between the matches, as offsets in code points with exclusive
 ends. Null text counts as empty. A null owner counts as one owner, a null id as one repository.
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from driverlens.session import materialize
 
 KINDS = ("assign", "access", "hex", "example", "live")
-EXAMPLE_OWNERS = 2  # a value that this many owners have is an example
+EXAMPLE_OWNERS, SHARED_REPOSITORIES = 2, 3  # so many owners and repositories in all make a value an example
+COPIED_REPOSITORIES = 10  # and so many repositories do, even of one owner
 
 # The patterns of the kinds.
 NAMES = r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
@@ -79,13 +80,21 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
 
-def report(docs: DataFrame, id: str = "doc_id", text: str = "text", owner: str = "source", example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
-    """One row per document: id, ``base`` and ``added`` spans, arrays of (start, rank, kind, end)."""
+def judged(
+    counted: DataFrame, owners: int = EXAMPLE_OWNERS, shared: int = SHARED_REPOSITORIES, copied: int = COPIED_REPOSITORIES
+) -> DataFrame:
+    """(hash, judged): ``example`` or ``live``, from owners and repositories."""
+    widely = ((F.col("owners") >= owners) & (F.col("repositories") >= shared)) | (F.col("repositories") >= copied)
+    return counted.select("hash", F.when(widely, "example").otherwise("live").alias("judged"))
+
+
+def report(docs: DataFrame, id: str = "doc_id", text: str = "text", owner: str = "source", **bounds: int) -> DataFrame:
+    """One row per document: id, ``base`` and ``added`` spans, arrays of (start, rank, kind, end); bounds as in ``judged``."""
     read = materialize(matches(docs, id, text, owner), "matches")
     found = materialize(candidates(read), "candidates")
-    judged = ownership(found).select("hash", F.when(F.col("owners") >= example_owners, "example").otherwise("live").alias("judged"))
+    verdicts = judged(ownership(found), **bounds)
     rank = F.when(F.col("judged") == "example", KINDS.index("example")).otherwise(KINDS.index("live"))
-    values = found.select("row", "value_start", "end", "hash").join(judged, "hash")
+    values = found.select("row", "value_start", "end", "hash").join(verdicts, "hash")
     added = _gathered(values.select("row", F.col("value_start").alias("start"), rank.alias("rank"), F.col("judged").alias("kind"), "end").distinct(), "added")
     spans = read.select("row", "id").join(_gathered(found, "base"), "row", "left").join(added, "row", "left")
     none = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint>>")
@@ -118,9 +127,11 @@ spans AS (
          CASE WHEN rank = 0 THEN regexp_replace(m, '^([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?', '') ELSE m END AS val
   FROM ends),
 base AS (SELECT * FROM spans WHERE length(val) >= CASE rank WHEN 0 THEN 8 WHEN 1 THEN 16 ELSE 32 END),
-owned AS (SELECT val, count(DISTINCT coalesce(source, chr(0))) AS owners FROM base GROUP BY val),
+owned AS (
+  SELECT val, (count(DISTINCT coalesce(source, chr(0))) >= 2 AND count(*) >= 3) OR count(*) >= 10 AS copied
+  FROM (SELECT DISTINCT val, source, doc_id FROM base) GROUP BY val),
 added AS (
-  SELECT DISTINCT rid, CASE WHEN owners >= 2 THEN 'example' ELSE 'live' END AS kind, CASE WHEN owners >= 2 THEN 3 ELSE 4 END AS rank, fin - length(val) AS start, fin
+  SELECT DISTINCT rid, CASE WHEN copied THEN 'example' ELSE 'live' END AS kind, CASE WHEN copied THEN 3 ELSE 4 END AS rank, fin - length(val) AS start, fin
   FROM base JOIN owned USING (val)),
 every AS (SELECT rid, kind, rank, start, fin FROM base UNION ALL SELECT rid, kind, rank, start, fin FROM added),
 b AS (

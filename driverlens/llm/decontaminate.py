@@ -5,8 +5,12 @@ item gives one window per ``window`` consecutive words, or a single one if it ha
 document word is hit if it lies inside an occurrence of any window.
 
 The windows of the benchmark are a hash set, broadcast while they are at most ``BROADCAST_BYTES``
-of text and joined by shuffle beyond. Documents are cut into blocks of words that overlap by a
-window, and every window of every block is looked up by its whole text, so a hit is exact.
+of text and joined by shuffle beyond. A window is found in two steps. Any ``n`` consecutive words hold a
+whole run of ``(n + 1) / 2`` words that begins at a multiple of that length, so only those runs of a document are
+looked up, by an eight-byte hash, among all such runs of the windows. Around the runs that are found, every window is looked
+up by its whole text, so a hit is exact. Texts are cut into blocks of words, and blocks into runs, by regular expressions; a
+run is looked at with the blocks before and after its own. In the shuffled form hashes move alone and tell which documents
+are looked at again.
 
 Null and empty texts have no words, no hits and are not contaminated; an item without words has
 no window. Rows are told apart by id and text: repeated rows give equal results each, a null id
@@ -16,14 +20,16 @@ names clash with result columns, as results are made from the id and the text on
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driverlens.llm.common import words
+from driverlens.llm.common import SEPARATORS, ascii_lower, words
 from driverlens.session import materialize
 
 WINDOW = 10
-BLOCK = 2048  # window starts per block
+BLOCK = 120  # words of a block, about
 BROADCAST_BYTES = 64 << 20
 
 def benchmark_windows(items: DataFrame, id: str = "item_id", text: str = "text", window: int = WINDOW) -> DataFrame:
@@ -34,31 +40,81 @@ def benchmark_windows(items: DataFrame, id: str = "item_id", text: str = "text",
     return cut.select("item_id", F.least(F.size("words"), F.lit(window)).alias("len"), F.explode(every).alias("window")).distinct()
 
 
-def _windows_at(chunk: Column, offset: Column, len: int) -> Column:
-    """Structs (pos, window) of all windows of a length that start in the block."""
-    starts = F.least(F.size(chunk) - len, F.lit(BLOCK - 1))
-    at = F.transform(F.sequence(F.lit(0), starts), lambda i: F.struct((offset + i).alias("pos"), F.array_join(F.slice(chunk, i + 1, len), " ").alias("window")))
-    return F.when(F.size(chunk) >= len, at).otherwise(F.array().cast("array<struct<pos:int,window:string>>"))
+def _run(len: int) -> int:
+    """Length of the runs looked up for windows of a length: one lies in every window at a multiple of it."""
+    return (len + 1) // 2
+
+
+def _window_runs(wanted: DataFrame) -> DataFrame:
+    """Distinct (len, run): hashes of all runs of the windows."""
+    size = F.floor((F.col("len") + 1) / 2).cast("int")
+    cut = F.split("window", " ")
+    runs = F.transform(F.sequence(F.lit(0), F.col("len") - size), lambda i: F.xxhash64(F.array_join(F.slice(cut, i + 1, size), " ")))
+    return wanted.select("len", F.explode_outer(runs).alias("run")).distinct()
+
+
+def _cut(text: Column, least: int, most: int) -> Column:
+    """Consecutive pieces of so many words of a text whose words have one blank between them."""
+    return F.regexp_extract_all(text, F.lit(f"[^ ]+(?: [^ ]+){{{least - 1},{most - 1}}}"), F.lit(0))
+
+
+def _block_words(lens: list[int]) -> int:
+    """Words of a block: a multiple of every run's length, and no less than a window."""
+    step = math.lcm(*(_run(n) for n in lens))
+    return step * -(-max(BLOCK, *lens) // step)
+
+
+def _spots(whole: DataFrame, lens: list[int]) -> DataFrame:
+    """(key, block, at): the runs of all documents, beside the block of words they lie in and its neighbours."""
+    size = _block_words(lens)
+    even = F.trim(F.regexp_replace(ascii_lower(F.coalesce(F.col("text"), F.lit(""))), SEPARATORS, " "))
+    cut = whole.select(row_key("id", "text").alias("key"), _cut(even, 1, size).alias("blocks"))
+    beside = lambda b, i: F.struct((i * size).alias("first"), F.get("blocks", i - 1).alias("before"), b.alias("text"), F.get("blocks", i + 1).alias("after"))
+    # Outer: a plain explode would have its arrays made twice, once for a filter on their size.
+    block = cut.select("key", F.explode_outer(F.transform("blocks", beside)).alias("block"))
+
+    def runs(len: int) -> Column:
+        def spot(run: Column, i: Column) -> Column:
+            return F.struct((F.col("block.first") + i * _run(len)).alias("pos"), F.lit(len).alias("len"), F.xxhash64(run).alias("run"))
+
+        return F.transform(_cut(F.col("block.text"), _run(len), _run(len)), spot)
+
+    return block.select("key", "block", F.explode_outer(F.concat(*map(runs, lens))).alias("at"))
+
+
+def _windows_around(lens: list[int]) -> Column:
+    """Structs (pos, window): all windows of the spot's length that hold its run."""
+    run = F.element_at(F.create_map(*[F.lit(x) for n in lens for x in (n, _run(n))]), F.col("at.len"))
+    near = F.split(F.concat_ws(" ", "block.before", "block.text", "block.after"), " ")
+    begin = F.col("block.first") - F.when(F.col("block.before").isNull(), F.lit(0)).otherwise(F.lit(_block_words(lens)))
+    place = F.col("at.pos") - begin
+    low = F.greatest(F.lit(0), place - (F.col("at.len") - run))
+    high = F.least(place, F.size(near) - F.col("at.len"))
+    every = F.transform(
+        F.sequence(low, F.greatest(low, high)),
+        lambda i: F.struct((begin + i).alias("pos"), F.array_join(F.slice(near, i + 1, F.col("at.len")), " ").alias("window")),
+    )
+    return F.when(high >= low, every).otherwise(F.array().cast("array<struct<pos:int,window:string>>"))
 
 
 def hits(docs: DataFrame, windows: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Distinct occurrences (key, pos, len, window); the key is a struct of id and text hash."""
     wanted = windows.select("window", "len").distinct()
-    lens = [row[0] for row in wanted.select("len").distinct().collect()]  # at most ``window`` numbers
+    lens = sorted(row[0] for row in wanted.select("len").distinct().collect())  # at most ``window`` numbers
     if not lens:
         lens = [WINDOW]
-    longest = max(lens)
     size = wanted.agg(F.sum(F.octet_length("window"))).first()[0] or 0
-    looked_up = F.broadcast(wanted) if size <= BROADCAST_BYTES else wanted
-    cut = docs.select(row_key(id, text).alias("key"), words(F.col(text)).alias("words"))
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("words") - 1) / BLOCK).cast("int")),
-        lambda b: F.struct((b * BLOCK).alias("offset"), F.slice("words", b * BLOCK + 1, BLOCK + longest - 1).alias("chunk")),
-    )
-    block = cut.where(F.size("words") > 0).select("key", F.explode(blocks).alias("block"))
-    every = F.concat(*(_windows_at(F.col("block.chunk"), F.col("block.offset"), n) for n in lens))
-    placed = block.select("key", F.explode(every).alias("at")).select("key", "at.pos", "at.window")
-    return placed.join(looked_up, "window").select("key", "pos", "len", "window").distinct()
+    small = size <= BROADCAST_BYTES
+    sent = F.broadcast if small else lambda rows: rows
+    known = _window_runs(wanted)
+    whole = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    if not small:
+        found = materialize(_spots(whole, lens).select("key", "at.len", "at.run").join(known, ["len", "run"]).select("key").distinct(), "found")
+        whole = whole.join(found, row_key("id", "text") == found["key"], "left_semi")
+    spots = _spots(whole, lens)
+    met = spots.join(sent(known), (spots["at.len"] == known["len"]) & (spots["at.run"] == known["run"]), "left_semi")
+    placed = met.select("key", "at.len", F.explode_outer(_windows_around(lens)).alias("around")).select("key", "len", "around.pos", "around.window")
+    return placed.join(sent(wanted), ["window", "len"]).select("key", "pos", "len", "window").distinct()
 
 
 def row_key(id: str, text: str) -> Column:

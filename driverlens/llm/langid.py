@@ -10,7 +10,7 @@ have not seen.
 A document is learnable if its language is not null and its id not held out. Texts that are null
 or have no letter are ``und`` with score 0; without any learnable document all are. Texts are
 taken whole, in blocks, so a long one needs little memory. Repeated ids count once in the
-sample; rows are scored each by itself. Input columns named like an output column are replaced, other columns are left alone.
+sample, with the text of the smallest hash and its language, whatever the order of rows; rows are scored each by itself. Input columns named like an output column are replaced, other columns are left alone.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driverlens.llm.common import pieces, sample_ids, with_columns
+from driverlens.llm.common import one_text, pieces, sample_ids, with_columns
 
 DIM = 1 << 14
 BLOCK = 1 << 17  # characters turned into n-grams at a time, cut at white space
@@ -98,9 +98,9 @@ def _frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
 
 def _sample(docs: DataFrame, id: str, text: str, lang: str, rows: int) -> list:
     """(id, language, buckets, counts) of at most ``rows`` documents."""
-    ids = docs.groupBy(F.col(id).alias("id")).agg(F.min(lang).alias("lang"))
-    chosen = sample_ids(ids, "lang", rows)
-    given = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(chosen, "id")
+    named = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    chosen = sample_ids(one_text(named, "id", "text", "lang"), "lang", rows)
+    given = named.withColumn("hash", F.xxhash64("text")).join(chosen, ["id", "hash", "lang"])
 
     def make():
         def row(value):
@@ -110,8 +110,9 @@ def _sample(docs: DataFrame, id: str, text: str, lang: str, rows: int) -> list:
 
         return row
 
-    featured = with_columns(given, ["text"], "buckets BINARY, counts BINARY", make, drop=("text",)).dropDuplicates(["id"])
-    return sorted(tuple(row) for row in featured.select("id", "lang", "buckets", "counts").collect())
+    featured = with_columns(given, ["text"], "buckets BINARY, counts BINARY", make, drop=("text",))
+    first = featured.groupBy("id", "lang").agg(F.min(F.struct("buckets", "counts")).alias("first"))
+    return sorted(tuple(row) for row in first.select("id", "lang", "first.*").collect())
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:

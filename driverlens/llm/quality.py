@@ -4,11 +4,13 @@ A document is a bag of passages of ``PASSAGE`` words. A passage is encoded from
 and a few ratios (capitals, symbols, digits, distinct words, common words, word length), then by a learned layer. Gated
 attention gives every passage a weight; the weighted mean is scored by a logistic output. All
 layers are learned from document labels alone, on a sample of at most ``sample_rows`` labelled
-documents of at most ``SAMPLE_CHARS`` characters (about as many of each label, chosen by hashes of the id).
+documents (about as many of each label, chosen by hashes of the id) with at most ``passages`` passages each, drawn
+from the whole text by hashes of their places, which bounds what the driver holds.
 
 Every text is scored whole, in pieces; the attention's sums are carried from piece to piece. Null and empty texts are
 a single empty passage. A document with several labels counts with its smallest, a null label
-not at all; without any label the score is 0.5. Repeated ids count once in the sample; rows are scored each by itself.
+not at all; without any label the score is 0.5. Repeated ids count once in the sample, with the text
+of the smallest hash, whatever the order of rows; rows are scored each by itself.
 Input columns named like an output column are replaced, other columns are left alone.
 """
 
@@ -18,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driverlens.llm.common import pieces, sample_ids, with_columns
+from driverlens.llm.common import one_text, pieces, sample_ids, with_columns
 from driverlens.llm.langid import held_out
 from driverlens.llm.spotsigs import ANCHORS
 
@@ -29,7 +31,7 @@ RATIOS = 8
 FEATURES = HASHED + RATIOS
 HIDDEN, GATE = 32, 16
 SAMPLE_ROWS = 2000
-SAMPLE_CHARS = 200_000
+PASSAGES = 32  # of a document, to learn from; scores use all
 STEPS, RATE, DECAY = 250, 0.01, 1e-4
 
 COMMON = frozenset(ANCHORS)
@@ -125,11 +127,18 @@ def _gradient(p: dict, x: np.ndarray, starts: np.ndarray, owner: np.ndarray, y:
     return {"W": x.T @ dh, "b": dh.sum(0), "V": h.T @ dt, "U": h.T @ ds, "w": (t * s).T @ de, "c": z.T @ wrong, "d": np.array([wrong.sum()])}
 
 
+def drawn(bag: np.ndarray, passages: int) -> np.ndarray:
+    """At most so many passages of a document, spread over all of it by a hash of their places."""
+    places = np.arange(len(bag), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return bag[np.sort(np.argsort(places, kind="stable")[:passages])]
+
+
 def train(bags: list[np.ndarray], labels: np.ndarray, steps: int = STEPS) -> dict[str, np.ndarray]:
     """Fit all layers with Adam over the whole sample, from a fixed start."""
     x = np.concatenate(bags).astype(np.float64)
     mean, scale = x.mean(0), x.std(0) + 1e-3
-    x = (x - mean) / scale
+    x -= mean
+    x /= scale
     sizes = np.array([len(b) for b in bags])
     starts, owner = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(len(bags)), sizes)
     p = _start(np.random.default_rng(0))
@@ -162,14 +171,18 @@ def _attend(model: dict, x: np.ndarray, top: float, weight: float, mean: np.ndar
     return new, weight * old + a.sum(), mean * old + a @ h
 
 
-def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> dict | None:
-    """Fit on labelled rows whose id is not held out; None without any."""
+def fit(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", sample_rows: int = SAMPLE_ROWS, passages: int = PASSAGES) -> dict | None:
+    """Fit on labelled rows whose id is not held out; None without any.
+
+    At most ``sample_rows`` documents teach, each with at most ``passages`` passages drawn from its whole text.
+    """
     known = labels.where(F.col(label).isNotNull() & ~held_out(F.col(id), 3, 1)).groupBy(F.col(id).alias("id")).agg(F.min(label).cast("int").alias("label"))
-    sized = docs.select(F.col(id).alias("id"), F.length(text).alias("n")).where(F.coalesce("n", F.lit(0)) <= SAMPLE_CHARS).select("id").distinct()
-    chosen = sample_ids(known.join(sized, "id", "left_semi"), "label", sample_rows)
-    given = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_CHARS).join(chosen, "id")
-    featured = with_columns(given, ["text"], "bag BINARY", lambda: lambda value: (bag(value).astype("<f4").tobytes(),), drop=("text",))
-    rows = sorted(tuple(r) for r in featured.dropDuplicates(["id"]).select("id", "label", "bag").collect())
+    named = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    learnable = one_text(named.join(known, "id"), "id", "text", "label")
+    given = named.withColumn("hash", F.xxhash64("text")).join(sample_ids(learnable, "label", sample_rows), ["id", "hash"])
+    featured = with_columns(given, ["text"], "bag BINARY", lambda: lambda value: (drawn(bag(value), passages).astype("<f4").tobytes(),), drop=("text",))
+    first = featured.groupBy("id", "label").agg(F.min("bag").alias("bag"))
+    rows = sorted(tuple(r) for r in first.collect())
     if not rows:
         return None
     bags = [np.frombuffer(data, "<f4").reshape(-1, FEATURES) for _, _, data in rows]

@@ -16,6 +16,8 @@ text. Extra columns are left alone. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,9 +74,11 @@ def with_signatures(docs: DataFrame, text: str = "text", out: str = "sigs") -> D
     return docs.withColumn("_words", words(F.col(text))).withColumn(out, signatures(F.col("_words"))).drop("_words")
 
 
-def beside_next(docs: DataFrame, id: str, order: list[str], carry: list[str]) -> DataFrame:
+def beside_next(docs: DataFrame, id: str, order: list[str], carry: list[str], made: dict[str, Callable[[], Column]] | None = None) -> DataFrame:
     """Add ``next``: a struct of the ``carry`` columns of the row with the next smaller id; after the last, the first.
 
+    Columns ``made`` are added once the rows have moved, so they are computed once a row and never shuffled.
+
     Ids are cut into buckets at ids that occur, found by approximate percentiles. The row of a bucket's
     largest id is also a guest at the end of the bucket above it, and the largest of all is a guest at the end of
     the lowest. So each bucket is ordered by itself, and rows move once. The number of buckets
@@ -98,20 +102,25 @@ def beside_next(docs: DataFrame, id: str, order: list[str], carry: list[str]) ->
     above = F.struct(((F.col("_bucket") + 1) % max(1, len(splits))).alias("bucket"), F.lit(True).alias("guest"))
     largest = F.get(known, F.col("_bucket")) == F.col("_place")
     seats = placed.withColumn("_seat", F.explode(F.when(largest, F.array(own, above)).otherwise(F.array(own))))
-    line = Window.partitionBy("_seat.bucket").orderBy("_seat.guest", F.desc("_place"), *order)
-    led = seats.withColumn("next", F.lead(F.struct(*carry)).over(line))
-    return led.where(~F.col("_seat.guest")).drop("_place", "_bucket", "_seat")
+    seated = seats.withColumns({"_at": F.col("_seat.bucket"), "_guest": F.col("_seat.guest")}).repartition("_at")
+    for name, column in (made or {}).items():
+        seated = seated.withColumn(name, column())
+    line = Window.partitionBy("_at").orderBy("_guest", F.desc("_place"), *order)
+    led = seated.withColumn("next", F.lead(F.struct(*carry)).over(line))
+    return led.where(~F.col("_guest")).drop("_place", "_bucket", "_seat", "_at", "_guest")
 
 
 def compare_edited(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each text, its edit with the next document's beginning, and how alike their fingerprints are."""
     whole = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    beside = beside_next(whole, "id", ["text"], ["text"])  # signatures compress badly: they are made after the move
+    # Signatures compress badly: they are made after the move, once for a text and its neighbour.
+    own = {"_words": lambda: words(F.col("text")), "sigs": lambda: signatures(F.col("_words"))}
+    beside = beside_next(whole, "id", ["text"], ["text", "sigs"], own)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr(F.col("text"), F.lit(1), n - half), F.substr(F.col("next.text"), F.lit(1), half))
-    joined = beside.select("id", "text", F.col("next.text").alias("next"), n.cast("bigint").alias("n_chars"), edited.alias("edited"))
-    both = with_signatures(with_signatures(with_signatures(joined), "next", "next_sigs"), "edited", "edited_sigs")
+    joined = beside.select("id", "sigs", F.col("next.sigs").alias("next_sigs"), n.cast("bigint").alias("n_chars"), edited.alias("edited"))
+    both = with_signatures(joined, "edited", "edited_sigs")
     return both.select(
         F.col("id").alias(id),
         "n_chars",

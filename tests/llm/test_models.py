@@ -101,3 +101,77 @@ def test_scores_do_not_depend_on_the_pieces(monkeypatch):
     one = quality._attend(model, x, -np.inf, 0.0, np.zeros(quality.HIDDEN))
     two = quality._attend(model, x[2:], *quality._attend(model, x[:2], -np.inf, 0.0, np.zeros(quality.HIDDEN)))
     assert one[2] / one[1] == pytest.approx(two[2] / two[1])
+
+
+def shuffled(spark, rows, seed):
+    import random
+
+    mixed = list(rows)
+    random.Random(seed).shuffle(mixed)
+    return frame(spark, mixed).repartition(1 + seed)
+
+
+def test_models_do_not_depend_on_the_order_of_repeated_ids(spark):
+    """Ids that come with several texts and languages teach with one definite row."""
+    rows = [doc(i % 20, words(i, 40 + i), ("en", "de", "fr")[i % 3]) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id BIGINT, quality INT")
+    first, second = (langid.fit(shuffled(spark, rows, seed)) for seed in (0, 4))
+    assert first.languages == second.languages and first.temperature == second.temperature
+    assert (first.weights == second.weights).all() and (first.idf == second.idf).all()
+    one, two = (quality.fit(shuffled(spark, rows, seed), labels) for seed in (0, 4))
+    assert all((one[name] == two[name]).all() for name in one)
+
+
+def test_long_texts_teach_with_passages_of_the_whole_text():
+    bag = np.arange(500.0)[:, None]
+    places = quality.drawn(bag, quality.PASSAGES)[:, 0].tolist()
+    assert len(places) == quality.PASSAGES and places == sorted(places)
+    assert max(np.diff([0, *places, len(bag)])) < 5 * len(bag) / quality.PASSAGES  # spread over all of it
+    assert (quality.drawn(bag[:7], 32) == bag[:7]).all()
+
+
+def test_weights_beside_a_scalar_ftrl():
+    rng = np.random.default_rng(3)
+    rows = [(np.sort(rng.choice(60, 5, replace=False)), rng.random(5), int(rng.integers(3))) for _ in range(40)]
+    z, n = {}, {}
+
+    def weight(key):
+        if abs(z.get(key, 0.0)) <= langid.L1:
+            return 0.0
+        value = z[key]
+        return -(value - np.sign(value) * langid.L1) / ((langid.BETA + n[key] ** 0.5) / langid.ALPHA + langid.L2)
+
+    for epoch in range(3):
+        for k in np.random.default_rng(epoch).permutation(len(rows)):
+            at, values, label = rows[k]
+            entries = [*zip(at.tolist(), values.tolist()), (langid.DIM, 1.0)]
+            before = {(i, c): weight((i, c)) for i, _ in entries for c in range(3)}
+            scores = [sum(v * before[i, c] for i, v in entries) for c in range(3)]
+            chances = [np.exp(s) / sum(np.exp(t) for t in scores) for s in scores]
+            for i, v in entries:
+                for c in range(3):
+                    g = v * (chances[c] - (c == label))
+                    old = n.get((i, c), 0.0)
+                    z[i, c] = z.get((i, c), 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / langid.ALPHA * before[i, c]
+                    n[i, c] = old + g * g
+    got = langid.train(rows, 3, epochs=3)
+    for i, c in z:
+        assert got[i, c] == pytest.approx(weight((i, c)), abs=1e-12)
+    assert (got != 0).any() and (got == 0).any()
+
+
+def test_score_beside_a_scalar_attention():
+    texts = [words(i, 150 + 30 * i) for i in range(4)]
+    model = quality.train([quality.bag(t) for t in texts], np.array([0, 1, 1, 0]), steps=8)
+    for text in texts:
+        weights, hidden = [], []
+        for passage in quality.bag(text).astype(float):
+            x = [(v - m) / s for v, m, s in zip(passage, model["mean"], model["scale"])]
+            h = [np.tanh(sum(a * model["W"][k, j] for k, a in enumerate(x)) + model["b"][j]) for j in range(quality.HIDDEN)]
+            t = [np.tanh(sum(a * model["V"][k, j] for k, a in enumerate(h))) for j in range(quality.GATE)]
+            u = [1 / (1 + np.exp(-sum(a * model["U"][k, j] for k, a in enumerate(h)))) for j in range(quality.GATE)]
+            weights.append(np.exp(sum(a * b * c for a, b, c in zip(t, u, model["w"]))))
+            hidden.append(h)
+        mean = [sum(w * h[j] for w, h in zip(weights, hidden)) / sum(weights) for j in range(quality.HIDDEN)]
+        plain = 1 / (1 + np.exp(-(sum(a * b for a, b in zip(mean, model["c"])) + model["d"][0])))
+        assert quality.score(model, text) == pytest.approx(float(plain), abs=1e-6)

@@ -31,8 +31,11 @@ def odd(spark, tmp_path):
     spark.createDataFrame([(*p, "z") for p in pages], "page_id BIGINT, url STRING, html STRING, payload STRING").write.parquet(f"{tmp_path}/pages.parquet")
     turns = [(1, 0, "user", "a"), (1, 1, "assistant", "\\l<s>[x]"), (1, 1, "assistant", "\\l<s>[x]"), (2, None, None, None), (None, 3, "system", "é" * 1000), (3, 2, "assistant", ""), (3, -1, "]odd[", "é<")]
     spark.createDataFrame([(*t, 5) for t in turns], "conv_id BIGINT, turn BIGINT, role STRING, text STRING, seq INT").write.parquet(f"{tmp_path}/conversations.parquet")
+    vectors = [(i, [float((i * k) % 7 - 3) / 2 for k in range(1, 5)], i % 3) for i in range(0, 400, 10)]
+    vectors += [(1001, None, 1), (1002, [0.5, None, 1.0, 1.0], 1), (1003, [float("nan")] * 4, 2), (1100, [1.0] * 4, None), (None, [1.0] * 4, 1)]
+    spark.createDataFrame([(*v, "z") for v in vectors], "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT, v STRING").write.parquet(f"{tmp_path}/embeddings.parquet")
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "pages", "conversations"):
+    for name in ("documents", "benchmark", "pages", "conversations", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
     return str(tmp_path), connection
 
@@ -65,6 +68,7 @@ def test_empty_tables(spark, tmp_path, name):
         ("pages", "page_id BIGINT, url STRING, html STRING"),
         ("conversations", "conv_id BIGINT, turn BIGINT, role STRING, text STRING"),
         ("labels", "doc_id BIGINT, quality INT, toxic INT"),
+        ("embeddings", "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT"),
     ):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{table}.parquet")
     rows = queries.QUERIES[name](spark, str(tmp_path)).collect()
@@ -175,3 +179,36 @@ def test_pruned_likeness_and_length_classes(spark):
     out = sets.select(spotsigs.likeness(a, b, 0.8).alias("j"), F.abs(spotsigs.length_class(a, 0.8) - spotsigs.length_class(b, 0.8)).alias("gap")).collect()
     assert [r.j for r in out] == [1.0, 0.0, 1.0, 0.0, 0.8]
     assert all(r.gap <= 1 for r in out if r.j >= 0.8)
+
+
+def test_owners_and_repositories_decide_together(spark, tmp_path):
+    """A placeholder of one owner in many repositories is an example, a value that two owners have once each is not."""
+    texts = {"many": 12, "pair": 2, "spread": 3, "own": 9}
+    values = {name: f"{name}value0123456789" for name in texts}
+    rows, at = [], 0
+    for name, copies in texts.items():
+        for k in range(copies):
+            owner = {"pair": f"o{k}", "spread": f"o{k % 2}"}.get(name, "hot")
+            rows.append(doc(100 + at, f"token = {values[name]}", source=owner))
+            at += 1
+    rows += [doc(100, rows[0][1], source="hot")] * 5  # copies of a row are no further repositories
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op6_secrets"](spark, str(tmp_path))
+    seen = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",")][1] for r in got.collect()}
+    judged = {name: {seen[r[0]] for r in rows if values[name] in r[1]} for name in texts}
+    assert judged == {"many": {"example"}, "pair": {"live"}, "spread": {"example"}, "own": {"live"}}
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert_same(got, connection, queries.ORACLE["op6_secrets"])
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 4, 5, 9, 10])
+def test_every_place_of_every_window_length_is_found(spark, monkeypatch, window):
+    monkeypatch.setattr(decontaminate, "BLOCK", 16)
+    item = [f"w{k}" for k in range(window)]
+    filler = lambda n, tag: [f"{tag}{k}" for k in range(n)]
+    rows = [doc(n, " ".join(filler(n, "a") + item + filler(7, "b"))) for n in range(40)] + [doc(90, " ".join(item[1:] + ["z"] + item[:1]))]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id BIGINT, text STRING")
+    got = {r.doc_id: (r.n_hit, r["items"]) for r in decontaminate.report(frame(spark, rows), items).collect()}
+    assert {k: v for k, v in got.items() if k < 90} == {n: (window, ["1"]) for n in range(40)}
+    assert got[90] == ((1, ["1"]) if window == 1 else (0, []))
