@@ -11,9 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driverlens.llm import bpe, decontaminate, langid, nearcopies, pii
+from driverlens.llm import bpe, decontaminate, langid, pii, simhash
 from driverlens.llm.common import table, unused
-from driverlens.session import materialize
+from driverlens.session import scratch_path, scratch_scope
 
 BYTE_BPE = "byte_bpe_50k.tiktoken"
 LEAST_SCORE = 0.5  # a document whose likeliest language is less likely goes
@@ -29,8 +29,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-copies (five-word shingles alike by 0.8 or more) one document stays, that of the smallest id."""
-    return nearcopies.deduplicate(docs, shingle=5, similarity=0.8)
+    """Of each group that fingerprints within two bits link (three-word shingles) one document stays, that of the smallest id."""
+    return simhash.deduplicate(docs, shingle=3, distance=2)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +62,9 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_scope(spark):  # what a stage writes on its way goes when its rows are stored
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
     return docs
