@@ -15,10 +15,10 @@ from driverlens.session import materialize
 ROWS = 60_000
 START = 1_762_161_240_000_000
 RULES = [
-    rule(name="a", metric="n", aggregation="avg", threshold=600, window_minutes=5, target_workers=8, cooldown_minutes=3),
-    rule(name="b", metric="d", aggregation="max", operator="lt", threshold=995, window_minutes=1, target_workers=2, cooldown_minutes=2),
-    rule(name="c", metric="d", aggregation="last", threshold=500, window_minutes=3, target_workers=16, cooldown_minutes=1),
-    rule(name="d", metric="n", aggregation="min", operator="lt", threshold=300, window_minutes=2, target_workers=4, cooldown_minutes=0),
+    rule(name="a", metric="n", aggregation="avg", threshold=600, min_batches=3, window_minutes=5, target_workers=8, cooldown_minutes=3),
+    rule(name="b", metric="d", aggregation="max", operator="lt", threshold=995, min_batches=3, window_minutes=1, target_workers=2, cooldown_minutes=2),
+    rule(name="c", metric="d", aggregation="last", threshold=500, min_batches=3, window_minutes=3, target_workers=16, cooldown_minutes=1),
+    rule(name="d", metric="n", aggregation="min", operator="lt", threshold=300, min_batches=3, window_minutes=2, target_workers=4, cooldown_minutes=0),
 ]
 
 
