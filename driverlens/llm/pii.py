@@ -4,7 +4,8 @@ Four kinds are found: ``email``, ``ip``, ``card``, ``phone``. Plain ones are mat
 as it is. For disguised ones the text goes through transducers, each a list of edits that
 remembers which source characters an output character stands for: look-alike letters and digits
 to ASCII and invisible characters to nothing, spelled digits to digits, ``at`` and ``dot`` in
-words or brackets to ``@`` and ``.``. A run of spelled digits may be read in several ways, as what
+words or brackets to ``@`` and ``.``. A bare ``at`` after a pronoun or a verb of place is prose (``meet me at noon``);
+``arroba`` and ``arobase`` never are, so the words for a dot of their languages count after them. A run of spelled digits may be read in several ways, as what
 stands beside it may belong to it or not: each reading is looked through, also that without digits.
 What the same detectors find in an outcome is mapped back
 to the source and added unless a span of the kind covers it wholly. A row of digits that is too long for
@@ -54,10 +55,24 @@ DIGIT_WORDS = {
 STARTS = frozenset(DIGIT_WORDS)  # a run has one of these at its start or after its first figure
 LETTERS = re.compile(r"[^\W\d_]+")
 
+# Words before a bare "at" that are no local part.
+PROSE = frozenset((
+    "i", "me", "you", "he", "him", "she", "her", "it", "us", "we", "they", "them", "this", "that", "these", "those", "one", "all", "both", "everyone", "here", "there",
+    "am", "is", "are", "was", "were", "be", "been", "being", "look", "looks", "looked", "looking", "meet", "meets", "met", "meeting", "arrive", "arrives", "arrived", "arriving",
+    "stay", "stays", "stayed", "start", "starts", "started", "starting", "stop", "stops", "stopped", "end", "ends", "ended", "begin", "begins", "began", "open", "opens", "opened",
+    "close", "closes", "closed", "work", "works", "worked", "working", "sit", "sits", "sat", "stand", "stands", "stood", "live", "lives", "lived", "leave", "leaves", "left",
+    "and", "or", "but", "not", "only", "just", "even", "still", "again", "now", "then", "later", "today", "tomorrow", "tonight", "at",
+))
+
 
 def _shapes() -> dict[int, str]:
-    """Look-alikes, full-width ASCII and the decimal digits of all scripts."""
+    """Look-alikes, ASCII in other shapes (full-width, styled, circled; not raised or lowered, as these mark
+    footnotes) and the decimal digits of all scripts."""
     table = {code: chr(code - 0xFEE0) for code in range(0xFF01, 0xFF5F)}
+    for code in range(128, 0x20000):
+        shape, *plain = unicodedata.decomposition(chr(code)).split() or [""]
+        if shape in ("<font>", "<circle>", "<wide>", "<narrow>") and len(plain) == 1 and int(plain[0], 16) < 128:
+            table[code] = chr(int(plain[0], 16))
     table |= {ord(c): plain for c, plain in LOOK_ALIKES.items()}
     for code in range(128, 0x20000):
         if unicodedata.category(chr(code)) == "Nd":
@@ -167,7 +182,12 @@ class Transducers:
         dot = rf"(?:{opened}(?:dot|punkt|point|punto){closed}|(?<=[a-z0-9])[ \t]{{1,3}}dot[ \t]{{1,3}}(?=[a-z0-9]))"
         self.at = re.compile(rf"{opened}(?:at|@|arroba){closed}|(?<=[a-z0-9])[ \t]{{1,3}}at[ \t]{{1,3}}(?=[a-z0-9-]{{1,63}}{dot}[a-z])", re.IGNORECASE)
         self.dot = re.compile(dot, re.IGNORECASE)
-        self.bracket = re.compile(rf"[\[({{<][ \t]{{0,3}}(?:at|@|arroba|dot|punkt|point|punto)[ \t]{{0,3}}[\])}}>]|[dD][oO][tT]\b", re.IGNORECASE)
+        # Whole spoken addresses, where the words for a dot mean nothing else.
+        blank, label = r"[ \t]{1,3}", r"[a-z0-9-]{1,63}"
+        tail = rf"{blank}{label}(?:(?:{blank}(?:%s){blank}|\.){label})+"
+        self.spoken = re.compile(rf"(?<=[a-z0-9]){blank}(?:(?:arroba|arobase){tail % 'dot|punto|point|punkt'}|at{tail % 'punto|punkt'})", re.IGNORECASE)
+        self.said = re.compile(rf"{blank}(arroba|arobase|at|dot|punto|point|punkt){blank}", re.IGNORECASE)
+        self.bracket = re.compile(rf"[\[({{<][ \t]{{0,3}}(?:at|@|arroba|dot|punkt|point|punto)[ \t]{{0,3}}[\])}}>]|[dD][oO][tT]\b|\b(?:arroba|arobase|punkt|punto)\b", re.IGNORECASE)
         # In this order: what an earlier reading finds stays, also beside a longer span of a later one.
         self.readings = (self.loose_digits, self.digits, self.led_digits)
 
@@ -208,7 +228,12 @@ class Transducers:
     def marks(self, text: str):
         if not self.bracket.search(text):
             return []
-        edits = [(m.start(), m.end(), "@") for m in self.at.finditer(text)] + [(m.start(), m.end(), ".") for m in self.dot.finditer(text)]
+        edits = [(m.start(), m.end(), "@") for m in self.at.finditer(text) if not (m.group().strip().isalpha() and self._prose(text, m.start()))]
+        edits += [(m.start(), m.end(), ".") for m in self.dot.finditer(text)]
+        for m in self.spoken.finditer(text):
+            if not self._prose(text, m.start()):
+                parts = list(self.said.finditer(m.group()))
+                edits += [(m.start() + p.start(), m.start() + p.end(), "." if i else "@") for i, p in enumerate(parts)]
         kept, done = [], 0
         for edit in sorted(edits):
             if edit[0] >= done:
@@ -216,6 +241,13 @@ class Transducers:
                 done = edit[1]
         return kept
 
+    def _prose(self, text: str, end: int) -> bool:
+        """Whether the word before a bare ``at`` is one of prose."""
+        start = end
+        while start and end - start < 12 and text[start - 1] in LOCAL:
+            start -= 1
+        return text[start:end].lower() in PROSE
+
     def spans(self, text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
         """Plain spans, and the spans that only normalising shows, both by kind and start."""
         base = plain(text)

@@ -7,8 +7,10 @@ signature has its whole word sequence as one, and a text without words has the e
 
 Likeness is the Jaccard index. Sets fall into length classes whose bounds grow by 1/similarity,
 so only equal or adjacent classes can reach the similarity, and a pair whose lengths differ too
-much is pruned without comparing. No operator here partitions by class or joins by likeness: the
-query's contract fixes the pairs and asks for every likeness. Two empty sets are alike.
+much is pruned without comparing. ``similar`` joins by (length class or the next, signature): of each set only as many of its
+rarest signatures as a pair of that similarity must share one of, and only places in them from which the
+similarity can still be reached. ``compare_edited`` takes fixed pairs and gives every likeness, pruning none.
+Two empty sets are alike.
 
 Null text counts as empty, a null id as the smallest id. Ties and repeated rows are ordered by
 text. Extra columns are left alone. An empty table gives no rows.
@@ -22,9 +24,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driverlens.llm.common import words
+from driverlens.session import materialize
 
 CHAIN = 2
 REACH = 8
+SIMILARITY = 0.8
 BUCKET_ROWS = 2000  # documents of neighbouring ids that are put side by side
 MOST_BUCKETS = 1 << 14  # so that the bounds fit a plan; beyond, buckets hold more documents
 
@@ -66,7 +70,7 @@ def likeness(a: Column, b: Column, similarity: float = 0.0) -> Column:
     short, long = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
     both = F.size(F.array_intersect(a, b))
     index = both / (F.size(a) + F.size(b) - both)
-    return F.when(long == 0, F.lit(1.0)).when((short == 0) | (short < long * similarity), F.lit(0.0)).otherwise(index)
+    return F.when(long == 0, F.lit(1.0)).when((short == 0) | (short < long * similarity - 1e-9), F.lit(0.0)).otherwise(index)
 
 
 def with_signatures(docs: DataFrame, text: str = "text", out: str = "sigs") -> DataFrame:
@@ -74,6 +78,50 @@ def with_signatures(docs: DataFrame, text: str = "text", out: str = "sigs") -> D
     return docs.withColumn("_words", words(F.col(text))).withColumn(out, signatures(F.col("_words"))).drop("_words")
 
 
+def distinct_sets(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(fingerprint, sigs, length_class), one row per distinct set, and (id, fingerprint) of every row.
+
+    Copies fold into one set on the map side, so a text that a third of the rows hold is compared once.
+    """
+    made = with_signatures(docs.select(F.col(id).alias(id), F.col(text).alias("_text")), "_text").drop("_text")
+    made = made.withColumn("fingerprint", fingerprint(F.col("sigs")))
+    sets = made.groupBy("fingerprint").agg(F.first("sigs").alias("sigs"))
+    return sets.withColumn("length_class", length_class(F.col("sigs"), similarity)), made.select(id, "fingerprint")
+
+
+def similar(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """All pairs of different sets that are at least so alike (a, b: fingerprints, a < b; likeness), and (id, fingerprint) of every row.
+
+    Every such pair comes out: two sets of n and m signatures, ordered rarest first, share one of their first
+    n - ceil(s n) + 1 and m - ceil(s m) + 1, and their classes are equal or adjacent. A set
+    is posted under its class and probes its own and the one above. Sets themselves move for candidates only.
+    """
+    sets, members = distinct_sets(docs, id, text, similarity)
+    sets = materialize(sets, "spot-sets")
+    posted = sets.select("fingerprint", "length_class", F.size("sigs").alias("n"), F.explode("sigs").alias("sig"))
+    counted = posted.groupBy("sig").agg(F.count("*").alias("sets"))
+    shared = posted.join(counted.where(F.col("sets") > 1), "sig", "left")
+    ordered = shared.groupBy("fingerprint", "length_class", "n").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("sets", F.lit(1)).alias("sets"), "sig"))).alias("line"))
+    first = F.slice("line", 1, F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1)
+    posts = materialize(
+        ordered.select("fingerprint", "length_class", "n", F.posexplode(first).alias("at", "rare")).where("rare.sets > 1").select("fingerprint", "length_class", "n", "at", "rare.sig"),
+        "spot-posts",
+    )
+    probes = posts.withColumn("probed", F.explode(F.array(F.col("length_class"), F.col("length_class") + 1)))
+    a, b = posts.alias("a"), probes.alias("b")
+    once = (F.col("a.length_class") > F.col("b.length_class")) | (F.col("a.fingerprint") < F.col("b.fingerprint"))
+    short, long = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
+    reach = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    fits = (short >= long * similarity - 1e-9) & (reach >= (F.col("a.n") + F.col("b.n")) * (similarity / (1 + similarity)) - 1e-9)
+    met = a.join(b, (F.col("a.sig") == F.col("b.sig")) & (F.col("a.length_class") == F.col("b.probed")) & once & fits)
+    names = F.array_sort(F.array("a.fingerprint", "b.fingerprint"))
+    pairs = met.select(names[0].alias("a"), names[1].alias("b")).distinct()
+    left = sets.select(F.col("fingerprint").alias("a"), F.col("sigs").alias("a_sigs"))
+    right = sets.select(F.col("fingerprint").alias("b"), F.col("sigs").alias("b_sigs"))
+    alike = pairs.join(left, "a").join(right, "b").select("a", "b", likeness(F.col("a_sigs"), F.col("b_sigs"), similarity).alias("likeness"))
+    return alike.where(F.col("likeness") >= similarity), members
+
+
 def beside_next(docs: DataFrame, id: str, order: list[str], carry: list[str], made: dict[str, Callable[[], Column]] | None = None) -> DataFrame:
     """Add ``next``: a struct of the ``carry`` columns of the row with the next smaller id; after the last, the first.
 
@@ -129,4 +177,5 @@ def compare_edited(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
         fingerprint(F.col("edited_sigs")).alias("edited_fingerprint"),
         likeness(F.col("sigs"), F.col("edited_sigs")).alias("near_edited"),
         likeness(F.col("sigs"), F.col("next_sigs")).alias("near_next"),
+        length_class(F.col("sigs"), SIMILARITY).alias("length_class"),
     )

@@ -181,6 +181,41 @@ def test_pruned_likeness_and_length_classes(spark):
     assert all(r.gap <= 1 for r in out if r.j >= 0.8)
 
 
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
+def test_similar_sets_beside_all_pairs(spark, similarity):
+    """Families of texts that drift apart word by word, at sizes on both sides of class bounds, and a text that a third of the rows hold."""
+    import hashlib
+    import random
+
+    rng, texts = random.Random(8), []
+    for family in range(6):
+        line = words(50 + family, rng.choice([12, 30, 90, 200])).split()
+        for _ in range(9):
+            texts.append(" ".join(line))
+            for _ in range(rng.choice([1, 2, 6])):
+                line[rng.randrange(len(line))] = rng.choice(["the", "von", "xylem", "otter", "nine"])
+            if rng.random() < 0.3:
+                line = line[: -len(line) // 8]
+    rows = ROWS + [doc(100 + i, t) for i, t in enumerate(texts)] + [doc(500 + i, texts[4]) for i in range(30)]
+    sets = {}
+    for row in rows:
+        sigs = plain_signatures(row[1] or "")
+        sets[hashlib.sha256(",".join(map(str, sigs)).encode()).hexdigest()] = set(sigs)
+    want = {}
+    for a in sets:
+        for b in sets:
+            if a < b and (sets[a] or sets[b]) and (j := len(sets[a] & sets[b]) / len(sets[a] | sets[b])) >= similarity:
+                want[a, b] = j
+    pairs, members = spotsigs.similar(frame(spark, rows), similarity=similarity)
+    got = [(r.a, r.b, r.likeness) for r in pairs.collect()]
+    assert {(a, b): j for a, b, j in got} == pytest.approx(want) and len(got) == len(want)
+    assert len(want) > 10 or similarity == 1.0
+    assert members.count() == len(rows) and {r.fingerprint for r in members.collect()} == set(sets)
+    plan = pairs._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+    assert spotsigs.similar(frame(spark, []), similarity=similarity)[0].count() == 0
+
+
 def test_owners_and_repositories_decide_together(spark, tmp_path):
     """A placeholder of one owner in many repositories is an example, a value that two owners have once each is not."""
     texts = {"many": 12, "pair": 2, "spread": 3, "own": 9}

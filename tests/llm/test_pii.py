@@ -56,6 +56,11 @@ def test_plain_spans(found, text):
         ("jаne@exаmple.com x", "email", "jаne@exаmple.com"),
         ("＋１ ２３４ ５６７ ８９０１", "phone", "＋１ ２３４ ５６７ ８９０１"),
         ("a​b@c​d.com", "email", "a​b@c​d.com"),
+        ("escribe a jane arroba ejemplo punto com por favor", "email", "jane arroba ejemplo punto com"),
+        ("contactez luc.b arobase exemple point fr.", "email", "luc.b arobase exemple point fr"),
+        ("an karl at beispiel punkt de senden", "email", "karl at beispiel punkt de"),
+        ("ana arroba correo.ejemplo punto es", "email", "ana arroba correo.ejemplo punto es"),
+        ("𝐣𝐚𝐧𝐞@ⓔxample.com y", "email", "𝐣𝐚𝐧𝐞@ⓔxample.com"),
     ],
 )
 def test_disguises(found, text, kind, want):
@@ -135,3 +140,17 @@ def test_tables(spark):
     assert text[30] == "[EMAIL], twice [EMAIL] and [IP]" and text[31] == "[EMAIL]"
     assert text[3] is None and all(text[r[0]] == r[1] for r in ROWS)
     assert pii.find(frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "meet me at noon dot net profit",
+        "we stood at that point in time",
+        "they were at home dot com was a boom",
+        "el punto final, un punto y aparte",
+        "see 10.0.0²",
+    ],
+)
+def test_prose_is_left_alone(found, text):
+    assert found.spans(text) == ([], [])
