@@ -61,7 +61,11 @@ def fingerprint(sigs: Column) -> Column:
 
 
 def length_class(sigs: Column, similarity: float) -> Column:
-    """Sets of at least the similarity lie in equal or adjacent classes."""
+    """Sets of at least the similarity (above 0, at most 1) lie in equal or adjacent classes."""
+    if not 0 < similarity <= 1:
+        raise ValueError(f"similarity out of range: {similarity}")
+    if similarity == 1:
+        return F.size(sigs)
     return F.floor(F.log(F.greatest(F.size(sigs), F.lit(1))) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
 
 
