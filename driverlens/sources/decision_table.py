@@ -5,7 +5,8 @@ replaces what an earlier try of the same write left, so a retry changes nothing
 touches another run's rows. Runs are numbered in the order of their first write; reads keep the
 newest write of every key. A write costs its own rows only, however large the table is. Rows
 lie in buckets by cluster, sorted by key, so a lookup opens one bucket per write and its key
-filter skips row groups; compaction leaves one write.
+filter skips row groups. Compaction leaves one write, whose rows keep the number of the write they
+come from: what is written meanwhile, or again, takes the same place as without it.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ DECISION_KEY = ["cluster_id", "decision_ts"]
 DECISION_COLUMNS = [*DECISION_KEY, "rule_name", "from_workers", "to_workers"]
 TABLE_SCHEMA = (
     "cluster_id STRING, decision_ts STRING, rule_name STRING, from_workers BIGINT, to_workers BIGINT, "
-    "walk_ts_us BIGINT, run_no BIGINT, run STRING, write_seq BIGINT, bucket INT"
+    "walk_ts_us BIGINT, of STRUCT<run_no: BIGINT, run: STRING, write_seq: BIGINT>, "
+    "run_no BIGINT, run STRING, write_seq BIGINT, bucket INT"
 )
 BUCKETS = 16
 WRITE = ("run_no", "run", "write_seq")
+COMPACTED = "run_no=-1"
 
 
 def dedupe_decisions_last(decisions: DataFrame) -> DataFrame:
@@ -46,22 +49,31 @@ def _runs(spark: SparkSession, table: str) -> dict[str, int]:
     """Number of each run in the table, from its folders' names."""
     found = {}
     for folder in children(spark, table):
-        if folder.startswith("run_no="):
+        if folder.startswith("run_no=") and folder != COMPACTED:
             for run in children(spark, f"{table}/{folder}"):
                 if run.startswith("run="):
                     found[run.removeprefix("run=")] = int(folder.removeprefix("run_no="))
     return found
 
 
-def _write(rows: DataFrame, table: str, run: str, write_seq: int) -> int:
-    runs = _runs(rows.sparkSession, table)
-    number = runs.get(run, max(runs.values(), default=-1) + 1)
-    path = f"{table}/run_no={number}/run={run}/write_seq={write_seq}"
+def _writes(spark: SparkSession, table: str) -> list[str]:
+    """The folders of all writes, below the table."""
+    runs = [f"{n}/{run}" for n in children(spark, table) if n.startswith("run_no=") for run in children(spark, f"{table}/{n}")]
+    return [f"{run}/{w}" for run in runs for w in children(spark, f"{table}/{run}") if w.startswith("write_seq=")]
+
+
+def _store(rows: DataFrame, path: str) -> int:
     placed = rows.withColumn("bucket", bucket_of(F.col("cluster_id"))).repartition("bucket")
     placed.sortWithinPartitions("bucket", *DECISION_KEY).write.mode("overwrite").partitionBy("bucket").parquet(path)
     return rows.sparkSession.read.schema("cluster_id STRING").parquet(path).count()  # from the files' footers
 
 
+def _write(rows: DataFrame, table: str, run: str, write_seq: int) -> int:
+    runs = _runs(rows.sparkSession, table)
+    number = runs.get(run, max(runs.values(), default=-1) + 1)
+    return _store(rows, f"{table}/run_no={number}/run={run}/write_seq={write_seq}")
+
+
 def put_decisions(decisions: DataFrame, table: str, write_seq: int = 0, run: str | None = None) -> int:
     """Store ``decisions`` as ``operators.gates.decisions`` gives them; returns the number of keys.
 
@@ -77,7 +89,9 @@ def _rows(spark: SparkSession, table: str) -> DataFrame:
 
 
 def _newest(rows: DataFrame, *value: str) -> DataFrame:
-    newest = rows.groupBy("bucket", *DECISION_KEY).agg(F.max_by(F.struct(*value), F.struct(*WRITE)).alias("d"))
+    """The newest row of every key; a compacted row, which names its write in ``of``, is as new as that write."""
+    place = F.coalesce("of", F.struct(*WRITE))
+    newest = rows.withColumn("of", place).groupBy("bucket", *DECISION_KEY).agg(F.max_by(F.struct(*value), "of").alias("d"))
     return newest.select(*DECISION_KEY, "d.*")
 
 
@@ -86,18 +100,29 @@ def read_decisions(spark: SparkSession, table: str) -> DataFrame:
 
 
 def read_write(spark: SparkSession, table: str, run: str, write_seq: int) -> DataFrame:
-    """What one write of a run stored, with ``walk_ts_us``."""
-    return _rows(spark, table).filter((F.col("run") == run) & (F.col("write_seq") == write_seq))
+    """What one write of a run stored, with ``walk_ts_us``; also where a compaction has taken it in since."""
+    own = (F.col("run") == run) & (F.col("write_seq") == write_seq)
+    taken_in = (F.col("run_no") == -1) & (F.col("of.run") == run) & (F.col("of.write_seq") == write_seq)
+    return _rows(spark, table).filter(own | taken_in).dropDuplicates(DECISION_KEY)
 
 
 def compact_decisions(spark: SparkSession, table: str) -> int:
-    """Make the present content one write of a new run, then remove the runs before it."""
-    before = children(spark, table)
-    rows = _newest(_rows(spark, table), "rule_name", "from_workers", "to_workers", "walk_ts_us")
-    count = _write(rows, table, f"compacted-{uuid.uuid4().hex}", 0)
-    for folder in before:
-        if folder.startswith("run_no="):
-            remove(spark, f"{table}/{folder}")
+    """Make the present content one write; returns its number of keys.
+
+    The writes that exist at the start are read, and these alone are removed once the new one is
+    there. A write that comes in between stays and is as new as it would be otherwise. Between the two steps, and if
+    the second never happens, rows are there twice with the same place, which reads fold. The folders of
+    runs stay, so a run keeps its number. One compaction of a table at a time; a read that started before
+    may find its files gone and has to be repeated.
+    """
+    writes = _writes(spark, table)
+    if not writes:
+        return 0
+    rows = spark.read.schema(TABLE_SCHEMA).option("basePath", table).parquet(*(f"{table}/{w}" for w in writes))
+    kept = _newest(rows, "rule_name", "from_workers", "to_workers", "walk_ts_us", "of")
+    count = _store(kept, f"{table}/{COMPACTED}/run={uuid.uuid4().hex}/write_seq=0")
+    for write in writes:
+        remove(spark, f"{table}/{write}")
     return count
 
 

@@ -31,7 +31,7 @@ def test_writes_overwrite_by_key_and_retries_change_nothing(spark, tmp_path):
     assert D.get_decision(spark, table, "a", "9").count() == 0
     assert [r.decision_ts for r in D.cluster_decisions(D.read_decisions(spark, table), "a").collect()] == ["1", "2"]
     assert D.compact_decisions(spark, table) == 3
-    assert content(spark, table) == want and len(list((tmp_path / "t").glob("run_no=*"))) == 1
+    assert content(spark, table) == want and len(list((tmp_path / "t").glob("*/*/write_seq=*"))) == 1
 
 
 def test_runs_keep_each_others_rows(spark, tmp_path):
@@ -42,6 +42,44 @@ def test_runs_keep_each_others_rows(spark, tmp_path):
     assert content(spark, table) == [("a", "1", "r", 4, 8), ("a", "2", "t", 8, 16), ("b", "1", "r", 4, 8)]
 
 
+def test_a_write_during_compaction_stays(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    D.put_decisions(made(spark, ("a", "1", "r", 4, 8), ("a", "2", "r", 8, 2)), table, 0, "one")
+    D.put_decisions(made(spark, ("b", "1", "r", 4, 8)), table, 0, "two")
+    store = D._store
+
+    def meanwhile(rows, path):
+        count = store(rows, path)
+        monkeypatch.setattr(D, "_store", store)
+        D.put_decisions(made(spark, ("a", "2", "s", 8, 16), ("b", "1", "s", 4, 2), ("c", "1", "s", 4, 2)), table, 1, "one")
+        return count
+
+    monkeypatch.setattr(D, "_store", meanwhile)
+    assert D.compact_decisions(spark, table) == 3
+    # Newer in its run, older than the run after it.
+    want = [("a", "1", "r", 4, 8), ("a", "2", "s", 8, 16), ("b", "1", "r", 4, 8), ("c", "1", "s", 4, 2)]
+    assert content(spark, table) == want
+    assert D.compact_decisions(spark, table) == 4 and content(spark, table) == want
+    assert sorted(r.cluster_id for r in D.read_write(spark, table, "one", 1).collect()) == ["a", "c"]  # b's is an older run's
+    # A repeated write and a further one of an old run take the place they would have had.
+    D.put_decisions(made(spark, ("a", "2", "s", 8, 16), ("b", "1", "s", 4, 2), ("c", "1", "s", 4, 2)), table, 1, "one")
+    D.put_decisions(made(spark, ("a", "1", "u", 4, 6), ("b", "1", "u", 4, 6)), table, 2, "one")
+    D.put_decisions(made(spark, ("c", "1", "v", 4, 6)), table)
+    assert content(spark, table) == [("a", "1", "u", 4, 6), *want[1:3], ("c", "1", "v", 4, 6)]
+
+
+def test_compaction_stopped_half_way_or_of_nothing(spark, tmp_path, monkeypatch):
+    table = str(tmp_path / "t")
+    assert D.compact_decisions(spark, table) == 0
+    D.put_decisions(made(spark, ("a", "1", "r", 4, 8)), table, 0, "one")
+    D.put_decisions(made(spark, ("a", "1", "s", 4, 2)), table, 1, "one")
+    monkeypatch.setattr(D, "remove", lambda spark, path: None)
+    D.compact_decisions(spark, table)
+    monkeypatch.undo()
+    assert content(spark, table) == [("a", "1", "s", 4, 2)]
+    assert D.compact_decisions(spark, table) == 1 and content(spark, table) == [("a", "1", "s", 4, 2)]
+
+
 def test_point_lookup_reaches_the_scan(spark, tmp_path):
     table = str(tmp_path / "t")
     D.put_decisions(made(spark, ("a", "1", "r", 4, 8)), table, 0)
