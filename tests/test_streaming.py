@@ -132,6 +132,36 @@ def test_complete_then_walk(spark, tmp_path, repeat):
     assert sorted(r.cluster_id for r in walk._state(spark, "done", "cluster_id STRING", 2).collect()) == ["a", "b"]
 
 
+@pytest.mark.parametrize("repeat", [1, 2])
+def test_arrivals_of_walked_clusters_go(spark, tmp_path, monkeypatch, repeat):
+    """Clusters come one after another in two files each, one stays open: the log stays as small, and the open one keeps all its rows."""
+    from driverlens.streaming import buffered
+
+    monkeypatch.setattr(buffered, "BUCKETS", 2)
+    names = [f"k{n}" for n in range(3)]
+    manifest = spark.createDataFrame([(n, 4, 2) for n in [*names, "open"]], "cluster_id STRING, initial_workers BIGINT, num_log_files BIGINT")
+    walk = CompleteThenWalk([LONG], manifest, str(tmp_path / "state"), str(tmp_path / "table"))
+    logged, rows = [], []
+
+    def arrive(epoch, *arrived):
+        logged.extend(r for _, r in arrived)
+        batch = spark.createDataFrame([(*r, key) for key, r in arrived], ARRIVAL_SCHEMA)
+        for _ in range(repeat):
+            walk.process(batch, epoch)
+        rows.append(sum(spark.read.parquet(str(f)).count() for f in (tmp_path / "state").glob("arrivals/*/*/*.parquet")) + sum(spark.read.parquet(str(f)).count() for f in (tmp_path / "state").glob("kept/*/*/*.parquet")))
+
+    for epoch, name in enumerate(names):
+        mine = [(f"f{m // 6}", record(us(9, m), m, cluster=name, batchDuration=500)) for m in range(0, 12, 2)]
+        arrive(epoch, *mine, ("f0", record(us(9, epoch), epoch, cluster="open", batchDuration=500)))
+    assert rows[-1] <= 2 * len(names) + 6  # of 21 rows in all
+    arrive(len(names), ("f1", record(us(9, 30), 30, cluster="open", batchDuration=500)))
+    arrive(len(names) + 1, ("f9", record(us(9, 30), 30, cluster="open", batchDuration=500)))
+    assert rows[-1] == 0
+    whole = decide(frame(spark, logged[:-1]), initial(spark, **{n: 4 for n in [*names, "open"]}), [LONG]).collect()
+    assert table(spark, tmp_path) == sorted((d.cluster_id, d.decision_ts, d.from_workers, d.to_workers) for d in whole)
+    assert {d.cluster_id for d in whole} == {*names, "open"}
+
+
 def test_state_does_not_grow_with_the_stream(spark, tmp_path):
     walk = incremental(spark, tmp_path, [LONG])
     sizes = []
