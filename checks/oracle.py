@@ -237,6 +237,7 @@ rules(rule_ord, rule_name, target, cooldown_minutes) AS (VALUES (1, 'steady', 16
 windows AS (SELECT *, count(dur) OVER w3 AS c2, max(dur) OVER w3 AS agg FROM rec WINDOW w3 AS {frame(4320)}),
 matched AS (SELECT cluster_id, id, batch_id, ts_us, ts_raw, 1 AS rule_ord, 'steady' AS rule_name, agg FROM windows WHERE c2 >= 1 AND agg > -1)"""
 
+FIRST_TS = sql(EV, LOGS, select=f"SELECT path, min(arg) AS first_ts_us FROM (SELECT path, first_value({MS}) OVER (PARTITION BY path ORDER BY event_id) AS arg FROM logs WHERE {GOOD}) GROUP BY path")
 FROM_FILES = sql(
     EV, LOGS,
     """rec AS (
@@ -249,6 +250,7 @@ FROM_FILES = sql(
 ORACLE: dict[str, str] = {
     "decisions_from_logs": FROM_FILES,
     "decisions_from_lines": FROM_FILES,
+    "decisions_from_ranges": FROM_FILES,
     "document_shapes": "SELECT CAST(event_id AS VARCHAR) AS doc_id FROM events WHERE event_id % 7 IN (0, 1, 2, 3, 4)",
     "decisions_steady": sql(
         EV, REC, STEADY, WALK, "made_at AS (SELECT cluster_id, ts_us, ts_raw FROM walked WHERE outcome = 'decision')",
@@ -321,7 +323,8 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'rules-' || event_id, 1, 'down-' || user_id, CAST(cents AS VARCHAR), 'int', '30', '5', 'int' FROM ev""",
     ),
-    "file_first_ts": sql(EV, LOGS, select=f"SELECT path, min(arg) AS first_ts_us FROM (SELECT path, first_value({MS}) OVER (PARTITION BY path ORDER BY event_id) AS arg FROM logs WHERE {GOOD}) GROUP BY path"),
+    "file_first_ts": FIRST_TS,
+    "file_first_ts_early": FIRST_TS,
     # the decision table
     "decision_lookup": decision_sql(
         f"SELECT {DECISION} FROM last_made QUALIFY row_number() OVER (PARTITION BY cluster_id ORDER BY decision_ts) = 1"

@@ -24,6 +24,7 @@ from driverlens.session import materialize, scratch_path
 from driverlens.sources import control as C
 from driverlens.sources import decision_table as D
 from driverlens.sources import logs as L
+from driverlens.sources import ranges as G
 from driverlens.streaming.buffered import ARRIVAL_SCHEMA, CompleteThenWalk
 from driverlens.streaming.incremental import RECORD_SCHEMA, IncrementalWalk
 
@@ -97,6 +98,14 @@ def file_first_ts(spark, sf_dir):
     return FS.file_first_ts(R.progress_records(X.log_entries(spark, sf_dir), []))
 
 
+@query
+def file_first_ts_early(spark, sf_dir):
+    """The same from stored files, each read up to its first valid record."""
+    logs, _, _ = X.write_run(spark, sf_dir, scratch_path(spark, "run"))
+    times = G.first_times(L.read_log_files(spark, logs).select("path", "length"))
+    return times.withColumn("path", F.concat(F.lit("logs/"), F.regexp_extract("path", r"([^/]+/[^/]+)$", 1)))
+
+
 # --- the decision table ----------------------------------------------------------------
 
 
@@ -516,10 +525,10 @@ def decisions_sliced(spark, sf_dir):
     return made.select(*DECISION)
 
 
-def _from_files(spark, sf_dir, plain: bool) -> DataFrame:
+def _from_files(spark, sf_dir, plain: bool, in_ranges: bool = False) -> DataFrame:
     base = scratch_path(spark, "run")
     logs, manifest, rules = X.write_run(spark, sf_dir, base, plain)
-    return decide_from_logs(spark, logs, manifest, rules, f"{base}/table", as_lines=plain).select(*DECISION)
+    return decide_from_logs(spark, logs, manifest, rules, f"{base}/table", as_lines=plain, in_ranges=in_ranges).select(*DECISION)
 
 
 @query
@@ -528,6 +537,12 @@ def decisions_from_logs(spark, sf_dir):
     return _from_files(spark, sf_dir, plain=False)
 
 
+@query
+def decisions_from_ranges(spark, sf_dir):
+    """The same files read from the store in byte ranges."""
+    return _from_files(spark, sf_dir, plain=False, in_ranges=True)
+
+
 @query
 def decisions_from_lines(spark, sf_dir):
     """The same from plain files, read line by line in splits."""

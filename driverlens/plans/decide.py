@@ -19,6 +19,7 @@ from driverlens.session import materialize, scratch_scope
 from driverlens.sources.control import read_manifest, read_rules
 from driverlens.sources.decision_table import put_decisions, read_decisions
 from driverlens.sources.logs import cluster_of_path, read_log_files, scan_entries
+from driverlens.sources.ranges import scan_ranges
 
 
 @dataclass(frozen=True)
@@ -82,23 +83,26 @@ def decide_from_logs(
     table: str | None = None,
     run: str | None = None,
     as_lines: bool = False,
+    in_ranges: bool = False,
 ) -> DataFrame:
     """The whole run: log folder, manifest and rules in, decisions out (and stored).
 
     ``as_lines`` reads splittable text line by line, for plain files of any size; otherwise
-    each file is decoded from its bytes, gzip or not. A run repeated under the same ``run``
-    replaces its own rows.
+    each file is decoded from its bytes, gzip or not. ``in_ranges`` does so in byte ranges read from
+    the store, for gzip and plain files of any size. A run repeated under the same ``run`` replaces its
+    own rows.
     """
     if table is not None:
         with scratch_scope(spark):
-            put_decisions(decide_from_logs(spark, logs, manifest_path, rules_path, as_lines=as_lines), table, run=run)
+            made = decide_from_logs(spark, logs, manifest_path, rules_path, as_lines=as_lines, in_ranges=in_ranges)
+            put_decisions(made, table, run=run)
         return read_decisions(spark, table)
     rules = read_rules(spark, rules_path)
     manifest = read_manifest(spark, manifest_path)
     # The listing never opens a file: ``content`` is pruned. A file counts as arrived even if
     # no progress entry is in it.
     listing = materialize(
-        read_log_files(spark, logs).select(cluster_of_path(F.col("path")).alias("cluster_id"), F.col("path").alias("key")), "listing"
+        read_log_files(spark, logs).select(cluster_of_path(F.col("path")).alias("cluster_id"), F.col("path").alias("key"), "length"), "listing"
     )
     complete = materialize(complete_clusters(listing, manifest).select("cluster_id", "initial_workers"), "complete")
     # Only the folders of complete, known clusters are opened. Their names are fewer than the
@@ -109,7 +113,10 @@ def decide_from_logs(
     if not paths:
         nobody = spark.createDataFrame([], "cluster_id STRING, workers BIGINT, last_us BIGINT")
         return decide(spark.createDataFrame([], RECORD_SCHEMA), nobody, rules)
-    if as_lines:
+    if in_ranges:
+        arrived = listing.join(complete, "cluster_id", "left_semi").select(F.col("key").alias("path"), "length")
+        found = scan_ranges(arrived, progress_only=True)
+    elif as_lines:
         found = entries_from_lines(read_lines(spark, paths, recursive=True), progress_only=True)
     else:
         # Contents are decoded where they are read and never joined.
