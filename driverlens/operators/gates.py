@@ -36,7 +36,7 @@ NEVER = -(1 << 62)  # "no decision yet" while walking
 
 SLICE_KEY = ["cluster_id", "slice"]
 EXIT_SCHEMA = "cluster_id STRING, slice BIGINT, ts_us BIGINT, rule_ord INT, exit_workers BIGINT, exit_us BIGINT"
-HOUR_US = 60 * MINUTE_US
+DAY_US = 24 * 60 * MINUTE_US
 TRACE_COLUMNS = "current_workers BIGINT, last_decision_us BIGINT, cooldown_until_us BIGINT, outcome STRING"
 OUTCOMES = ("decision", "blocked_idempotence", "blocked_cooldown")
 
@@ -255,7 +255,7 @@ def _next_decisions(states: DataFrame, slices: DataFrame, spans: DataFrame, rule
     """``cluster_id, node, ts_us``: the tick at which a state decides next, if any.
 
     For every rule of another target that is the rule's first tick from the end of its cooldown on. The slice of that
-    time is looked up by hours, the tick in the slice by a running minimum from the right; a slice without one
+    time is looked up by days, the tick in the slice by a running minimum from the right; a slice without one
     passes on to the rule's first tick in a later slice.
     """
     others = F.array(*[F.struct(F.lit(i).alias("rule_ord"), F.lit(r.target_workers).alias("target"), F.lit(r.cooldown_minutes * MINUTE_US).alias("cooldown")) for i, r in enumerate(rules, 1)])
@@ -270,11 +270,16 @@ def _next_decisions(states: DataFrame, slices: DataFrame, spans: DataFrame, rule
         .where(F.col("r.target") != F.col("node.workers"))
         .select("cluster_id", "node", F.col("r.rule_ord").alias("rule_ord"), F.greatest(F.when(seen == NEVER, F.col("begin_us")).otherwise(seen + F.col("r.cooldown")), F.col("begin_us")).alias("at"))
     )
+    # A slice lasts until the next one begins, in the last one until its end; nothing is found after that.
     until = F.coalesce(F.lead("begin_us").over(begins) - 1, F.col("end_us"))
-    hour = lambda c: F.floor(c / F.lit(HOUR_US))
-    hours = spans.select(*SLICE_KEY, "begin_us", until.alias("until_us")).withColumn("hour", F.explode(F.sequence(hour(F.col("begin_us")), hour(F.col("until_us")))))
-    placed = probes.withColumn("hour", hour(F.col("at"))).join(hours, ["cluster_id", "hour"])
-    placed = placed.where((F.col("at") >= F.col("begin_us")) & (F.col("at") <= F.col("until_us"))).select(*SLICE_KEY, "rule_ord", "at", "node")
+    day = lambda c: F.floor(c / F.lit(DAY_US))
+    days = spans.select(*SLICE_KEY, "begin_us", until.alias("until_us")).withColumn("day", F.explode(F.sequence(day(F.col("begin_us")), day(F.col("until_us")))))
+    # A slice stands at the start of each of its days, or at its own begin; a probe takes the last one up to it.
+    marks = days.select("cluster_id", "day", F.greatest("begin_us", F.col("day") * DAY_US).alias("at"), F.struct("slice", "until_us").alias("lies"))
+    up_to = W.partitionBy("cluster_id", "day").orderBy("at").rangeBetween(W.unboundedPreceding, W.currentRow)
+    dealt = probes.withColumn("day", day(F.col("at"))).unionByName(marks, allowMissingColumns=True)
+    placed = dealt.withColumn("lies", F.last("lies", ignorenulls=True).over(up_to))
+    placed = placed.where(F.col("node").isNotNull() & (F.col("at") <= F.col("lies.until_us"))).select("cluster_id", "lies.slice", "rule_ord", "at", "node")
 
     group = [*SLICE_KEY, "rule_ord"]
     rows = placed.withColumn("tick", F.lit(None).cast("bigint")).unionByName(
