@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import pytest
 from conftest import initial, rule
 from pyspark.sql import functions as F
 
 from driverlens.functions.timegrid import MINUTE_US
 from driverlens.operators import gates
+from driverlens.plans import decide as plan
 from driverlens.session import materialize
+from driverlens.sources import logs as L
 
 
 def plan_of(df) -> str:
@@ -35,3 +38,22 @@ def test_a_slice_costs_days_not_hours(spark, monkeypatch):
     walked = gates.walk_ticks(ticks, initial(spark), rules, slice_ticks=1)
     assert [r.outcome for r in walked.orderBy("ts_us").collect()] == ["decision"] * 3
     assert sizes and sizes[0] > 0
+
+
+def test_tasks_list_what_spark_lists(spark, tmp_path):
+    for name in ("a/1.log", "a/b/2 %20[x].log", "top.log", "_hid/3.log", "a/.4.log", "a/_5.log", "a/6._COPYING_", "a/empty.log"):
+        (tmp_path / "logs" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "logs" / name).write_text("" if "empty" in name else "x" * len(name))
+    for path in (f"{tmp_path}/logs", f"file:{tmp_path}/logs/", f"{tmp_path}/lo*", f"{tmp_path}/logs/*"):
+        want = L.read_log_files(spark, path).select("path", "length").collect()
+        assert sorted(map(tuple, L.list_log_files(spark, path).collect())) == sorted(map(tuple, want))
+    with pytest.raises(FileNotFoundError):
+        L.list_log_files(spark, f"{tmp_path}/none")
+
+
+def test_folders_come_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(plan, "FILES_AT_ONCE", 4)
+    files = spark.createDataFrame([(f"file:/logs/c[{i}]/{k}.log",) for i in range(5) for k in range(2)], "key STRING")
+    groups = list(plan._folder_groups(files))
+    assert sorted(map(len, groups)) == [1, 2, 2]
+    assert sorted(p for g in groups for p in g) == [f"file:/logs/c\\[{i}\\]" for i in range(5)]
