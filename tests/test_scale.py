@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import gzip
+
 import pytest
 from conftest import initial, rule
 from pyspark.sql import functions as F
 
 from driverlens.functions.timegrid import MINUTE_US
+from driverlens.operators import entries as E
 from driverlens.operators import gates
 from driverlens.plans import decide as plan
 from driverlens.session import materialize
@@ -57,3 +60,25 @@ def test_folders_come_in_groups(spark, monkeypatch):
     groups = list(plan._folder_groups(files))
     assert sorted(map(len, groups)) == [1, 2, 2]
     assert sorted(p for g in groups for p in g) == [f"file:/logs/c\\[{i}\\]" for i in range(5)]
+
+
+def test_tasks_open_what_spark_opens(spark, tmp_path):
+    for name in ("c[1]/1.log", "c[1]/_no.log", "d/2 %20.log"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"\xff" + name.encode() * 9)
+    folders = [f"file:{tmp_path}/c\\[1\\]", f"file:{tmp_path}/d"]
+    got = L.read_log_files(spark, folders)
+    want = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folders)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("path", "length", "content").collect()))
+    assert "binaryFile" not in plan_of(got)
+
+
+def test_folders_with_packed_files_are_read_by_spark(spark, tmp_path):
+    """Line form: plain files by tasks, names that Spark unpacks by Spark."""
+    for name, pack in (("plain/1.log", bytes), ("plain/2.log", bytes), ("mixed/3.log", bytes), ("mixed/4.log.gz", gzip.compress)):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(pack(f"25/11/03 09:14:00 {E.PROGRESS_MARKER} {name}\nnext\n25/11/03 09:15:00 other\n".encode()))
+    files = L.list_log_files(spark, str(tmp_path)).withColumnRenamed("path", "key")
+    by_tasks, by_spark = ([r.text for r in found.orderBy("path").collect()] for found in plan._found_in_lines(spark, str(tmp_path), files))
+    assert [t.split()[6] for t in by_tasks] == ["plain/1.log", "plain/2.log"]
+    assert [t.split()[6] for t in by_spark] == ["mixed/3.log", "mixed/4.log.gz"]
