@@ -32,6 +32,7 @@ from driverlens.session import materialize
 
 SLICE_TICKS = 250_000
 EXIT_ROWS = 10_000  # ticks in a batch on the way out
+LINE = 1 << 61  # microseconds of slices walked at once
 NEVER = -(1 << 62)  # "no decision yet" while walking
 
 SLICE_KEY = ["cluster_id", "slice"]
@@ -65,13 +66,18 @@ class _SliceWalker:
 
     def exits(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per tick the state in which a walk that decides there leaves the slice."""
-        for cluster, piece, ts, rule in self._whole_slices(batches):
+        for keys, ts, rule, of in self._slices_at_once(batches):
             end, target = len(ts), self.targets[rule]
+            # Slices one after another on one line, each long enough that no cooldown leads into the next one.
+            place = ts - ts[np.searchsorted(of, of)]
+            reach = int(place.max()) + 2
+            line = of * reach
             last = np.full(end, end)
             for r in np.unique(rule):
                 at = np.flatnonzero(rule == r)
-                after = np.searchsorted(ts[at], np.maximum(ts + self.cooldowns[r], ts + 1))
-                follower = np.append(at, end)[after]
+                over = np.minimum(np.maximum(place + self.cooldowns[r], place + 1), reach - 1)
+                follower = np.append(at, end)[np.searchsorted((line + place)[at], line + over)]
+                follower = np.where(np.append(of, -1)[follower] == of, follower, end)
                 last = np.minimum(last, np.where(target == self.targets[r], end, follower))
             last = np.where(last == end, np.arange(end), last)
             while True:  # jump over jumps: log2(ticks) rounds
@@ -79,13 +85,33 @@ class _SliceWalker:
                 if (further == last).all():
                     break
                 last = further
-            columns = [np.full(end, piece), ts, rule + 1, target[last], ts[last]]
+            clusters, pieces = pa.array([k[0] for k in keys], pa.string()), np.array([k[1] for k in keys], np.int64)
+            columns = [pieces[of], ts, rule + 1, target[last], ts[last]]
             types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             for start in range(0, end, EXIT_ROWS):
                 part = slice(start, start + EXIT_ROWS)
                 arrays = [pa.array(c[part], t) for c, t in zip(columns, types)]
                 names = [field.split()[0] for field in EXIT_SCHEMA.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array([cluster] * len(arrays[0]), pa.string()), *arrays], names=names)
+                yield pa.RecordBatch.from_arrays([clusters.take(pa.array(of[part])), *arrays], names=names)
+
+    @classmethod
+    def _slices_at_once(cls, batches: Iterator[pa.RecordBatch]):
+        """Whole slices, small ones together: their keys, and per tick its time, its rule and the place of its slice's key."""
+        held, rows, longest = [], 0, 0
+
+        def together():
+            keys, ts, rule = zip(*held)
+            return keys, np.concatenate(ts), np.concatenate(rule), np.repeat(np.arange(len(ts)), [len(t) for t in ts])
+
+        for cluster, piece, ts, rule in cls._whole_slices(batches):
+            longest = max(longest, int(ts[-1] - ts[0]) + 2)
+            if held and (rows + len(ts) > EXIT_ROWS or longest * (len(held) + 1) > LINE):
+                yield together()
+                held, rows, longest = [], 0, int(ts[-1] - ts[0]) + 2
+            held.append(((cluster, piece), ts, rule))
+            rows += len(ts)
+        if held:
+            yield together()
 
     @staticmethod
     def _whole_slices(batches: Iterator[pa.RecordBatch]):

@@ -9,8 +9,10 @@ import sys
 
 import pytest
 import definitions
+import pyarrow as pa
 from conftest import frame, initial, raw, record, rule, us
 
+from driverlens.operators import gates
 from driverlens.operators.gates import point_outcomes, walk_ticks
 from driverlens.operators.trace import decision_trace, write_trace
 from driverlens.plans.decide import decide, decision_points, walk_records
@@ -222,3 +224,23 @@ def test_small_clusters_are_walked_at_once(spark, monkeypatch):
 def test_no_rules_no_decisions(spark):
     records = [record(us(9, m), m, batchDuration=500) for m in (0, 2, 4)]
     assert decide(frame(spark, records), initial(spark), []).collect() == []
+
+
+@pytest.mark.parametrize("span", [50 * MINUTE, 1 << 52])
+def test_small_slices_are_walked_together(span):
+    """The same exits as slice by slice, in few batches; long slices still fit a line of whole numbers."""
+    chance = random.Random(span)
+    rules = [rule(name=str(i), target_workers=t, cooldown_minutes=c) for i, (t, c) in enumerate(((8, 0), (2, 7), (8, 30)))]
+    walker = gates._SliceWalker(rules)
+    slices = [(f"c{k // 9}", k % 9, sorted(chance.sample(range(span), chance.randrange(1, 9)))) for k in range(900)]
+    batch = lambda some: pa.RecordBatch.from_pylist([
+        {"cluster_id": c, "slice": s, "ts_us": t, "rule_ord": 1 + t % 3} for c, s, ts in some for t in ts
+    ])
+    out = list(walker.exits(iter([batch(slices)])))
+    assert len(out) <= (1 if span < 1 << 40 else 90)
+    alone = [row for one in slices for found in walker.exits(iter([batch([one])])) for row in found.to_pylist()]
+    assert [row for found in out for row in found.to_pylist()] == alone
+    for _, _, ts in slices[:50]:  # a walk that decides at the first tick, by definition
+        made = definitions.outcomes([(t, t % 3) for t in ts], rules, -1)
+        last = [i for i, (*_, what) in enumerate(made) if what == "decision"][-1]
+        assert next(r for r in alone if r["ts_us"] == ts[0])["exit_us"] == ts[last]
